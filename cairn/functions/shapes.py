@@ -119,9 +119,8 @@ def overlap_area(a: np.ndarray, b: np.ndarray) -> float:
     return float(total)
 
 
-@F.pandas_udf("double")
-def overlap_fraction(child: pd.Series, parent: pd.Series) -> pd.Series:
-    """Share of the child's area that lies in the parent."""
+def overlap_fraction(child: Column, parent: Column) -> Column:
+    """Share of the child ring's area that lies in the parent ring."""
     def one(c, p) -> float | None:
         if c is None or p is None:
             return None
@@ -129,7 +128,11 @@ def overlap_fraction(child: pd.Series, parent: pd.Series) -> pd.Series:
         own = overlap_area(c, c)
         return overlap_area(c, p) / own if own > 0 else None
 
-    return pd.Series([one(c, p) for c, p in zip(child, parent)], dtype="float64")
+    @F.pandas_udf("double")
+    def run(children: pd.Series, parents: pd.Series) -> pd.Series:
+        return pd.Series([one(c, p) for c, p in zip(children, parents)], dtype="float64")
+
+    return run(child, parent)
 
 
 def _middle(ring: np.ndarray, axis: int) -> float:
@@ -150,16 +153,19 @@ def _middle(ring: np.ndarray, axis: int) -> float:
     return float((fine[at] + fine[at + 1]) / 2)
 
 
-@F.pandas_udf("x double, y double")
-def median_point(rings: pd.Series) -> pd.DataFrame:
-    """A point with at least an eighth of the ring's area on either side, along both axes.
+def median_point(ring: Column) -> Column:
+    """A point ``(x, y)`` with at least an eighth of the ring's area on either side, on both axes.
 
     It is the middle of the strip that holds the median. A strip's width is linear, so its
     middle splits the strip's own area no worse than one to three.
     """
-    rows = [(_middle(p, 0), _middle(p, 1)) if len(p) > 1 else (None, None)
-            for p in (_points(r) for r in rings)]
-    return pd.DataFrame(rows, columns=["x", "y"], dtype="float64")
+    @F.pandas_udf("x double, y double")
+    def run(rings: pd.Series) -> pd.DataFrame:
+        rows = [(_middle(p, 0), _middle(p, 1)) if len(p) > 1 else (None, None)
+                for p in (_points(r) for r in rings)]
+        return pd.DataFrame(rows, columns=["x", "y"], dtype="float64")
+
+    return run(ring)
 
 
 def _simplify(points: np.ndarray, tolerance: float) -> np.ndarray:

@@ -54,9 +54,14 @@ def name_and_title(c: Column, rules: NameRules = NameRules()) -> Column:
     )
 
 
+def strip(c: Column) -> Column:
+    """Trim white space of every kind; ``trim`` alone only takes blanks."""
+    return F.btrim(c, F.lit(" \t\n\r\f\v"))
+
+
 def comma_items(c: Column) -> Column:
     """Trimmed non-empty items of a comma list."""
-    items = F.transform(F.split(c, ","), lambda x: F.trim(x))
+    items = F.transform(F.split(c, ","), lambda x: strip(x))
     return F.filter(items, lambda x: x != "")
 
 

@@ -121,7 +121,8 @@ def containments(regions: DataFrame, overlap: float = fixed.PARENT_OVERLAP) -> D
     return (point_box_pairs(children, parents)
             .where((F.col("child_id") != F.col("parent_id"))
                    & (F.col("parent_area") > F.col("child_area")))
-            .withColumn("fraction", shapes.overlap_fraction("child_ring", "parent_ring"))
+            .withColumn("fraction", shapes.overlap_fraction(F.col("child_ring"),
+                                                              F.col("parent_ring")))
             .where(F.col("fraction") > overlap)
             .select("child_id", "parent_id", "ordinal", "parent_area", "fraction"))
 

@@ -20,7 +20,7 @@ def accepted_names(tags: Column, keys: list[str] = fixed.NAME_TAGS) -> Column:
     values = F.transform(
         F.filter(F.map_entries(tags), lambda e: e["key"].isin(keys)), lambda e: e["value"])
     parts = F.transform(F.flatten(F.transform(values, lambda v: text.split_any(v))),
-                        lambda p: F.trim(p))
+                        lambda p: text.strip(p))
     usable = F.filter(parts, lambda p: (p != "") & text.is_ascii(p) & ~text.is_digits(p))
     return F.array_distinct(F.transform(usable, lambda p: text.title_case(p)))
 

@@ -9,21 +9,25 @@ ELEMENT = ("type STRING, id BIGINT, lon DOUBLE, lat DOUBLE, tags MAP<STRING, STR
            "nodes ARRAY<BIGINT>, members ARRAY<STRUCT<type: STRING, ref: BIGINT, role: STRING>>")
 
 
+DOCUMENT = f"elements ARRAY<STRUCT<{ELEMENT}>>"
+
+
 def read_elements(spark: SparkSession, path: str) -> DataFrame:
-    """Read documents of the form ``{"elements": [...]}``, one row per element.
+    """Read documents of the form ``{"elements": [...]}``, one row per element."""
+    return explode_documents(
+        spark.read.schema(DOCUMENT).option("multiLine", True).json(path))
 
-    ``ordinal`` is the position within the document, which decides between repeated ids.
-    """
-    docs = (spark.read.schema(f"elements ARRAY<STRUCT<{ELEMENT}>>")
-            .option("multiLine", True).json(path))
-    return (docs.select(F.posexplode("elements").alias("ordinal", "e"))
-                .select("ordinal", "e.*"))
+
+def explode_documents(documents: DataFrame) -> DataFrame:
+    """``ordinal`` is the position within the document, which decides between repeated ids."""
+    return (documents.select(F.posexplode("elements").alias("ordinal", "e"))
+            .select("ordinal", "e.*"))
 
 
 def read_element_lines(spark: SparkSession, path: str) -> DataFrame:
     """Read one element per line: the splittable form for large extracts.
 
-    The file offset of the line stands in for the position.
+    Lines carry their position as ``ordinal``, as a split file has no order of its own.
     """
     return (spark.read.schema(ELEMENT + ", ordinal BIGINT").json(path)
             .select("ordinal", "type", "id", "lon", "lat", "tags", "nodes", "members"))
