@@ -64,20 +64,27 @@ def contains(ring_edges: Column, x: Column, y: Column) -> Column:
 
 
 # ---- Array helpers run inside tasks, one shape or pair at a time ----------------------------
+# Their Arrow functions are marked nondeterministic only so that Spark, which may copy an
+# expression into a filter and a projection, calls each of them once per row.
 
-def _points(ring) -> np.ndarray:
-    return np.array([(p["x"], p["y"]) for p in ring], dtype=np.float64).reshape(-1, 2)
+def _points(xs, ys) -> np.ndarray:
+    return np.column_stack([np.asarray(xs, dtype=np.float64), np.asarray(ys, dtype=np.float64)])
 
 
-def _crossings(ring: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each height of ``y`` (no vertex on it): the sorted x of the ring's sides, padded."""
+def _spans(ring: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each height of ``y`` (no vertex on it): where the ring's inside begins and ends.
+
+    A ring is crossed an even number of times at any height. Missing spans are empty.
+    """
     a, b = ring[:-1], ring[1:]
     hit = (a[None, :, 1] < y[:, None]) != (b[None, :, 1] < y[:, None])
     with np.errstate(divide="ignore", invalid="ignore"):
         x = a[None, :, 0] + (y[:, None] - a[None, :, 1]) * (
             (b - a)[None, :, 0] / (b - a)[None, :, 1])
-    x = np.sort(np.where(hit, x, np.inf), axis=1)
-    return x, hit.sum(axis=1)
+    count = int(hit.sum(axis=1).max(initial=0))
+    x = np.sort(np.where(hit, x, np.inf), axis=1)[:, :count]
+    x[np.isinf(x)] = 0.0
+    return x[:, 0::2], x[:, 1::2]
 
 
 def _cut_heights(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -89,8 +96,8 @@ def _cut_heights(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     with np.errstate(divide="ignore", invalid="ignore"):
         t = (w[..., 0] * s[..., 1] - w[..., 1] * s[..., 0]) / det
         u = (w[..., 0] * r[..., 1] - w[..., 1] * r[..., 0]) / det
-    hit = (det != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
-    return (p[..., 1] + t * r[..., 1])[hit]
+        hit = (det != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+        return (p[..., 1] + t * r[..., 1])[hit]
 
 
 def overlap_area(a: np.ndarray, b: np.ndarray) -> float:
@@ -106,51 +113,42 @@ def overlap_area(a: np.ndarray, b: np.ndarray) -> float:
     levels = np.unique(np.concatenate([a[:, 1], b[:, 1], _cut_heights(a, b)]))
     levels = levels[(levels >= low) & (levels <= high)]
     total = 0.0
-    for start in range(0, len(levels) - 1, 1024):
-        part = levels[start:start + 1025]
-        height, middle = np.diff(part), (part[:-1] + part[1:]) / 2
-        xa, na = _crossings(a, middle)
-        xb, nb = _crossings(b, middle)
-        for i in range(len(middle)):
-            ia, ib = xa[i, :na[i]].reshape(-1, 2), xb[i, :nb[i]].reshape(-1, 2)
-            left = np.maximum(ia[:, None, 0], ib[None, :, 0])
-            right = np.minimum(ia[:, None, 1], ib[None, :, 1])
-            total += height[i] * np.clip(right - left, 0, None).sum()
-    return float(total)
-
-
-def overlap_fraction(child: Column, parent: Column) -> Column:
-    """Share of the child ring's area that lies in the parent ring."""
-    def one(c, p) -> float | None:
-        if c is None or p is None:
-            return None
-        c, p = _points(c), _points(p)
-        own = overlap_area(c, c)
-        return overlap_area(c, p) / own if own > 0 else None
-
+    # Strips are taken in portions that keep the working arrays small.
+    portion = max(1, 1_000_000 // (len(a) + len(b)))
+    for start in range(0, len(levels) - 1, portion):
+        part = levels[start:start + portion + 1]
+        middle = (part[:-1] + part[1:]) / 2
+        (a_in, a_out), (b_in, b_out) = _spans(a, middle), _spans(b, middle)
+        width = np.zeros(len(middle))
+        for i in range(a_in.shape[1]):
+            shared = (np.minimum(a_out[:, i:i + 1], b_out) - np.maximum(a_in[:, i:i + 1], b_in))
+            width += np.clip(shared, 0, None).sum(axis=1)
+        total += float(np.diff(part) @ width)
+    return total
+
+
+def shared_area(left: Column, right: Column) -> Column:
+    """Exact area that two simple rings share."""
     @F.pandas_udf("double")
-    def run(children: pd.Series, parents: pd.Series) -> pd.Series:
-        return pd.Series([one(c, p) for c, p in zip(children, parents)], dtype="float64")
+    def run(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.Series:
+        return pd.Series([
+            None if a[0] is None or a[2] is None else
+            overlap_area(_points(a[0], a[1]), _points(a[2], a[3])) for a in zip(ax, ay, bx, by)],
+            dtype="float64")
 
-    return run(child, parent)
+    return run.asNondeterministic()(left["x"], left["y"], right["x"], right["y"])
 
 
 def _middle(ring: np.ndarray, axis: int) -> float:
-    """A coordinate with part of the area on both sides of it: near the median of the area."""
+    """The middle of the strip between neighbouring vertices that holds the median of the area."""
     pts = ring if axis == 1 else ring[:, ::-1]
     levels = np.unique(pts[:, 1])
     if len(levels) < 2:
         return float(levels[0])
-
-    def width(y: np.ndarray) -> np.ndarray:
-        x, n = _crossings(pts, y)
-        return np.array([(x[i, 1:n[i]:2] - x[i, 0:n[i]:2]).sum() for i in range(len(y))])
-
-    # Split every strip, so that the area between two neighbouring levels is a small share.
-    fine = np.unique(np.concatenate([levels, np.linspace(levels[0], levels[-1], 257)]))
-    area = np.cumsum(np.diff(fine) * width((fine[:-1] + fine[1:]) / 2))
-    at = int(np.searchsorted(area, area[-1] / 2))
-    return float((fine[at] + fine[at + 1]) / 2)
+    middles = (levels[:-1] + levels[1:]) / 2
+    begin, end = _spans(pts, middles)
+    area = np.cumsum(np.diff(levels) * (end - begin).sum(axis=1))
+    return float(middles[min(int(np.searchsorted(area, area[-1] / 2)), len(middles) - 1)])
 
 
 def median_point(ring: Column) -> Column:
@@ -160,16 +158,18 @@ def median_point(ring: Column) -> Column:
     middle splits the strip's own area no worse than one to three.
     """
     @F.pandas_udf("x double, y double")
-    def run(rings: pd.Series) -> pd.DataFrame:
+    def run(xs: pd.Series, ys: pd.Series) -> pd.DataFrame:
         rows = [(_middle(p, 0), _middle(p, 1)) if len(p) > 1 else (None, None)
-                for p in (_points(r) for r in rings)]
+                for p in (_points(x, y) for x, y in zip(xs, ys))]
         return pd.DataFrame(rows, columns=["x", "y"], dtype="float64")
 
-    return run(ring)
+    return run.asNondeterministic()(ring["x"], ring["y"])
 
 
 def _simplify(points: np.ndarray, tolerance: float) -> np.ndarray:
     """Indexes kept by Douglas-Peucker, worked off a stack."""
+    if len(points) < 3:
+        return np.arange(len(points), dtype=np.int32)
     keep = np.zeros(len(points), dtype=bool)
     keep[[0, -1]] = True
     stack = [(0, len(points) - 1)]
@@ -186,17 +186,15 @@ def _simplify(points: np.ndarray, tolerance: float) -> np.ndarray:
         if away[far] > tolerance:
             keep[first + 1 + far] = True
             stack += [(first, first + 1 + far), (first + 1 + far, last)]
-    return np.flatnonzero(keep)
+    return np.flatnonzero(keep).astype(np.int32)
 
 
 def simplify(line: Column, tolerance: float) -> Column:
     """Douglas-Peucker simplification of a line; ends stay."""
-    @F.pandas_udf("array<struct<x: double, y: double>>")
-    def run(lines: pd.Series) -> pd.Series:
-        return pd.Series([
-            None if pts is None else
-            [{"x": float(p[0]), "y": float(p[1])} for p in xy[_simplify(xy, tolerance)]]
-            if len(xy := _points(pts)) > 2 else [{"x": p["x"], "y": p["y"]} for p in pts]
-            for pts in lines], dtype=object)
+    @F.pandas_udf("array<int>")
+    def kept(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else _simplify(_points(x, y), tolerance)
+                          for x, y in zip(xs, ys)], dtype=object)
 
-    return run(line)
+    # Only positions come back; the points themselves stay where they are.
+    return F.transform(kept.asNondeterministic()(line["x"], line["y"]), lambda i: F.get(line, i))

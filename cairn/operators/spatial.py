@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cairn import fixed
 from cairn.functions import shapes
 from cairn.operators.relational import distinct_ints
+from cairn.session import spread
 
 _FINEST = -30
 
@@ -113,16 +114,25 @@ def containments(regions: DataFrame, overlap: float = fixed.PARENT_OVERLAP) -> D
     sized = measures(regions)
     children = (sized.select(F.col("region_id").alias("child_id"), F.col("area").alias("child_area"),
                              F.col("ring").alias("child_ring"),
+                             *[F.col(c).alias("child_" + c)
+                               for c in ("xmin", "ymin", "xmax", "ymax")],
                              shapes.median_point(F.col("ring")).alias("_p"))
-                .select("child_id", "child_area", "child_ring", "_p.x", "_p.y"))
+                .select("*", "_p.x", "_p.y").drop("_p"))
     parents = sized.select(F.col("region_id").alias("parent_id"), "ordinal",
                            F.col("area").alias("parent_area"), F.col("ring").alias("parent_ring"),
                            "xmin", "ymin", "xmax", "ymax")
-    return (point_box_pairs(children, parents)
-            .where((F.col("child_id") != F.col("parent_id"))
-                   & (F.col("parent_area") > F.col("child_area")))
-            .withColumn("fraction", shapes.overlap_fraction(F.col("child_ring"),
-                                                              F.col("parent_ring")))
+    # Two boxes share at least what the shapes in them share, which settles most pairs at once.
+    wide = F.least("xmax", "child_xmax") - F.greatest("xmin", "child_xmin")
+    high = F.least("ymax", "child_ymax") - F.greatest("ymin", "child_ymin")
+    boxes_allow = wide * high > overlap * F.col("child_area") * (1 - 1e-9)
+    # Areas that differ by rounding only are equal, and equal areas nest in neither direction.
+    larger = F.col("parent_area") > F.col("child_area") * (1 + 1e-9)
+    shared = shapes.shared_area(F.col("child_ring"), F.col("parent_ring"))
+    candidates = (point_box_pairs(children, parents)
+                  .where((F.col("child_id") != F.col("parent_id")) & larger & boxes_allow))
+    # The exact area costs far more than moving a pair, so pairs are dealt out evenly.
+    return (spread(candidates, "child_id", "parent_id")
+            .withColumn("fraction", shared / F.col("child_area"))
             .where(F.col("fraction") > overlap)
             .select("child_id", "parent_id", "ordinal", "parent_area", "fraction"))
 
@@ -162,15 +172,14 @@ def outer_members(relations: DataFrame) -> DataFrame:
             .select("relation_id", "pos", F.col("m.ref").alias("way_id")))
 
 
-def _walk(members: pd.DataFrame) -> pd.DataFrame:
+def _walk(members: list) -> dict:
     """Order the ways of one relation into its ring: dead ends cut off, then followed around.
 
     Bounded regions of a plane graph number edges - vertices + components.
     """
-    relation = int(members["relation_id"].iloc[0])
-    members = members.sort_values("pos").drop_duplicates("way_id")
-    ways = {int(w): ((ax, ay), (bx, by)) for w, ax, ay, bx, by in members[
-        ["way_id", "ax", "ay", "bx", "by"]].itertuples(index=False)}
+    ways: dict = {}
+    for m in sorted(members, key=lambda m: m["pos"]):
+        ways.setdefault(m["way_id"], ((m["ax"], m["ay"]), (m["bx"], m["by"])))
     at: dict = {}
     for way, ends in ways.items():
         for end in ends:
@@ -188,9 +197,8 @@ def _walk(members: pd.DataFrame) -> pd.DataFrame:
                         component[end] = start
                         todo.append(end)
     rings = len(ways) - len(at) + len(set(component.values()))
-    columns = ["relation_id", "rings", "seq", "way_id", "backwards"]
     if rings != 1:
-        return pd.DataFrame([(relation, rings, None, None, None)], columns=columns)
+        return {"rings": rings, "steps": []}
 
     loose = [end for end, touching in at.items() if len(touching) == 1]
     while loose:
@@ -198,38 +206,51 @@ def _walk(members: pd.DataFrame) -> pd.DataFrame:
         if len(at[end]) != 1:
             continue
         way = at[end][0]
-        a, b = ways.pop(way)
-        for other in (a, b):
+        for other in ways.pop(way):
             at[other].remove(way)
             if len(at[other]) == 1:
                 loose.append(other)
     way = next(iter(ways))
-    here, rows = ways[way][0], []
+    here, steps = ways[way][0], []
     while way is not None:
         a, b = ways.pop(way)
-        rows.append((relation, 1, len(rows), way, here != a))
+        steps.append({"way_id": way, "backwards": here != a})
         here = b if here == a else a
         way = next((w for w in at[here] if w in ways), None)
-    return pd.DataFrame(rows, columns=columns)
+    return {"rings": 1, "steps": steps}
+
+
+def _walk_all(members: Column) -> Column:
+    @F.pandas_udf("rings long, steps array<struct<way_id: long, backwards: boolean>>")
+    def run(groups: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_walk(g) for g in groups], columns=["rings", "steps"])
+
+    # Marked so that it is called once per relation, not once per field taken from it.
+    return run.asNondeterministic()(members)
 
 
 def assemble_rings(members: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rings of relations from their outer ways, in whatever direction the ways run.
 
     Returns ``(relation_id, ring)`` and the rejects ``(relation_id, rings)`` of relations that
-    do not form exactly one. Only the ends of each way travel to the walk; the coordinates join
-    again afterwards.
+    do not form exactly one. Only the ends of each way travel to the walk, one short entry per
+    member of the relation's own list; the coordinates join again afterwards.
     """
     ends = lines.select(
         "way_id", F.element_at("line", 1)["x"].alias("ax"), F.element_at("line", 1)["y"].alias("ay"),
         F.element_at("line", -1)["x"].alias("bx"), F.element_at("line", -1)["y"].alias("by"))
-    walked = (members.join(ends, "way_id").groupBy("relation_id").applyInPandas(
-        _walk, "relation_id long, rings long, seq long, way_id long, backwards boolean"))
+    walked = (members.join(ends, "way_id").groupBy("relation_id")
+              .agg(F.collect_list(F.struct("pos", "way_id", "ax", "ay", "bx", "by")).alias("m"))
+              .select("relation_id", _walk_all(F.col("m")).alias("w"))
+              .select("relation_id", "w.rings", "w.steps"))
+    ordered = (walked.where(F.col("rings") == 1)
+               .select("relation_id", F.posexplode("steps").alias("seq", "s"))
+               .select("relation_id", "seq", "s.*"))
     # Every way but the first leaves out its first point, which the way before ended on.
     directed = F.when(F.col("backwards"), F.reverse("line")).otherwise(F.col("line"))
     piece = F.when(F.col("seq") == 0, directed).otherwise(
         F.slice(directed, F.lit(2), F.greatest(F.size("line") - 1, F.lit(0))))
-    rings = (walked.where(F.col("rings") == 1).join(lines, "way_id")
+    rings = (ordered.join(lines, "way_id")
              .groupBy("relation_id")
              .agg(F.array_sort(F.collect_list(F.struct("seq", piece.alias("piece")))).alias("_p"))
              .select("relation_id", F.flatten("_p.piece").alias("ring")))

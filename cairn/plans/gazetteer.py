@@ -9,6 +9,7 @@ from cairn import fixed
 from cairn.functions import shapes, text
 from cairn.functions.values import dms, half_even
 from cairn.operators import quality, spatial
+from cairn.session import staged
 from cairn.sources import elements as el
 
 
@@ -72,6 +73,8 @@ def region_shapes(elements: DataFrame, tolerance: float | None = fixed.SIMPLIFY_
     complete = lines.where((F.col("missing") == 0) & (F.size("line") > 1)).drop("missing")
     if tolerance is not None:
         complete = complete.withColumn("line", shapes.simplify(F.col("line"), tolerance))
+    # The check for broken relations, the walk and the rings all read the lines.
+    complete = staged(complete, "lines")
     members = spatial.outer_members(relations)
     broken = (members.join(complete, "way_id", "left_anti").select("relation_id").distinct()
               .withColumn("reason", F.lit("an outer way is missing or incomplete")))
@@ -90,6 +93,7 @@ def region_shapes(elements: DataFrame, tolerance: float | None = fixed.SIMPLIFY_
 
 def region_table(regions: DataFrame, overlap: float = fixed.PARENT_OVERLAP) -> DataFrame:
     """Regions with measures and their parent region."""
+    regions = staged(regions, "regions")
     parents = spatial.parents(regions, overlap).select(
         F.col("child_id").alias("region_id"), F.col("parent_id").alias("parent"))
     return spatial.measures(regions).drop("edges").join(parents, "region_id", "left")

@@ -120,7 +120,7 @@ _BOXES = """(SELECT 'N' || n_nationkey AS id, n_nationkey * 100.0::DOUBLE AS x,
 _NESTED = f"""(SELECT c.id AS child_id, p.id AS parent_id, p.w * p.h AS parent_area,
         greatest(0, least(c.x + c.w, p.x + p.w) - greatest(c.x, p.x))
         * greatest(0, least(c.y + c.h, p.y + p.h) - greatest(c.y, p.y)) / (c.w * c.h) AS fraction
-    FROM {_BOXES} c JOIN {_BOXES} p ON c.id <> p.id AND p.w * p.h > c.w * c.h + 1e-9
+    FROM {_BOXES} c JOIN {_BOXES} p ON c.id <> p.id AND p.w * p.h > c.w * c.h * (1 + 1e-9)
      AND c.x < p.x + p.w AND p.x < c.x + c.w AND c.y < p.y + p.h AND p.y < c.y + c.h)"""
 
 
@@ -252,7 +252,7 @@ def ring_rejects(t):
     WITH r AS (SELECT * FROM {RECTANGLES_SQL} WHERE c_mktsegment <> 'BUILDING'),
     nested AS (
         SELECT c.region_id AS child, max(p.region_id) AS parent FROM r c JOIN r p
-        ON c.region_id <> p.region_id AND p.w * p.h > c.w * c.h * (1 + 1e-12)
+        ON c.region_id <> p.region_id AND p.w * p.h > c.w * c.h * (1 + 1e-9)
         AND greatest(0, least(c.x + c.w, p.x + p.w) - greatest(c.x, p.x))
             * greatest(0, least(c.y + c.h, p.y + p.h) - greatest(c.y, p.y)) / (c.w * c.h) > 0.99
         GROUP BY 1)

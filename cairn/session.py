@@ -61,3 +61,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Deal rows out over all shuffle partitions, for steps that cost more than their bytes show.
+
+    Without columns rows go round robin. Adaptive execution would merge such small partitions.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
