@@ -9,6 +9,7 @@ baseline: they leave every column at 0.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,5 +63,16 @@ def overlay(matrix: DataFrame, record: dict, schema: dict = fixed.FEATURES,
         for name, (source, rule) in feature_columns(schema, ignore).items()})
 
 
+def complete_rows(matrix: DataFrame, schema: dict = fixed.FEATURES) -> DataFrame:
+    """Rows of a feature matrix without a missing value; only continuous features can miss one.
+
+    One test per column: a single test over all of them makes the optimizer derive every
+    combination of renamed columns.
+    """
+    names = [n for n, (_, rule) in feature_columns(schema).items() if rule is None]
+    return matrix.where(reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names],
+                               F.lit(True)))
+
+
 def label(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("double")

@@ -32,7 +32,7 @@ def train_evaluate(matrix: DataFrame, schema: dict = fixed.FEATURES,
     """
     names = list(features.feature_columns(schema))
     if invalid == "skip":
-        matrix = matrix.dropna(subset=names)
+        matrix = features.complete_rows(matrix, schema)
     model = forest.train(matrix.where(~F.col("holdout")), names, trees=trees, depth=depth,
                          invalid=invalid)
     if model_path:
@@ -50,7 +50,7 @@ def score_defaults(entities: DataFrame, entity_key: str, model: PipelineModel,
     """Score every entity as if asked with nothing but defaults: constants, so no join."""
     filled = entities.withColumns({c: F.lit(v).cast(k) for c, (k, v) in defaults.items()})
     matrix = features.feature_matrix(filled, schema, keys=[entity_key])
-    matrix = matrix.dropna(subset=list(features.feature_columns(schema)))
+    matrix = features.complete_rows(matrix, schema)
     return forest.score(model, matrix).select(entity_key, "percent")
 
 
@@ -62,5 +62,5 @@ def score_one(entities: DataFrame, entity_key: str, model: PipelineModel, reques
     matrix = features.feature_matrix(filled, schema, keys=[entity_key])
     record = {c: request.get(c, v) for c, (_, v) in defaults.items()}
     matrix = features.overlay(matrix, record, schema, ignore=entity_features)
-    matrix = matrix.dropna(subset=list(features.feature_columns(schema)))
+    matrix = features.complete_rows(matrix, schema)
     return forest.score(model, matrix).select(entity_key, "percent")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cairn import fixed
-from cairn.operators.features import feature_columns, feature_matrix
+from cairn.operators.features import complete_rows, feature_matrix
 from cairn.operators.forest import score
 
 SLOTS = 64
@@ -67,7 +67,7 @@ def score_requests(requests: DataFrame, entities: DataFrame, model: PipelineMode
     grid = request_grid(parse_requests(requests, body, defaults), entities, key)
     matrix = feature_matrix(grid, schema, keys=[key, entity_key])
     # An entity without a needed value cannot be scored.
-    return (score(model, matrix.dropna(subset=list(feature_columns(schema))))
+    return (score(model, complete_rows(matrix, schema))
             .select(key, entity_key, "percent"))
 
 
