@@ -1,9 +1,9 @@
 """Spatial joins and shape assembly on planar coordinates.
 
-Boxes are indexed on a hierarchy of square grids. A box goes to the level whose cells are just
-no smaller than its longer side, so it covers at most four cells whatever its size; a point asks
-one cell at each level in use. Both joins are therefore equi-joins on cells, and no shape is
-ever compared with all others.
+Boxes are indexed on a hierarchy of square grids. A box goes to the level whose cells measure
+between a half and the whole of its longer side, so it covers at most nine cells whatever its
+size; a point asks one cell at each level in use. Both joins are therefore equi-joins on cells,
+and no shape is ever compared with all others.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from cairn import fixed
 from cairn.functions import shapes
 from cairn.operators.relational import distinct_ints
-from cairn.session import spread
+from cairn.session import spread, staged
 
 _FINEST = -30
 
 
 def _level(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     span = F.greatest(xmax - xmin, ymax - ymin)
-    return F.when(span > 0, F.greatest(F.ceil(F.log2(span)).cast("int"), F.lit(_FINEST))
+    return F.when(span > 0, F.greatest(F.ceil(F.log2(span)).cast("int") - 1, F.lit(_FINEST))
                   ).otherwise(F.lit(_FINEST))
 
 
@@ -111,7 +111,9 @@ def containments(regions: DataFrame, overlap: float = fixed.PARENT_OVERLAP) -> D
     if overlap < 0.875:
         raise ValueError("candidates are found through a point in the middle of the child's "
                          "area, which needs an overlap of at least 0.875")
-    sized = measures(regions)
+    # Children, parents and the grid's levels all read the measured shapes.
+    sized = staged(spread(measures(regions).select(
+        "region_id", "ordinal", "ring", "area", "xmin", "ymin", "xmax", "ymax")), "shapes")
     children = (sized.select(F.col("region_id").alias("child_id"), F.col("area").alias("child_area"),
                              F.col("ring").alias("child_ring"),
                              *[F.col(c).alias("child_" + c)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cairn import fixed
 from cairn.operators import features, forest
+from cairn.session import spread, staged
 
 
 def model_matrix(rows: DataFrame, keys: list[str], target: str, positive: str = "Y",
@@ -33,6 +34,8 @@ def train_evaluate(matrix: DataFrame, schema: dict = fixed.FEATURES,
     names = list(features.feature_columns(schema))
     if invalid == "skip":
         matrix = features.complete_rows(matrix, schema)
+    # The forest passes over its rows many times and the report once more.
+    matrix = staged(spread(matrix), "matrix")
     model = forest.train(matrix.where(~F.col("holdout")), names, trees=trees, depth=depth,
                          invalid=invalid)
     if model_path:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cairn.operators import features, forest
 from cairn.plans import training
 from cairn.queries import query
-from cairn.session import scratch_folder, staged
+from cairn.session import scratch_folder, spread, staged
 from cairn.streaming import scoring
 
 SCHEMA = {
@@ -116,7 +116,7 @@ def _matrix(t):
 
 @query("rf_train_score")
 def rf_train_score(t):
-    matrix = staged(_matrix(t), "matrix")
+    matrix = _matrix(t)
     path = scratch_folder(matrix.sparkSession, "model")
     training.train_evaluate(matrix, MODEL_SCHEMA, model_path=path)
     return forest.score(forest.load_model(path), matrix).select("o_orderkey", "percent")
@@ -124,14 +124,14 @@ def rf_train_score(t):
 
 @query("rf_holdout_accuracy")
 def rf_holdout_accuracy(t):
-    _, report = training.train_evaluate(staged(_matrix(t), "matrix"), MODEL_SCHEMA)
+    _, report = training.train_evaluate(_matrix(t), MODEL_SCHEMA)
     return report
 
 
 @query("rf_importance")
 def rf_importance(t):
     matrix = _matrix(t)
-    model = forest.train(matrix.where(~F.col("holdout")), MODEL_FEATURES)
+    model = forest.train(staged(spread(matrix.where(~F.col("holdout"))), "matrix"), MODEL_FEATURES)
     return forest.importances(matrix.sparkSession, model, MODEL_FEATURES)
 
 
@@ -142,8 +142,8 @@ def grid_search(t):
         "doc_id", "n_chars", "lang", F.when(F.col("quality") == 1, "Y").alias("good"))
     schema = {"length": {"column": "n_chars"},
               "lang": {"type": "categorical", "column": "lang", "values": ["en", "de", "es"]}}
-    matrix = staged(training.model_matrix(rows, ["doc_id"], "good", "Y", schema)
-                    .where(~F.col("holdout")), "matrix")
+    matrix = staged(spread(training.model_matrix(rows, ["doc_id"], "good", "Y", schema)
+                           .where(~F.col("holdout"))), "matrix")
     _, table = forest.grid_search(matrix, list(features.feature_columns(schema)), "fold",
                                   trees=[5, 10], depths=[5, 10])
     return table
