@@ -135,7 +135,8 @@ def containments(regions: DataFrame, overlap: float = fixed.PARENT_OVERLAP) -> D
     # The exact area costs far more than moving a pair, so pairs are dealt out evenly.
     return (spread(candidates, "child_id", "parent_id")
             .withColumn("fraction", shared / F.col("child_area"))
-            .where(F.col("fraction") > overlap)
+            # A share that equals the limit up to rounding does not exceed it.
+            .where(F.col("fraction") > overlap + 1e-12)
             .select("child_id", "parent_id", "ordinal", "parent_area", "fraction"))
 
 

@@ -31,14 +31,15 @@ def diamonds(t):
                 point(cx - r, cy)).alias("ring"))
 
 
+# The shift keeps points off the diamonds' borders, where rounding would decide in either engine.
 def _event_points(t):
     return t("events").select("event_id", F.col("value").alias("x"),
-                              (F.get_json_object("props", "$.k").cast("double") + 0.013).alias("y"))
+                              (F.get_json_object("props", "$.k").cast("double") + 0.0137).alias("y"))
 
 
 @query("pip_join", f"""
     WITH p AS (SELECT event_id, value AS x,
-                      CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.013 AS y FROM events)
+                      CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.0137 AS y FROM events)
     SELECT event_id, (SELECT min_by(region_id, ordinal) FROM {DIAMONDS_SQL}
                       WHERE abs(x - cx) + abs(y - cy) < r) AS region_id FROM p""")
 def pip_join(t):
@@ -48,7 +49,7 @@ def pip_join(t):
 
 @query("pip_counts", f"""
     WITH p AS (SELECT event_id, value AS x,
-                      CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.013 AS y FROM events)
+                      CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.0137 AS y FROM events)
     SELECT region_id, count(*) AS points FROM p JOIN {DIAMONDS_SQL}
     ON abs(x - cx) + abs(y - cy) < r GROUP BY 1""")
 def pip_counts(t):
@@ -126,14 +127,14 @@ _NESTED = f"""(SELECT c.id AS child_id, p.id AS parent_id, p.w * p.h AS parent_a
 
 @query("polygon_containment", f"""
     SELECT child_id, parent_id, round(fraction, 6) AS fraction FROM {_NESTED}
-    WHERE fraction > 0.99""")
+    WHERE fraction > 0.99 + 1e-12""")
 def polygon_containment(t):
     return spatial.containments(_boxes(t)).select("child_id", "parent_id",
                                                   F.round("fraction", 6).alias("fraction"))
 
 
 @query("polygon_parent", f"""
-    SELECT child_id, max(parent_id) AS parent_id FROM {_NESTED} WHERE fraction > 0.99 GROUP BY 1""")
+    SELECT child_id, max(parent_id) AS parent_id FROM {_NESTED} WHERE fraction > 0.99 + 1e-12 GROUP BY 1""")
 def polygon_parent(t):
     return spatial.parents(_boxes(t))
 
@@ -254,7 +255,7 @@ def ring_rejects(t):
         SELECT c.region_id AS child, max(p.region_id) AS parent FROM r c JOIN r p
         ON c.region_id <> p.region_id AND p.w * p.h > c.w * c.h * (1 + 1e-9)
         AND greatest(0, least(c.x + c.w, p.x + p.w) - greatest(c.x, p.x))
-            * greatest(0, least(c.y + c.h, p.y + p.h) - greatest(c.y, p.y)) / (c.w * c.h) > 0.99
+            * greatest(0, least(c.y + c.h, p.y + p.h) - greatest(c.y, p.y)) / (c.w * c.h) > 0.99 + 1e-12
         GROUP BY 1)
     SELECT region_id AS himal_id, round(x + w / 2, 6) AS longitude,
            round(y + h / 2, 6) AS latitude, parent AS parent_himal_id

@@ -16,9 +16,6 @@ from cairn import fixed
 from cairn.operators.features import complete_rows, feature_matrix
 from cairn.operators.forest import score
 
-SLOTS = 64
-
-
 def parse_requests(requests: DataFrame, body: str = "body",
                    defaults: dict = fixed.REQUEST_DEFAULTS) -> DataFrame:
     """Add one typed column per request field and ``reason``, NULL for a good request.
@@ -52,8 +49,13 @@ def rejected(parsed: DataFrame, key: str) -> DataFrame:
 
 
 def request_grid(parsed: DataFrame, entities: DataFrame, key: str,
-                 slots: int = SLOTS) -> DataFrame:
-    """Every good request paired with every entity."""
+                 slots: int | None = None) -> DataFrame:
+    """Every good request paired with every entity.
+
+    Requests are dealt over as many slots as there are shuffle partitions, and each slot gets
+    all entities.
+    """
+    slots = slots or int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     asked = (parsed.where(F.col("reason").isNull()).drop("reason")
              .withColumn("_slot", F.pmod(F.hash(key), F.lit(slots))))
     offered = entities.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
