@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from cairn import fixed
 from cairn.functions.values import hash_bucket, percent
+from cairn.session import scratch_folder
 
 # Spark's deepest tree, standing for "no limit".
 DEEPEST = 30
@@ -52,9 +53,14 @@ def _stages(features: list[str], label: str, trees: int, depth: int | None, seed
 def train(matrix: DataFrame, features: list[str], label: str = "label",
           trees: int = fixed.FOREST_TREES, depth: int | None = fixed.FOREST_DEPTH,
           seed: int = 17, invalid: str = "error") -> PipelineModel:
-    """Fit a forest. NULL features are an error unless ``invalid`` is 'skip'."""
-    return _stages(features, label, trees, depth, seed, invalid).fit(
+    """Fit a forest. NULL features are an error unless ``invalid`` is 'skip'.
+
+    The model is stored and read back: a freshly fitted one drags its training summary, and with
+    it the session, into every scoring task.
+    """
+    fitted = _stages(features, label, trees, depth, seed, invalid).fit(
         matrix.select(*features, label))
+    return load_model(save_model(fitted, scratch_folder(matrix.sparkSession, "forest")))
 
 
 def score(model: PipelineModel, matrix: DataFrame) -> DataFrame:
