@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import licences, quality, secrets
+from cairn.llm import bpe, licences, neardup, quality, secrets
 from cairn.session import tune
 
+VOCABULARY = os.environ.get("CAIRN_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -151,3 +155,31 @@ def op6_quality(docs):
     return quality.judge(docs.select("doc_id", "text", "lang", "source")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+@query("op2_neardup", sql="""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+        WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(len(words) - 4), lambda i: array_to_string(words[i+1:i+5], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b USING (g)
+      WHERE a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT u, v FROM p JOIN n x ON u = x.doc_id JOIN n y ON v = y.doc_id
+      WHERE 100 * c >= 75 * (x.n + y.n - c)),
+f AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e),
+r(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.a, f.v FROM r JOIN f ON r.b = f.u)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.m AS component_id, w.doc_id = c.m AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS m FROM r GROUP BY a) c ON c.a = w.doc_id""")
+def op2_neardup(docs):
+    return neardup.near_duplicates(docs.select("doc_id", "text"))
+
+
+@query("op8_bpe")
+def op8_bpe(docs):
+    document = Path(VOCABULARY).read_text(encoding="utf-8")
+    done = bpe.encode_documents(docs.select("doc_id", "text"), document, decoded=True)
+    return done.select(
+        "doc_id", long(F.size("ids"), "n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
