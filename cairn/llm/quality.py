@@ -22,49 +22,57 @@ BINS = 1000
 REACH = 6.0  # interquartile ranges above the upper quartile
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
-
-
-def _repeat_words(words: Column) -> Column:
-    """Words inside a three-word window that stands twice or more, the first place included."""
-    last = F.size(words) - 3
-    windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(
-        F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
-    placed = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    following = F.slice(placed, 2, F.size(placed))
-    pairs = F.filter(F.arrays_zip(placed.alias("a"), following.alias("b")),
-                     lambda x: x["a"]["h"] == x["b"]["h"])
+_FEW = 32  # repeated windows up to which each place is looked up in their list
+
 
-    def covered(side: str, ahead: int) -> Column:
-        return F.transform(pairs, lambda x: x[side]["i"] + ahead)
+def _repeat_places() -> Column:
+    """Where the windows stand that occur twice or more, given ``__windows`` and ``__twice``.
 
-    places = F.concat(*(covered(side, k) for side in "ab" for k in range(3)))
-    repeated = F.size(F.array_distinct(windows)) < F.size(windows)
-    return F.when((last >= 1) & repeated, F.size(F.array_distinct(places))).otherwise(0)
+    A short list of repeated windows is searched for each place; otherwise the places are sorted by
+    window and compared with their neighbours. Both give the same places.
+    """
+    windows, twice = F.col("__windows"), F.col("__twice")
+    looked = F.filter(F.sequence(F.lit(0), F.size(windows) - 1),
+                      lambda i: F.array_contains(twice, F.get(windows, i)))
+    placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    pairs = F.filter(F.arrays_zip(placed.alias("a"), F.slice(placed, 2, F.size(placed)).alias("b")),
+                     lambda x: x["a"]["h"] == x["b"]["h"])
+    sides = F.concat(F.transform(pairs, lambda x: x["a"]["i"]), F.transform(pairs, lambda x: x["b"]["i"]))
+    return (F.when(F.size(twice) == 0, F.array().cast("array<int>"))
+            .when(F.size(twice) <= _FEW, looked).otherwise(F.array_distinct(sides)))
 
 
 def text_statistics(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """Replace the text by ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``.
 
-    A NULL or empty text has zeros everywhere. Columns of those names are replaced.
+    ``n_repeat_words`` counts the words inside a three-word window that stands twice or more, its
+    first place included. A NULL or empty text has zeros everywhere. Columns of those names are
+    replaced. Every step is a column of its own, so that none is computed twice.
     """
-    base = docs.withColumn(text_column, F.coalesce(text_column, F.lit("")))
-    base = base.withColumn("__words", _words(F.col(text_column))).withColumn(
-        "__lines", F.filter(F.split(text_column, "\n"), lambda x: F.regexp_like(x, F.lit("[^\\x20\\x09-\\x0D]"))))
-    text, words, lines = F.col(text_column), F.col("__words"), F.col("__lines")
+    word = F.lit(r"[^\x20\x09-\x0D]")
+    hashes = F.transform(F.sequence(F.lit(0), F.size("__words") - 3), lambda i: F.xxhash64(
+        F.get("__words", i), F.get("__words", i + 1), F.get("__words", i + 2)))
+    ahead = F.filter("__sorted", lambda h, i: h == F.get("__sorted", i + 1))
+    covered = F.concat("__at", F.transform("__at", lambda i: i + 1), F.transform("__at", lambda i: i + 2))
+    base = (docs.withColumn("__text", F.coalesce(F.col(text_column).cast("string"), F.lit(""))).drop(text_column)
+            .withColumn("__words", F.filter(F.split("__text", SPACE + "+"), lambda w: w != ""))
+            .withColumn("__lines", F.filter(F.split("__text", "\n"), lambda x: F.regexp_like(x, word)))
+            .withColumn("__windows", F.when(F.size("__words") >= 3, hashes).otherwise(F.array().cast("array<bigint>")))
+            .withColumn("__sorted", F.sort_array("__windows"))
+            .withColumn("__twice", F.array_distinct(ahead))
+            .withColumn("__at", _repeat_places()))
     return base.withColumns({
-        "n_words": F.size(words).cast("bigint"),
-        "word_chars": (F.length(text) - F.regexp_count(text, F.lit(SPACE))).cast("bigint"),
-        "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("bigint"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint"),
-        "__n_lines": F.size(lines),
-        "n_repeat_words": _repeat_words(words).cast("bigint"),
-    }).withColumns({
+        "n_words": F.size("__words").cast("bigint"),
+        "word_chars": F.length(F.array_join("__words", "")).cast("bigint"),
+        "n_symbols": F.length(F.regexp_replace("__text", r"[^#*$%&|<>]+", "")).cast("bigint"),
+        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint"),
+        "__n_lines": F.size("__lines"),
+        "n_repeat_words": F.size(F.array_distinct(covered)).cast("bigint"),
+    }).drop("__text", "__words", "__lines", "__windows", "__sorted", "__twice", "__at").withColumns({
         "symbol_rate": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
         "line_rate": F.col("n_dup_lines") / F.greatest(F.col("__n_lines"), F.lit(1)),
         "repeat_rate": F.col("n_repeat_words") / F.greatest(F.col("n_words"), F.lit(1)),
-    }).drop(text_column, "__words", "__lines", "__n_lines")
+    }).drop("__n_lines")
 
 
 def group_sketches(stats: DataFrame, groups: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, licences, neardup, quality, secrets
+from cairn.llm import bpe, language, licences, neardup, quality, secrets, shards
 from cairn.session import tune
 
 VOCABULARY = os.environ.get("CAIRN_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -183,3 +183,18 @@ def op8_bpe(docs):
     return done.select(
         "doc_id", long(F.size("ids"), "n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op1_language")
+def op1_language(docs):
+    rows = docs.select("doc_id", "text", "lang", language.held_out(F.col("doc_id")).alias("held_out"))
+    model = language.learn(rows.where("NOT held_out"))
+    return language.identify(rows.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
+
+
+@query("op10_shards")
+def op10_shards(docs):
+    return shards.shard_documents(docs.select("doc_id", "text")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
