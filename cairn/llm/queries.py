@@ -9,7 +9,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, language, licences, neardup, quality, secrets, shards
+from cairn.llm import (bpe, decontaminate, html, language, licences, lm, neardup, quality, secrets,
+                       shards)
 from cairn.session import tune
 
 VOCABULARY = os.environ.get("CAIRN_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -198,3 +199,35 @@ def op10_shards(docs):
     return shards.shard_documents(docs.select("doc_id", "text")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op3_html", "pages")
+def op3_html(pages):
+    return html.extract_pages(pages.select("page_id", "url", "html")).select(
+        "page_id", "url", "text", long(F.length("text"), "n_chars"))
+
+
+@query("op7_decontamination", sql="""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS words FROM benchmark),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(greatest(len(words) - 4, 1)),
+        lambda i: array_to_string(words[i+1:i+5], ' '))) AS g FROM w WHERE len(words) > 0),
+t AS (SELECT DISTINCT item_id, unnest(list_transform(range(greatest(len(words) - 4, 1)),
+        lambda i: array_to_string(words[i+1:i+5], ' '))) AS g FROM b WHERE len(words) > 0),
+n AS (SELECT item_id, count(*) AS n_item FROM t GROUP BY item_id),
+c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM s JOIN t USING (g) GROUP BY ALL)
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+FROM c JOIN n USING (item_id) WHERE n_shared * 100 >= n_item * 75""")
+def op7_decontamination(docs, folder):
+    items = docs.sparkSession.read.parquet(f"{folder}/benchmark.parquet")
+    return decontaminate.find_contaminated(docs, items).groupBy("doc_id", "item_id", "n_item").agg(
+        F.max("n_shared").alias("n_shared")).withColumn("containment", F.col("n_shared") / F.col("n_item"))
+
+
+@query("op9_lm")
+def op9_lm(docs):
+    rows = docs.select("doc_id", "text", language.held_out(F.col("doc_id"), 10).alias("held_out"))
+    model = lm.learn(rows.where("NOT held_out"))
+    return lm.score_documents(rows, model).select(
+        "doc_id", language.held_out(F.col("doc_id"), 10).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.filter.total).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -1,4 +1,101 @@
-"""The corpus pipeline; its stages follow with their operators."""
+"""From raw documents to tokens: language, copies, benchmark leaks, secrets, token ids.
 
-STAGES: list = []
+Every stage takes the documents its predecessor kept, whole, and returns documents with the same
+columns; the last one adds token ids. Between stages the documents are written to the shared folder
+and read back, so a lost executor costs one stage at most.
+"""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cairn.llm import bpe, decontaminate, language, neardup, secrets
+from cairn.llm.queries import QUERIES, VOCABULARY
+from cairn.session import staged, tune
+
+#: A text whose shortest code is longer than its own bytes is in none of the learned languages.
+MOST_BITS = 8.0
+
+
+def _carried(docs: DataFrame) -> DataFrame:
+    """The documents as one column, so that no column of theirs meets one that an operator adds."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "text")
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents in a learned language; a missing ``lang`` is filled in.
+
+    Texts without a letter go, and so do those that no language model shortens. Where no document
+    has a language to learn from, only texts without a letter go.
+    """
+    tune(spark)
+    model = language.learn(docs)
+    if model is None:
+        return docs.where(F.regexp_like("text", F.lit(r"\p{L}")))
+    found = language.identify(_carried(docs).drop("doc_id"), model)
+    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS))
+    return kept.select(*(F.coalesce("row.lang", "lang_pred").alias(c) if c == "lang" else F.col(f"row.`{c}`").alias(c)
+                         for c in docs.columns))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of smallest id from each group of near copies, and one of repeated rows.
+
+    Documents without an id are compared with none; of those with equal texts one stays.
+    """
+    tune(spark)
+    found = staged(neardup.near_duplicates(docs), "copies")
+    copies = found.where("NOT kept").select(F.col("doc_id").alias("__copy")).distinct()
+    kept = docs.join(copies, docs["doc_id"] == F.col("__copy"), "left_anti")
+    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.withColumn("__digest", F.xxhash64("text")).dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that hold no benchmark item."""
+    tune(spark)
+    return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep all documents; secrets in them give way to a mark, and ``n_chars`` follows the text."""
+    tune(spark)
+    found = secrets.find_secrets(_carried(docs)).withColumn("hit", F.size("spans") > 0)
+    masked = secrets.redact(found)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    return masked.select(*(F.when(F.col("hit"), new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new
+                           else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Add the token ids of every text as ``ids`` and their number as ``n_tokens``."""
+    tune(spark)
+    done = bpe.encode_documents(_carried(docs).drop("doc_id"), Path(VOCABULARY).read_text(encoding="utf-8"))
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("ids", "n_tokens")]
+    return done.select(*own, F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_copies),
+    ("decontamination", drop_leaks),
+    ("secrets", mask_secrets),
+    ("tokens", encode_tokens),
+]
+#: SQL has no code lengths of byte contexts and no token merges; tests compare with plain Python.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+QUERIES["pipeline"] = run
