@@ -3,7 +3,8 @@
 Each language has a tree of byte contexts up to three bytes long with the counts of what followed.
 A byte costs ``-log2`` of its share in the longest known context; where it was never seen there,
 the context's escape is paid (method C: as likely as the number of distinct followers) and the next
-shorter context is asked, down to eight bits for any byte. The trees are frozen after learning, and
+shorter context is asked, down to eight bits for any byte. A-Z is lower-cased, so that a text in
+capitals is no foreign one. The trees are frozen after learning, and
 a text has the language in which its exact code is shortest.
 """
 
@@ -24,6 +25,8 @@ SAMPLE = 2000  # documents learned from in each language, about; chosen by their
 LANGUAGES = 256  # languages learned, those with most documents
 NODES = 2_000_000  # contexts with a follower kept over all languages, the most frequent ones
 UNKNOWN = "und"
+_FOLD = np.arange(256, dtype=np.uint32)
+_FOLD[65:91] += 32
 _LETTER = regex.compile(r"\p{L}")
 _PIECE = 1 << 17
 
@@ -34,11 +37,11 @@ def held_out(doc_id: Column, modulus: int = 5) -> Column:
 
 
 def _grams(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Each byte with the three before it; three line ends stand before every text."""
+    """Each byte with the three before it, A-Z in lower case; three line ends stand before every text."""
     n, texts = len(raw), len(offsets) - 1
     padded = np.full(n + 3 * texts, 10, np.uint32)
     shift = 3 * (np.searchsorted(offsets, np.arange(n), "right"))
-    padded[np.arange(n) + shift] = raw
+    padded[np.arange(n) + shift] = _FOLD[raw]
     at = np.arange(n) + shift
     return (padded[at - 3] << np.uint32(24)) | (padded[at - 2] << np.uint32(16)) | (padded[at - 1] << np.uint32(8)) | padded[at]
 
@@ -113,7 +116,8 @@ def _followers(grams: np.ndarray, n: np.ndarray, keys: np.ndarray) -> tuple[np.n
 def build_model(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
     """Freeze the counts of four-byte sequences into code lengths for every order."""
     size = len(languages)
-    levels = {4: np.unique(gram), 3: np.unique(gram & np.uint32(0xFFFFFF))}
+    # Contexts of three bytes are looked up among the sequences of three; those before a text's start are only contexts.
+    levels = {4: np.unique(gram), 3: np.union1d(gram & np.uint32(0xFFFFFF), gram >> np.uint32(8))}
     one = np.full((256, size), 8.0)
     pair = np.empty((1 << 16, size), np.float32)
     escape_two = np.zeros((1 << 16, size), np.float32)

@@ -94,13 +94,17 @@ def merge_sketches(sketches: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def thresholds(sketches: DataFrame, groups: list[str], reach: float = REACH) -> DataFrame:
-    """The highest rate each group lets pass: upper quartile + ``reach`` interquartile ranges."""
+    """The highest rate each group lets pass: upper quartile + ``reach`` interquartile ranges.
+
+    The range counts as an eighth of the quartile and ten bins at least, so that a group whose
+    documents hardly differ does not lose those that differ a little.
+    """
     group = Window.partitionBy(*groups, "rate")
     upto = F.sum("n").over(group.orderBy("bin"))
     total = F.sum("n").over(group)
     low, high = (F.min(F.when(4 * F.col("upto") >= k * F.col("total"), F.col("bin"))) for k in (1, 3))
     bins = (sketches.withColumn("upto", upto).withColumn("total", total)
-            .groupBy(*groups, "rate").agg((high + 1 + reach * (high - low)).alias("most")))
+            .groupBy(*groups, "rate").agg((high + 1 + reach * F.greatest(high - low, high / 8, F.lit(10.0))).alias("most")))
     return bins.groupBy(*groups).agg(*(
         F.greatest(F.max(F.when(F.col("rate") == r, F.col("most"))) / BINS, F.lit(FLOORS[r]))
         .alias(f"most_{r}") for r in RATES))

@@ -142,7 +142,7 @@ b AS (SELECT r, lang, source, rate, floor(v * {quality.BINS})::INT AS bin FROM q
       UNPIVOT (v FOR rate IN (symbol_rate, line_rate, repeat_rate))),
 c AS (SELECT lang, source, rate,
              quantile_disc(bin, 0.25) AS low, quantile_disc(bin, 0.75) AS high FROM b GROUP BY ALL),
-m AS (SELECT lang, source, rate, greatest((high + 1 + {quality.REACH} * (high - low)) / {quality.BINS},
+m AS (SELECT lang, source, rate, greatest((high + 1 + {quality.REACH} * greatest(high - low, high / 8, 10.0::DOUBLE)) / {quality.BINS},
              CASE rate WHEN 'symbol_rate' THEN {quality.FLOORS["symbol_rate"]} ELSE 0.3 END) AS most FROM c),
 f AS (SELECT r, bool_or(v > most) AS above FROM q
       UNPIVOT (v FOR rate IN (symbol_rate, line_rate, repeat_rate)) u JOIN m

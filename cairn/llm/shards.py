@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from cairn.session import staged
 
 CHUNK, FAN_IN = 8192, 1024
-HEAVY = 32  # a group above 1 / (shards * HEAVY) of all bytes is heavy: shards * HEAVY of them at most
+HEAVY = 256  # a group above 1 / (shards * HEAVY) of all bytes is heavy: shards * HEAVY of them at most
 
 
 def differencing(tuples: list[list[int]], kinds: list[int] | None = None) -> tuple[list[int], list[list[int]]]:
@@ -105,7 +105,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_column: str = "doc_id"
     room = _level(loads, light)
     top = max(room)
     behind = [top - x for x in room]  # what each shard is ahead by, were all light bytes one chunk
-    chunks = max(1, math.ceil(whole["groups"] / CHUNK))
+    chunks = max(1, math.ceil((whole["groups"] - len(heavy)) / CHUNK))
     shape = "key binary, chunk bigint, part int, bytes bigint"
 
     def deal(chunk: pd.DataFrame) -> pd.DataFrame:
