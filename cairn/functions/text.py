@@ -22,9 +22,10 @@ class NameRules:
 def word_text(c: Column) -> Column:
     """Upper-case text in which every run of non-word characters is one space.
 
-    ``(?U)`` makes ``\\W`` Unicode-aware, so accented letters stay letters.
+    Word characters are letters and digits of any script and the underscore; a combining mark is
+    none and parts a word.
     """
-    return F.upper(F.regexp_replace(c, r"(?U)\W+", " "))
+    return F.upper(F.regexp_replace(c, r"[^\p{L}\p{N}_]+", " "))
 
 
 def substitute(c: Column, substitutions: list[tuple[str, str]]) -> Column:
@@ -81,10 +82,18 @@ def is_digits(c: Column) -> Column:
 def title_case(c: Column, keep_upper: list[str] = fixed.ROMAN_NUMERALS) -> Column:
     """Capital after every non-letter, roman numerals kept upper, white space collapsed.
 
-    Meant for ASCII text; ``initcap`` alone would leave the part after a hyphen in lower case.
+    Letters are those of any script; ``initcap`` alone would leave the part after a hyphen in lower
+    case.
     """
-    pieces = F.regexp_extract_all(F.lower(c), F.lit("([a-z]+|[^a-z]+)"), F.lit(1))
-    cased = F.array_join(F.transform(pieces, lambda p: F.initcap(p)), "")
+    pieces = F.regexp_extract_all(F.lower(c), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+
+    def capital(piece: Column) -> Column:
+        # A letter whose capital is two letters begins with one capital and goes on small.
+        first = F.upper(F.substring(piece, 1, 1))
+        return F.concat(F.substring(first, 1, 1), F.lower(F.substring(first, 2, 9)),
+                        F.substring(piece, 2, 1 << 30))
+
+    cased = F.array_join(F.transform(pieces, capital), "")
     tokens = F.filter(F.split(cased, r"\s+"), lambda t: t != "")
     numerals = [n.title() for n in keep_upper]
     return F.array_join(

@@ -63,6 +63,18 @@ def overlay(matrix: DataFrame, record: dict, schema: dict = fixed.FEATURES,
         for name, (source, rule) in feature_columns(schema, ignore).items()})
 
 
+def is_complete(schema: dict = fixed.FEATURES) -> Column:
+    """Whether a row of a feature matrix has a value for each continuous feature."""
+    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n, (_, rule) in
+                                       feature_columns(schema).items() if rule is None], F.lit(True))
+
+
+def filled_rows(matrix: DataFrame, schema: dict = fixed.FEATURES, flag: str = "_complete") -> DataFrame:
+    """All rows, with zeros for missing values and a flag that tells which rows had all of theirs."""
+    return matrix.withColumn(flag, is_complete(schema)).withColumns({
+        n: F.coalesce(n, F.lit(0.0)) for n, (_, rule) in feature_columns(schema).items() if rule is None})
+
+
 def complete_rows(matrix: DataFrame, schema: dict = fixed.FEATURES) -> DataFrame:
     """Rows of a feature matrix without a missing value; only continuous features can miss one.
 

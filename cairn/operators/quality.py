@@ -75,10 +75,15 @@ def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def last_wins(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
-    """One row per key: the one with the largest ordinal. Ordinals are unique within a key."""
+    """One row per key: the one with the largest ordinal.
+
+    A NULL ordinal loses against any other. Rows that tie are ordered by their content, so the
+    answer does not depend on the order of reading.
+    """
     others = [c for c in df.columns if c not in keys]
+    row = F.struct(*others)
     best = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*others), F.col(ordinal)).alias("_row"))
+        F.max_by(row, F.struct(F.col(ordinal), F.to_json(row))).alias("_row"))
     return best.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c)
                          for c in df.columns])
 

@@ -57,7 +57,7 @@ def region_shapes(elements: DataFrame, tolerance: float | None = fixed.SIMPLIFY_
     """Regions ``region_id, name, alternate_names, ordinal, ring`` from elements, and rejects.
 
     Of several regions with one id the last wins. Rejects list relations that do not form
-    exactly one ring, or whose ways or nodes are missing.
+    exactly one ring, have no outer way or no name, or whose ways or nodes are missing.
     """
     def unique(kind: str) -> DataFrame:
         return quality.last_wins(
@@ -80,23 +80,30 @@ def region_shapes(elements: DataFrame, tolerance: float | None = fixed.SIMPLIFY_
               .withColumn("reason", F.lit("an outer way is missing or incomplete")))
     rings, uneven = spatial.assemble_rings(
         members.join(broken, "relation_id", "left_anti"), complete)
-    rejects = broken.unionByName(uneven.select(
-        "relation_id", F.format_string("forms %d rings, not 1", "rings").alias("reason")))
-
     named = relations.select(
         F.col("id").alias("relation_id"), "ordinal", el.tag("name").alias("name"),
         F.when(el.has_tag("alt_name"), F.array(el.tag("alt_name"))).alias("alternate_names"))
-    regions = (named.join(rings, "relation_id")
+    lone = (named.select("relation_id").distinct().join(members, "relation_id", "left_anti")
+            .withColumn("reason", F.lit("has no outer way")))
+    nameless = (named.where("name IS NULL").select("relation_id").distinct()
+                .join(rings.select("relation_id"), "relation_id", "left_semi")
+                .withColumn("reason", F.lit("has no name")))
+    rejects = broken.unionByName(uneven.select(
+        "relation_id", F.format_string("forms %d rings, not 1", "rings").alias("reason")))
+    rejects = rejects.unionByName(lone).unionByName(nameless)
+    regions = (named.where("name IS NOT NULL").join(rings, "relation_id")
                .withColumn("region_id", text.slug(F.col("name"))).drop("relation_id"))
     return quality.last_wins(regions, ["region_id"], "ordinal"), rejects
 
 
 def region_table(regions: DataFrame, overlap: float = fixed.PARENT_OVERLAP) -> DataFrame:
-    """Regions with measures and their parent region."""
+    """Regions with measures and their parent region; a ring too short to measure has neither."""
     regions = staged(regions, "regions")
     parents = spatial.parents(regions, overlap).select(
         F.col("child_id").alias("region_id"), F.col("parent_id").alias("parent"))
-    return spatial.measures(regions).drop("edges").join(parents, "region_id", "left")
+    measured = spatial.measures(regions).drop("edges").unionByName(
+        regions.where(F.coalesce(F.size("ring") <= 2, F.lit(True))), allowMissingColumns=True)
+    return measured.join(parents, "region_id", "left")
 
 
 def region_rows(table: DataFrame) -> DataFrame:

@@ -47,14 +47,19 @@ def train_evaluate(matrix: DataFrame, schema: dict = fixed.FEATURES,
     return model, report
 
 
+def _scored(matrix: DataFrame, entity_key: str, model: PipelineModel, schema: dict) -> DataFrame:
+    """An entity that lacks a value the model needs has a NULL percent."""
+    return forest.score(model, features.filled_rows(matrix, schema)).select(
+        entity_key, F.when(F.col("_complete"), F.col("percent")).alias("percent"))
+
+
 def score_defaults(entities: DataFrame, entity_key: str, model: PipelineModel,
                    schema: dict = fixed.FEATURES, defaults: dict = fixed.REQUEST_DEFAULTS
                    ) -> DataFrame:
     """Score every entity as if asked with nothing but defaults: constants, so no join."""
     filled = entities.withColumns({c: F.lit(v).cast(k) for c, (k, v) in defaults.items()})
     matrix = features.feature_matrix(filled, schema, keys=[entity_key])
-    matrix = features.complete_rows(matrix, schema)
-    return forest.score(model, matrix).select(entity_key, "percent")
+    return _scored(matrix, entity_key, model, schema)
 
 
 def score_one(entities: DataFrame, entity_key: str, model: PipelineModel, request: dict,
@@ -65,5 +70,4 @@ def score_one(entities: DataFrame, entity_key: str, model: PipelineModel, reques
     matrix = features.feature_matrix(filled, schema, keys=[entity_key])
     record = {c: request.get(c, v) for c, (_, v) in defaults.items()}
     matrix = features.overlay(matrix, record, schema, ignore=entity_features)
-    matrix = features.complete_rows(matrix, schema)
-    return forest.score(model, matrix).select(entity_key, "percent")
+    return _scored(matrix, entity_key, model, schema)

@@ -73,7 +73,7 @@ def create_model_views(spark: SparkSession) -> list[str]:
 
 
 def load_warehouse(spark: SparkSession, text_paths: dict[str, str], out_folder: str,
-                   multiline: bool = True) -> dict[str, int]:
+                   multiline: bool | None = None) -> dict[str, int]:
     """Create every table, load the given text files and define the views."""
     tables.create_empty(spark, out_folder)
     counts = tables.load_catalogue(spark, text_paths, out_folder, multiline=multiline)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from cairn.operators import features, forest
 from cairn.plans import training
 from cairn.queries import query
-from cairn.session import scratch_folder, spread, staged
+from cairn.queries.words import _bucket_sql
+from cairn.session import scratch_folder, spread, staged, staged_at
 from cairn.streaming import scoring
 
 SCHEMA = {
@@ -92,10 +93,9 @@ def request_rejects(t):
 
 @query("stream_request_grid", _GRID)
 def stream_request_grid(t):
-    requests = staged(_requests(t), "requests")
-    spark = requests.sparkSession
-    stream = (spark.readStream.schema(requests.schema)
-              .parquet(requests.inputFiles()[0].rsplit("/", 1)[0]))
+    spark = t("events").sparkSession
+    folder = scratch_folder(spark, "requests")
+    stream = spark.readStream.schema(staged_at(_requests(t), folder).schema).parquet(folder)
     grid = scoring.request_grid(scoring.parse_requests(stream, defaults=DEFAULTS),
                                 t("nation").select("n_nationkey"), "event_id")
     out = scratch_folder(spark, "grid")
@@ -161,17 +161,86 @@ REQUEST_DEFAULTS = {"o_totalprice": ("double", 1000.0), "priority": ("string", "
 def stream_scoring(t):
     rows = _orders(t).withColumn("priority", F.col("o_orderpriority"))
     matrix = training.model_matrix(rows, ["o_orderkey"], "o_orderstatus", "F", REQUEST_SCHEMA)
-    model = forest.train(matrix, list(features.feature_columns(REQUEST_SCHEMA)), trees=10)
-    # Every order of a high priority asks for all nations, with its own price.
-    bodies = staged(t("orders").where(F.col("o_orderpriority") == "2-HIGH").select(
-        "o_orderkey", F.to_json(F.struct("o_totalprice", F.col("o_orderpriority")
-                                         .alias("priority"))).alias("body")), "bodies")
-    spark = bodies.sparkSession
-    stream = spark.readStream.schema(bodies.schema).parquet(
-        bodies.inputFiles()[0].rsplit("/", 1)[0])
-    entities = (t("customer").groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("c_acctbal")))
+    model = forest.train(staged(spread(matrix.where(~F.col("holdout"))), "matrix"),
+                         list(features.feature_columns(REQUEST_SCHEMA)))
+    # Every order asks for all nations, with its own price and priority.
+    return _streamed(t, F.struct("o_totalprice", F.col("o_orderpriority").alias("priority")), model,
+                     REQUEST_SCHEMA, REQUEST_DEFAULTS)
+
+
+def _streamed(t, body, model, schema, defaults):
+    """All orders as a stream of requests against the nations' mean balances."""
+    spark = t("orders").sparkSession
+    folder = scratch_folder(spark, "bodies")
+    bodies = staged_at(t("orders").select("o_orderkey", F.to_json(body).alias("body")), folder)
+    entities = t("customer").groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("c_acctbal"))
     out = scratch_folder(spark, "scores")
-    scoring.score_stream(stream, out, scratch_folder(spark, "progress"), staged(entities, "entities"),
-                         model, "o_orderkey", "c_nationkey", schema=REQUEST_SCHEMA,
-                         defaults=REQUEST_DEFAULTS).awaitTermination()
+    scoring.score_stream(spark.readStream.schema(bodies.schema).parquet(folder), out,
+                         scratch_folder(spark, "progress"), staged(entities, "entities"), model,
+                         "o_orderkey", "c_nationkey", schema=schema, defaults=defaults).awaitTermination()
     return spark.read.parquet(out)
+
+
+# One feature that tells the label alone: every split is pure, so SQL knows each answer of the forest.
+CLEAR_SCHEMA = {"urgent": {"type": "indicator", "column": "o_orderpriority", "value": "1-URGENT"}}
+CLEAR_DEFAULTS = {"o_orderpriority": ("string", "1-URGENT")}
+
+
+def _clear_matrix(t):
+    rows = t("orders").withColumn("target", F.when(F.col("o_orderpriority") == "1-URGENT", "Y"))
+    return staged(spread(training.model_matrix(rows, ["o_orderkey"], "target", "Y", CLEAR_SCHEMA)), "matrix")
+
+
+def _clear_model(t):
+    return forest.train(_clear_matrix(t).where(~F.col("holdout")), ["urgent"], trees=10)
+
+
+@query("forest_clear_scores", """
+    SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 100.0 ELSE 0.0 END AS percent FROM orders""")
+def forest_clear_scores(t):
+    matrix = _clear_matrix(t)
+    path = scratch_folder(matrix.sparkSession, "model")
+    training.train_evaluate(matrix, CLEAR_SCHEMA, trees=10, model_path=path)
+    scored = forest.score(forest.load_model(path), matrix)
+    return scored.select("o_orderkey", F.col("percent").cast("double").alias("percent"))
+
+
+@query("forest_clear_accuracy", f"""
+    SELECT {_bucket_sql("o_orderkey::VARCHAR", 5)} = 1 AS holdout, 1.0::DOUBLE AS accuracy, count(*) AS rows
+    FROM orders GROUP BY 1""")
+def forest_clear_accuracy(t):
+    return training.train_evaluate(_clear_matrix(t), CLEAR_SCHEMA, trees=10)[1]
+
+
+@query("forest_clear_importance", "SELECT 'urgent' AS feature, 100.0::DOUBLE AS importance")
+def forest_clear_importance(t):
+    return forest.importances(t("orders").sparkSession, _clear_model(t), ["urgent"])
+
+
+@query("forest_clear_grid", """
+    SELECT trees::INT AS trees, depth::INT AS depth, 1.0::DOUBLE AS accuracy
+    FROM (SELECT unnest([2, 5]) AS trees), (SELECT unnest([2, 5]) AS depth)""")
+def forest_clear_grid(t):
+    matrix = _clear_matrix(t).where(~F.col("holdout"))
+    return forest.grid_search(staged(matrix, "matrix"), ["urgent"], "fold", trees=[2, 5], depths=[2, 5])[1]
+
+
+@query("score_defaults", "SELECT n_nationkey, 100.0::DOUBLE AS percent FROM nation")
+def score_defaults(t):
+    scored = training.score_defaults(t("nation"), "n_nationkey", _clear_model(t), CLEAR_SCHEMA, CLEAR_DEFAULTS)
+    return scored.select("n_nationkey", F.col("percent").cast("double").alias("percent"))
+
+
+@query("score_one", "SELECT n_nationkey, 0.0::DOUBLE AS percent FROM nation")
+def score_one(t):
+    scored = training.score_one(t("nation"), "n_nationkey", _clear_model(t), {"o_orderpriority": "5-LOW"},
+                                CLEAR_SCHEMA, CLEAR_DEFAULTS, entity_features=())
+    return scored.select("n_nationkey", F.col("percent").cast("double").alias("percent"))
+
+
+@query("stream_clear_scoring", """
+    SELECT o_orderkey, c_nationkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 100.0 ELSE 0.0 END AS percent
+    FROM orders, (SELECT DISTINCT c_nationkey FROM customer)""")
+def stream_clear_scoring(t):
+    scored = _streamed(t, F.struct("o_orderpriority"), _clear_model(t), CLEAR_SCHEMA, CLEAR_DEFAULTS)
+    return scored.withColumn("percent", F.col("percent").cast("double"))

@@ -21,6 +21,32 @@ def dsv_roundtrip(t):
     return delimited.read_delimited(docs.sparkSession, path)
 
 
+@query("dsv_lone_column", """
+    SELECT nullif(CASE WHEN p_type = 'SMALL' THEN '' WHEN p_type <> 'PROMO' THEN p_name END, '') AS name FROM part""")
+def dsv_lone_column(t):
+    lone = t("part").select(F.when(F.col("p_type") == "SMALL", "").when(
+        F.col("p_type") != "PROMO", F.col("p_name")).alias("name"))
+    path, _ = delimited.write_delimited(lone, scratch_folder(lone.sparkSession, "lone"))
+    return delimited.read_delimited(lone.sparkSession, path)
+
+
+@query("dsv_columns_by_name", "SELECT s_name, s_suppkey::VARCHAR AS s_suppkey FROM supplier")
+def dsv_columns_by_name(t):
+    path, _ = delimited.write_delimited(t("supplier"), scratch_folder(t("supplier").sparkSession, "supplier"))
+    return delimited.read_delimited(t("supplier").sparkSession, path, columns=["s_name", "s_suppkey"])
+
+
+@query("catalogue_rejects", """
+    SELECT p_partkey::VARCHAR AS p_partkey, 'p_retailprice=n/a' AS bad FROM part WHERE p_type = 'PROMO'""")
+def catalogue_rejects(t):
+    raw = _untyped(t)
+    spark = raw.sparkSession
+    path, _ = delimited.write_delimited(raw, scratch_folder(spark, "part-text"))
+    tables.load_catalogue(spark, {"part_list": path}, scratch_folder(spark, "catalogue"),
+                          {"part_list": tables.layout(_PART)})
+    return spark.table("rejects_part_list").select("p_partkey", F.array_join("bad_fields", ";").alias("bad"))
+
+
 @query("dsv_rows_written", """
     SELECT count(*) AS written FROM pages""")
 def dsv_rows_written(t):

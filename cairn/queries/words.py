@@ -75,15 +75,15 @@ def multi_split(t):
 @query("title_case", """
     WITH cased AS (
         SELECT conv_id, turn, array_to_string(list_transform(
-            regexp_extract_all(lower(text), '[a-z]+|[^a-z]+'),
-            lambda x: upper(x[1]) || x[2:]), '') AS s
-        FROM conversations WHERE regexp_full_match(text, '[\\x00-\\x7F]*'))
+            regexp_extract_all(lower(text), '\\p{L}+|\\P{L}+'),
+            lambda x: replace(upper(x[1]), 'ẞ', 'Ss') || x[2:]), '') AS s
+        FROM conversations)
     SELECT conv_id, turn, array_to_string(list_transform(list_filter(
         regexp_split_to_array(s, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> ''),
         lambda x: CASE WHEN x IN ('I','Ii','Iii','Iv','V','Vi','Vii') THEN upper(x) ELSE x END),
         ' ') AS title FROM cased""")
 def title_case(t):
-    return (t("conversations").where(text.is_ascii(F.col("text")))
+    return (t("conversations")
             .select("conv_id", "turn", text.title_case(F.col("text")).alias("title")))
 
 

@@ -58,7 +58,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     The table is in the shared folder, so it outlives a lost executor, and later plans start
     from its real size.
     """
-    path = scratch_folder(df.sparkSession, label)
+    return staged_at(df, scratch_folder(df.sparkSession, label))
+
+
+def staged_at(df: DataFrame, path: str) -> DataFrame:
+    """Write a table to a folder of the caller's choice and read it back."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

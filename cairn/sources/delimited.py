@@ -16,29 +16,39 @@ _FORMAT = {
 
 
 def read_delimited(spark: SparkSession, path: str, columns: list[str] | None = None,
-                   multiline: bool = True) -> DataFrame:
-    """Read as text columns; the header row names them.
+                   multiline: bool | None = None) -> DataFrame:
+    """Read as text columns; the header row names them and an empty field is NULL.
 
-    With ``multiline=False`` one file is split over many tasks; use it where no field holds a
-    line break.
+    ``columns`` picks columns by the header's names, in whatever order the file has them. With
+    ``multiline=False`` one file is split over many tasks, which takes fields without line breaks;
+    ``None`` looks for such fields first.
     """
-    reader = spark.read.options(**_FORMAT).option("multiLine", multiline)
-    if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-        # Columns are asked for by name, so the header decides which field is which.
-        reader = reader.option("enforceSchema", "false")
-    return reader.csv(path)
+    if multiline is None:
+        multiline = has_line_breaks(spark, path)
+    rows = spark.read.options(**_FORMAT).option("multiLine", multiline).csv(path)
+    return rows.select(*[null_if_empty(F.col(f"`{c}`")).alias(c) for c in columns or rows.columns])
+
+
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field runs over its line's end; stops at the first one found."""
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not lines.where(quotes % 2 == 1).isEmpty()
 
 
 def write_delimited(df: DataFrame, path: str, mode: str = "error") -> tuple[str, int]:
     """Write as delimited text, NULL and '' both empty; returns the path and the row count.
 
-    The count is observed while writing, so the input is read once.
+    The count is observed while writing, so the input is read once. In a table of one column an
+    empty field is written as two quotes, as a blank line is no row.
     """
     seen = Observation()
-    (df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    lone = len(df.columns) == 1
+    fields = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]
+    (df.select(*[F.coalesce(f, F.lit("")).alias(c) if lone else f
+                 for f, c in zip(fields, df.columns, strict=True)])
        .observe(seen, F.count(F.lit(1)).alias("rows"))
-       .write.options(**_FORMAT).option("emptyValue", "").option("nullValue", "")
+       .write.options(**_FORMAT).option("emptyValue", '""' if lone else "").option("nullValue", "")
        .mode(mode).csv(path))
     return path, seen.get["rows"]
 

@@ -27,10 +27,14 @@ def explode_documents(documents: DataFrame) -> DataFrame:
 def read_element_lines(spark: SparkSession, path: str) -> DataFrame:
     """Read one element per line: the splittable form for large extracts.
 
-    Lines carry their position as ``ordinal``, as a split file has no order of its own.
+    Lines may carry their position as ``ordinal``. One without gets its place in the file: the
+    block it was read from, then its number within the task.
     """
+    block = F.shiftright("_metadata.file_block_start", 20)
+    place = F.shiftleft(block, 33) + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     return (spark.read.schema(ELEMENT + ", ordinal BIGINT").json(path)
-            .select("ordinal", "type", "id", "lon", "lat", "tags", "nodes", "members"))
+            .select(F.coalesce("ordinal", place).alias("ordinal"), "type", "id", "lon", "lat", "tags",
+                    "nodes", "members"))
 
 
 def of_type(elements: DataFrame, kind: str) -> DataFrame:

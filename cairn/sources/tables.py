@@ -25,7 +25,7 @@ def registry() -> dict[str, T.StructType]:
 
 
 def load_table(spark: SparkSession, text_path: str, schema: T.StructType, out_path: str,
-               multiline: bool = True) -> tuple[str, int, DataFrame]:
+               multiline: bool | None = None) -> tuple[str, int, DataFrame]:
     """Typed load of one delimited file into Parquet. Returns path, row count and rejects."""
     typed, rejects = type_columns(read_delimited(spark, text_path, multiline=multiline), schema)
     seen = Observation()
@@ -36,14 +36,21 @@ def load_table(spark: SparkSession, text_path: str, schema: T.StructType, out_pa
 
 def load_catalogue(spark: SparkSession, text_paths: dict[str, str], out_folder: str,
                    schemas: dict[str, T.StructType] | None = None,
-                   multiline: bool = True) -> dict[str, int]:
-    """Load a set of tables and register a view for each. Returns the row counts."""
+                   multiline: bool | None = None) -> dict[str, int]:
+    """Load a set of tables and register a view for each. Returns the row counts.
+
+    Rows with a value that does not fit its type are written beside the tables, as JSON lines in
+    ``rejects/<table>``, and open as the view ``rejects_<table>``.
+    """
     schemas = schemas or registry()
     counts = {}
     for name, text_path in text_paths.items():
-        out_path, counts[name], _ = load_table(
+        out_path, counts[name], rejects = load_table(
             spark, text_path, schemas[name], os.path.join(out_folder, name), multiline)
         open_table(spark, out_path, name)
+        bad_path = os.path.join(out_folder, "rejects", name)
+        rejects.write.mode("overwrite").json(bad_path)
+        spark.read.schema(rejects.schema).json(bad_path).createOrReplaceTempView(f"rejects_{name}")
     return counts
 
 

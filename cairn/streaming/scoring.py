@@ -1,8 +1,8 @@
 """Scoring requests against every entity, as a batch or as a stream.
 
 Requests are JSON bodies. Each is checked, filled with defaults and paired with every entity;
-the pairs are what the caller asked for. Pairing is an equi-join on request slots, so Spark
-broadcasts the entities while they are small and spreads the work over slots otherwise.
+the pairs are what the caller asked for. Requests meet chunks of entities by the chunk's number, so
+Spark broadcasts the chunks while they are small and spreads them otherwise.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cairn import fixed
-from cairn.operators.features import complete_rows, feature_matrix
+from cairn.operators.features import feature_matrix, filled_rows
 from cairn.operators.forest import score
 
 def parse_requests(requests: DataFrame, body: str = "body",
@@ -48,29 +48,34 @@ def rejected(parsed: DataFrame, key: str) -> DataFrame:
     return parsed.where(F.col("reason").isNotNull()).select(key, "reason")
 
 
-def request_grid(parsed: DataFrame, entities: DataFrame, key: str,
-                 slots: int | None = None) -> DataFrame:
+def request_grid(parsed: DataFrame, entities: DataFrame, key: str, chunk: int = 256) -> DataFrame:
     """Every good request paired with every entity.
 
-    Requests are dealt over as many slots as there are shuffle partitions, and each slot gets
-    all entities.
+    Entities are packed into chunks of about ``chunk`` rows. A request meets each chunk once, by the
+    chunk's number, and the chunk's rows come out of it within the task, so neither side is copied
+    more than the chunks ask for, however many partitions the cluster uses.
     """
-    slots = slots or int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(1, -(-entities.count() // chunk))
+    names = entities.columns
+    packed = (entities.groupBy(F.pmod(F.xxhash64(*names), F.lit(chunks)).cast("int").alias("_chunk"))
+              .agg(F.collect_list(F.struct(*names)).alias("_rows")))
     asked = (parsed.where(F.col("reason").isNull()).drop("reason")
-             .withColumn("_slot", F.pmod(F.hash(key), F.lit(slots))))
-    offered = entities.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    return asked.join(offered, "_slot").drop("_slot")
+             .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))))
+    return (asked.join(packed, "_chunk").drop("_chunk")
+            .select("*", F.inline("_rows")).drop("_rows"))
 
 
 def score_requests(requests: DataFrame, entities: DataFrame, model: PipelineModel, key: str,
                    entity_key: str, schema: dict = fixed.FEATURES,
                    defaults: dict = fixed.REQUEST_DEFAULTS, body: str = "body") -> DataFrame:
-    """``key, entity_key, percent`` for every good request and every entity, batch or stream."""
+    """``key, entity_key, percent`` for every good request and every entity, batch or stream.
+
+    An entity that lacks a value the model needs stays in the answer, with a NULL percent.
+    """
     grid = request_grid(parse_requests(requests, body, defaults), entities, key)
     matrix = feature_matrix(grid, schema, keys=[key, entity_key])
-    # An entity without a needed value cannot be scored.
-    return (score(model, complete_rows(matrix, schema))
-            .select(key, entity_key, "percent"))
+    return (score(model, filled_rows(matrix, schema))
+            .select(key, entity_key, F.when(F.col("_complete"), F.col("percent")).alias("percent")))
 
 
 def score_stream(requests: DataFrame, out_path: str, checkpoint: str, entities: DataFrame,

@@ -146,3 +146,12 @@ def test_first_source_takes_all_fields_of_one_source(spark):
         (F.col("ax").isNotNull(), {"x": F.col("ax"), "t": F.col("at")}),
         (F.col("bx").isNotNull(), {"x": F.col("bx"), "t": F.col("bt")})]).alias("c")).select("c.*")
     assert [tuple(r) for r in got.collect()] == [(2.0, "b2"), (1.0, None)]
+
+
+def test_title_case_of_any_script(spark):
+    for raw, want in (("élan vÉri l'été", "Élan Véri L'Été"), ("ßa o'ß", "Ssa O'Ss"), ("ЯК-ii як", "Як-Ii Як")):
+        assert one(spark, text.title_case, raw) == want
+
+
+def test_combining_marks_part_words(spark):
+    assert one(spark, text.word_text, "नेपाल x_1") == "न प ल X_1"

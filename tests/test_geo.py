@@ -181,7 +181,8 @@ def elements():
         rel(20, "Khumbu Himal", [12, 11, 10], alt_name="Everest Range"),
         rel(21, "Dead End Himal", [10, 11, 12, 13]), rel(22, "Open Himal", [10, 11]),
         rel(23, "Small Subsection", [14]), rel(24, "Two Rings Himal", [10, 11, 12, 14]),
-        rel(25, "Lost Himal", [10, 99]), rel(26, "Lost Node Himal", [15]),
+        rel(25, "Lost Himal", [10, 99]), rel(26, "Lost Node Himal", [15]), rel(27, "Empty Himal", []),
+        {"type": "relation", "id": 28, "members": [{"type": "way", "ref": 14, "role": "outer"}]},
     ]
 
 
@@ -195,7 +196,7 @@ def test_region_build_from_elements(spark, tmp_path):
     bad = {r.relation_id: r.reason for r in rejects.collect()}
     assert bad == {22: "forms 0 rings, not 1", 24: "forms 2 rings, not 1",
                    25: "an outer way is missing or incomplete",
-                   26: "an outer way is missing or incomplete"}
+                   26: "an outer way is missing or incomplete", 27: "has no outer way", 28: "has no name"}
     table = {r.region_id: r for r in gazetteer.region_table(regions).collect()}
     assert set(table) == {"KHUMBU", "DEADEND", "SMALL"}
     assert [tuple(p) for p in table["KHUMBU"].ring][0] == tuple(table["KHUMBU"].ring[-1])
@@ -250,3 +251,10 @@ def test_peak_cleaning(spark, tmp_path):
     assert [(r.peak_id, r.peak_name, r.alternate_names) for r in got] == [
         (1, "Chomo Lungma", "Everest II,Sagarmatha")]
     assert got[0].dms_longitude == "86° 55′ 30.00000″ E"
+
+
+def test_short_rings_stay_in_the_table(spark):
+    rows = [("B", 1, square(0.0, 0.0, 9.0)), ("C", 2, square(0.0, 0.0, 9.0)[:2]), ("D", 3, None)]
+    regions = spark.createDataFrame(rows, REGION).withColumn("name", F.col("region_id"))
+    got = {r.region_id: r.area for r in gazetteer.region_table(regions).collect()}
+    assert got == {"B": pytest.approx(81.0), "C": None, "D": None}

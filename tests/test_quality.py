@@ -85,3 +85,9 @@ def test_range_filter_reaches_the_scan(spark, tmp_path):
         "expedition_year")._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(expedition_year,50)" in plan
     assert "ReadSchema: struct<expedition_year:bigint>" in plan
+
+
+def test_last_wins_without_ordinals(spark):
+    rows = [(1, None, "a"), (1, None, "b"), (2, 5, "c"), (2, None, "d"), (3, None, None)]
+    got = quality.last_wins(spark.createDataFrame(rows, "k INT, n INT, v STRING"), ["k"], "n")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, None, "b"), (2, 5, "c"), (3, None, None)]

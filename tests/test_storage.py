@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairn import fixed
+from cairn.operators import quality
 from cairn.plans import warehouse
 from cairn.session import scratch_folder
-from cairn.sources import delimited, tables
+from cairn.sources import delimited, elements, tables
 
 
 def test_roundtrip_of_awkward_text(spark, tmp_path):
@@ -117,3 +118,40 @@ def test_empty_tables_have_their_layout(spark, tmp_path):
     made = tables.create_empty(spark, str(tmp_path / "e"))
     assert len(made) == 14
     assert spark.table("hdb_peak").count() == 0 and "pkname2" in spark.table("hdb_peak").columns
+
+
+def test_lone_columns_keep_their_rows(spark, tmp_path):
+    rows = [("a",), ("",), (None,), ("b",)]
+    path, n = delimited.write_delimited(spark.createDataFrame(rows, "a STRING"), str(tmp_path / "lone"))
+    got = sorted(str(r.a) for r in delimited.read_delimited(spark, path).collect())
+    assert n == 4 and got == ["None", "None", "a", "b"]
+
+
+def test_columns_are_bound_by_the_header(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("b|a|c\n1|x|\n2|y|z\n")
+    got = delimited.read_delimited(spark, str(tmp_path / "t.txt"), columns=["a", "b"])
+    assert got.columns == ["a", "b"] and sorted(map(tuple, got.collect())) == [("x", "1"), ("y", "2")]
+
+
+def test_line_breaks_are_found(spark, tmp_path):
+    (tmp_path / "one.txt").write_text('a|b\n"x ""y"""|1\n')
+    (tmp_path / "two.txt").write_text('a|b\n"x\ny"|1\n')
+    assert not delimited.has_line_breaks(spark, str(tmp_path / "one.txt"))
+    assert delimited.has_line_breaks(spark, str(tmp_path / "two.txt"))
+    assert delimited.read_delimited(spark, str(tmp_path / "two.txt")).first().a == "x\ny"
+
+
+def test_catalogue_keeps_rejects(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("id|n\n1|2\n2|two\n3|\n")
+    counts = tables.load_catalogue(spark, {"few": str(tmp_path / "t.txt")}, str(tmp_path / "out"),
+                                   {"few": tables.layout("id INT, n INT")})
+    assert counts == {"few": 3}
+    assert [(r.id, list(r.bad_fields)) for r in spark.table("rejects_few").collect()] == [("2", ["n=two"])]
+
+
+def test_lines_without_ordinal_keep_their_content(spark, tmp_path):
+    lines = ['{"type": "node", "id": %d, "lon": %d.0, "lat": 1.0}' % (k % 7, k) for k in range(40)]
+    (tmp_path / "e.json").write_text("\n".join(lines))
+    read = elements.read_element_lines(spark, str(tmp_path / "e.json"))
+    got = quality.last_wins(read.select("id", "lon", "lat", "ordinal"), ["id"], "ordinal").collect()
+    assert {r.id: r.lon for r in got} == {k % 7: float(k) for k in range(40)}
