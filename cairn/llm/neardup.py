@@ -7,9 +7,10 @@ Six registers make a band. Documents that share a band are candidates; the share
 registers, less the equalities that chance alone gives, estimates their Jaccard similarity, and
 links are confirmed on the full sets of five-word shingles.
 
-Equal sets are one node from the start. A band's bucket links to one of its members first; only
-buckets that still hold several components then get the pairs between those components, so a group
-of copies costs links in its size and not in its square, and no link between components is lost.
+Equal sets are one node from the start. A band's bucket links to one of its members first, drawn by
+lot so that a document meets many. Only buckets that still hold several components then get the pairs
+between those components that their rarest shingles leave possible, so a group of copies costs links
+in its size and not in its square, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm import words as w
@@ -161,6 +162,66 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
     return near.join(a, "u").join(b, "v").mapInArrow(_confirm_batches, "u bigint, v bigint")
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _labelled(rows: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """Add ``label_<column>``: the component of a node, or the node itself."""
+    named = labels.select(F.col("node").alias(column), F.col("label").alias("__label"))
+    return rows.join(named, column, "left").withColumn(
+        f"label_{column}", F.coalesce("__label", column)).drop("__label")
+
+
+def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 128):
+            part = batch.slice(at, 128)
+            sets = [np.frombuffer(s.as_buffer(), np.int64) for s in part.column("shingles")]
+            rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id").take(pa.array(rows)), pa.array(np.concatenate(sets))], names=["id", "h"])
+
+
+def _pairs_between(crowded: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
+    """Pairs ``(u, v)`` of different components that could be linked, of documents in mixed buckets.
+
+    Two sets of sizes n and m that are linked have 3/7 of n + m in common at least. With every set
+    ordered from its rarest shingle to its most frequent one, two linked sets meet in an early
+    place: where their first common shingle stands, enough must still follow in both. What a whole
+    group has in common comes last and brings nobody together.
+    """
+    kinds = crowded.groupBy("key").agg(F.min("label_id").alias("a"), F.max("label_id").alias("b")).where("a < b")
+    mixed = staged(crowded.join(kinds.select("key"), "key").select("id", F.col("label_id").alias("label")).distinct(), "mixed")
+    hashes = staged(full.join(mixed.select("id"), "id").mapInArrow(_hash_batches, "id bigint, h bigint").distinct(), "hashes")
+    often = staged(hashes.groupBy("h").agg(F.count("*").alias("df")), "often")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("df", "h"))
+    size = sets.select("id", F.col("n_shingles").alias("n")).distinct()
+    placed = (hashes.join(often, "h").withColumn("place", place).where("df > 1")
+              .join(staged(mixed.join(size, "id"), "sized"), "id"))
+    need, base = PERCENT, 100 + PERCENT  # in common at least: need / base of both sizes
+
+    def possible(left, n, other):
+        return base * left >= need * (n + other)
+
+    left = F.col("n") - F.col("place") + 1
+    early = staged(placed.withColumn("left", left).where(
+        possible(left, F.col("n"), F.ceil(F.col("n") * PERCENT / 100))), "early")
+    least = early.groupBy("h").agg(F.min("n").alias("least"), F.min("label").alias("a"), F.max("label").alias("b"))
+    rows = staged(early.join(staged(least.where("a < b").select("h", "least"), "least"), "h")
+                  .where(possible(F.col("left"), F.col("n"), F.col("least"))).drop("least", "df", "place"), "rows")
+    named = rows.select("h", "label").distinct()
+    one, two = (named.select("h", F.col("label").alias(f"label_{x}")) for x in "uv")
+    meet = one.join(two, "h").where("label_u < label_v")
+
+    def side(x: str) -> DataFrame:
+        return rows.select("h", *(F.col(c).alias(f"{c}_{x}") for c in ("label", "n", "left")), F.col("id").alias(x))
+
+    both = meet.join(side("u"), ["h", "label_u"]).join(side("v"), ["h", "label_v"])
+    return both.where(possible(F.least("left_u", "left_v"), F.col("n_u"), F.col("n_v"))
+                      & (100 * F.least("n_u", "n_v") >= PERCENT * F.greatest("n_u", "n_v")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for each row of ``docs (doc_id, text, ...)``.
 
@@ -177,41 +238,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = staged(joined.where("doc_id = id").select("id", "n_shingles", "few", "many"), "sets")
     member = joined.select("doc_id", "id").distinct()
 
-    keys = bands(sets)
-    hubs = staged(keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
-                  .where("hub < last").select("key", "hub"), "buckets")
-    crowded = staged(keys.join(hubs, "key").select("key", "id", "hub"), "crowded")
+    # Each bucket of two sets or more gets one member by lot as its hub.
+    keys = bands(sets).withColumn("lot", F.xxhash64("id", "key"))
+    buckets = staged(keys.groupBy("key").agg(F.min("lot").alias("least"), F.max("lot").alias("most"))
+                     .where("least < most").select("key", "least"), "buckets")
+    crowded = staged(keys.join(buckets, "key").select("key", "id", (F.col("lot") == F.col("least")).alias("hub")), "crowded")
     asked = crowded.select("id").distinct()
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
-    full = staged(texts.join(asked, "id").mapInArrow(_set_batches, "id bigint, shingles binary"), "shingles")
-
-    # First each document with the bucket member it shares most bands with.
-    stars = crowded.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("n"))
-    best = stars.groupBy("id").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("v"))
-    edges = staged(_confirmed(best.select(F.col("id").alias("u"), "v"), sets, full), "links")
+    full = staged(texts.join(staged(asked, "asked"), "id").mapInArrow(_set_batches, "id bigint, shingles binary"), "shingles")
+
+    # First each document with the hub it shares most bands with, then hubs of other components.
+    hubs = crowded.where("hub").select("key", F.col("id").alias("v"))
+    stars = staged(crowded.where("NOT hub").select("key", F.col("id").alias("u")).join(hubs, "key")
+                   .groupBy("u", "v").agg(F.count("*").alias("n")), "stars")
+    best = stars.groupBy("u").agg(F.max_by("v", F.struct("n", -F.col("v"))).alias("v"))
+    edges = staged(_confirmed(best, sets, full), "links")
+    labels = staged(components(edges), "labels")
+    apart = _labelled(_labelled(stars, labels, "u"), labels, "v").where("label_u <> label_v")
+    edges = staged(edges.union(_confirmed(_ordered(apart), sets, full)), "links")
     labels = staged(components(edges), "labels")
-    # Then one member of each component left in a bucket with one of the bucket's first component.
-    for last in (False, True):
-        placed = crowded.join(labels, crowded["id"] == labels["node"], "left").select(
-            "key", "id", F.coalesce("label", "id").alias("label"))
-        kinds = placed.groupBy("key", "label").agg(F.min("id").alias("id"))
-        several = kinds.groupBy("key").agg(F.min("label").alias("first"), F.max("label").alias("end")).where("first < end")
-        mixed = staged(kinds.join(several, "key").select("key", "label", "id", "first"), "mixed")
-        if mixed.isEmpty():
-            break
-        if last:
-            # At last every pair between two components of one bucket.
-            a, b = mixed.select("key", "label"), mixed.select("key", F.col("label").alias("other"))
-            meet = a.join(b, "key").where("label < other")
-            inside = placed.join(several.select("key"), "key")
-            pairs = (meet.join(inside.select("key", "label", F.col("id").alias("u")), ["key", "label"])
-                     .join(inside.select("key", F.col("label").alias("other"), F.col("id").alias("v")), ["key", "other"]))
-        else:
-            head = mixed.where("label = first").select("key", F.col("id").alias("v"))
-            pairs = mixed.where("label <> first").select("key", F.col("id").alias("u")).join(head, "key")
-        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        edges = staged(edges.union(_confirmed(pairs, sets, full)), "links")
-        labels = staged(components(edges), "labels")
+    # At last all pairs between components of one bucket that can be similar at all.
+    rest = _ordered(_pairs_between(_labelled(crowded, labels, "id"), sets, full))
+    more = staged(_confirmed(rest, sets, full), "links")
+    if not more.isEmpty():
+        labels = staged(components(edges.union(more)), "labels")
     found = member.join(labels, member["id"] == labels["node"], "left").select(
         "doc_id", F.coalesce("label", "id").alias("component_id"))
     # A repeated id with several texts belongs to the smallest of its components.
