@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.session import staged
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -177,9 +179,10 @@ def find_secrets(docs: DataFrame, rules: list[Rule] = RULES, id_column: str = "d
     text = F.coalesce(F.col(text_column), F.lit(""))
     asked = [bool(trigram_query(rule.pattern)) for rule in rules]
     if any(asked):
-        found = candidates(postings(docs, rules, id_column, text_column), rules).select(
+        # Written first, so that Spark knows their size before it decides to move the texts.
+        found = staged(candidates(postings(docs, rules, id_column, text_column), rules).select(
             F.col("doc").alias("__doc"), F.col("digest").alias("__found"),
-            F.col("rules").alias("__rules"))
+            F.col("rules").alias("__rules")), "candidates")
         left = docs.withColumn("__digest", F.xxhash64(text_column))
         rows = left.join(found, (left["__digest"] == found["__found"])
                          & left[id_column].eqNullSafe(found["__doc"]), "left").drop("__doc", "__found")
