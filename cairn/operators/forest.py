@@ -41,26 +41,29 @@ def training_fold(keys: list[Column]) -> Column:
 
 
 def _stages(features: list[str], label: str, trees: int, depth: int | None, seed: int,
-            invalid: str) -> Pipeline:
+            invalid: str, bins: int = 32) -> Pipeline:
     forest = RandomForestClassifier(
         labelCol=label, featuresCol="features", numTrees=trees,
         maxDepth=DEEPEST if depth is None else depth, impurity="gini",
-        featureSubsetStrategy="sqrt", bootstrap=True, seed=seed)
+        featureSubsetStrategy="sqrt", bootstrap=True, seed=seed, maxBins=bins)
     return Pipeline(stages=[
         VectorAssembler(inputCols=features, outputCol="features", handleInvalid=invalid), forest])
 
 
 def train(matrix: DataFrame, features: list[str], label: str = "label",
           trees: int = fixed.FOREST_TREES, depth: int | None = fixed.FOREST_DEPTH,
-          seed: int = 17, invalid: str = "error") -> PipelineModel:
+          seed: int = 17, invalid: str = "error", bins: int = 32, path: str | None = None
+          ) -> PipelineModel:
     """Fit a forest. NULL features are an error unless ``invalid`` is 'skip'.
 
+    Continuous features are split at ``bins`` quantiles at most. The model is kept at ``path``, or in
+    the scratch folder.
     The model is stored and read back: a freshly fitted one drags its training summary, and with
     it the session, into every scoring task.
     """
-    fitted = _stages(features, label, trees, depth, seed, invalid).fit(
+    fitted = _stages(features, label, trees, depth, seed, invalid, bins).fit(
         matrix.select(*features, label))
-    return load_model(save_model(fitted, scratch_folder(matrix.sparkSession, "forest")))
+    return load_model(save_model(fitted, path or scratch_folder(matrix.sparkSession, "forest")))
 
 
 def score(model: PipelineModel, matrix: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.session import staged
+
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
     """Key equality in which NULL equals NULL, as in GROUP BY."""
@@ -50,6 +52,16 @@ def superseded(df: DataFrame, keys: list[str], compare: str) -> DataFrame:
             .select(*keys, compare, F.col("_latest").alias("kept_value")))
 
 
+def split_latest(df: DataFrame, keys: list[str], compare: str) -> tuple[DataFrame, DataFrame]:
+    """``keep_latest`` and ``superseded`` from one join, which is written and read by both."""
+    if list(keys) == [compare]:
+        return df, superseded(df, keys, compare)
+    marked = staged(_with_latest(df, keys, compare), "latest")
+    won = F.col(compare).eqNullSafe(F.col("_latest"))
+    return (marked.where(won).select(*df.columns),
+            marked.where(~won).select(*keys, compare, F.col("_latest").alias("kept_value")))
+
+
 def duplicate_counts(df: DataFrame, keys: list[str], compare: str) -> DataFrame:
     """One row: rows kept and rows in total, from one aggregation and no join.
 

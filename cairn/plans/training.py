@@ -37,9 +37,7 @@ def train_evaluate(matrix: DataFrame, schema: dict = fixed.FEATURES,
     # The forest passes over its rows many times and the report once more.
     matrix = staged(spread(matrix), "matrix")
     model = forest.train(matrix.where(~F.col("holdout")), names, trees=trees, depth=depth,
-                         invalid=invalid)
-    if model_path:
-        forest.save_model(model, model_path)
+                         invalid=invalid, path=model_path)
     scored = forest.score(model, matrix)
     report = (scored.groupBy("holdout")
               .agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))

@@ -19,8 +19,8 @@ def clean_table(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """
     keys, compare = fixed.DUPLICATE_KEYS[name]
     df = lower_names(df)
-    return (flags_as_int(quality.keep_latest(df, keys, compare)),
-            quality.superseded(df, keys, compare))
+    kept, dropped = quality.split_latest(df, keys, compare)
+    return flags_as_int(kept), dropped
 
 
 def ingest(sources: dict[str, DataFrame], out_folder: str) -> dict[str, int]:

@@ -132,18 +132,27 @@ def materialise_once(t):
 
 
 @query("elements_read", """
-    SELECT 'node' AS type, count(*) * 5 AS n, round(min(lon), 6) AS west FROM
-        (SELECT c_acctbal / 40 AS lon FROM customer)
-    UNION ALL SELECT 'way', count(*) * 4 + count(*) FILTER (c_mktsegment = 'FURNITURE'), NULL FROM customer
-    UNION ALL SELECT 'relation', count(*), NULL FROM customer""")
+    WITH c AS (SELECT c_custkey * 10 AS k, c_name, c_mktsegment, c_acctbal / 40 AS x,
+                      c_nationkey * 5.0::DOUBLE AS y, 1 + c_nationkey / 10 AS w,
+                      2 + abs(c_acctbal) / 3000 AS h FROM customer)
+    SELECT 'node' AS type, k + i AS id, round(x + w * dx, 6) AS lon, round(y + h * dy, 6) AS lat,
+           NULL::VARCHAR AS name, NULL::INT AS nodes
+    FROM c, (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 1), (4, 2, 2)) v(i, dx, dy)
+    UNION ALL SELECT 'way', k + i, NULL, NULL, NULL, n
+    FROM c, (VALUES (5, 2), (6, 3), (7, 2), (8, 3)) v(i, n)
+    UNION ALL SELECT 'way', k + 9, NULL, NULL, NULL, 2 FROM c WHERE c_mktsegment = 'FURNITURE'
+    UNION ALL SELECT 'relation', k + 9, NULL, NULL,
+        translate(c_name, '0123456789#', 'ABCDEFGHIJ') || ' Himal', NULL FROM c""")
 def elements_read(t):
-    rows = _relation_elements(t)
+    # Lines without a position of their own.
+    rows = _relation_elements(t).drop("ordinal")
     spark = rows.sparkSession
     path = scratch_folder(spark, "elements")
     rows.write.json(path)
     back = elements.read_element_lines(spark, path)
-    return back.groupBy("type").agg(F.count(F.lit(1)).alias("n"),
-                                    F.round(F.min("lon"), 6).alias("west"))
+    return back.select("type", "id", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"),
+                       elements.tag("name").alias("name"),
+                       F.when(F.col("nodes").isNotNull(), F.size("nodes")).alias("nodes"))
 
 
 @query("elements_document_read", """
@@ -200,12 +209,16 @@ def geojson_regions(t):
 
 
 @query("region_table_text", f"""
-    SELECT region_id AS himal_id, count(*) AS n FROM {RECTANGLES_SQL}
-    WHERE c_mktsegment <> 'BUILDING' GROUP BY 1""")
+    WITH r AS (SELECT *, upper(region_id) || ' Himal' AS himal_name FROM {RECTANGLES_SQL}
+               WHERE c_mktsegment <> 'BUILDING')
+    SELECT region_id AS himal_id, regexp_replace(himal_name, '^CUSTOMER', 'Customer') AS himal_name,
+           NULL::VARCHAR AS alternate_names, round_even(x + w / 2, 7) AS longitude,
+           round_even(y + h / 2, 7) AS latitude FROM r""")
 def region_table_text(t):
     regions, _ = gazetteer.region_shapes(_relation_elements(t), tolerance=None)
     rows = gazetteer.region_rows(gazetteer.region_table(regions))
     spark = rows.sparkSession
     path, _ = delimited.write_delimited(rows, scratch_folder(spark, "regions-text"))
     back = delimited.read_delimited(spark, path)
-    return back.groupBy("himal_id").agg(F.count(F.lit(1)).alias("n"))
+    return back.select("himal_id", "himal_name", "alternate_names",
+                       *(F.col(c).cast("double").alias(c) for c in ("longitude", "latitude")))

@@ -218,6 +218,6 @@ def train_test_fold(t):
         ELSE 'hsl(0 0% 100%)' END AS colour FROM r""")
 def color_ramp(t):
     scored = t("part").select("p_partkey", (F.col("p_retailprice") / 20).alias("p"))
-    lower, upper = (scored.agg(f("p")).scalar() for f in (F.min, F.max))
-    return scored.select("p_partkey", values.ramp_colour(F.col("p"), lower, upper)
+    ends = scored.agg(F.struct(F.min("p").alias("lower"), F.max("p").alias("upper"))).scalar()
+    return scored.select("p_partkey", values.ramp_colour(F.col("p"), ends["lower"], ends["upper"])
                          .alias("colour"))
