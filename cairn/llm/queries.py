@@ -127,9 +127,10 @@ WITH w AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text
 p AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words,
              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
       FROM w),
-x AS (SELECT r, unnest(range(len(words) - 2)) AS i, words FROM p WHERE len(words) > 2),
-y AS (SELECT r, i, count(*) OVER (PARTITION BY r, words[i+1:i+3]) AS c FROM x),
-z AS (SELECT r, count(DISTINCT i + k) AS n FROM y, (SELECT unnest([0, 1, 2]) AS k) WHERE c > 1 GROUP BY r),
+x AS (SELECT r, unnest(range(len(words) - 2)) AS i, unnest(list_transform(range(len(words) - 2),
+        lambda i: words[i+1] || ' ' || words[i+2] || ' ' || words[i+3])) AS g FROM p WHERE len(words) > 2),
+y AS (SELECT r, i FROM x JOIN (SELECT r, g FROM x GROUP BY r, g HAVING count(*) > 1) USING (r, g)),
+z AS (SELECT r, count(DISTINCT i + k) AS n FROM y, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
 s AS (SELECT p.r, doc_id, lang, source, len(words)::BIGINT AS n_words,
              (length(t) - len(regexp_extract_all(t, '[\\x20\\x09-\\x0D]')))::BIGINT AS word_chars,
              len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
