@@ -70,7 +70,8 @@ def text_statistics(docs: DataFrame, text_column: str = "text") -> DataFrame:
         "n_repeat_words": F.size(F.array_distinct(covered)).cast("bigint"),
     }).drop("__text", "__words", "__lines", "__windows", "__sorted", "__twice", "__at").withColumns({
         "symbol_rate": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
-        "line_rate": F.col("n_dup_lines") / F.greatest(F.col("__n_lines"), F.lit(1)),
+        # One repeated line, a motto or a heading, is no sign of anything.
+        "line_rate": F.greatest(F.col("n_dup_lines") - 1, F.lit(0)) / F.greatest(F.col("__n_lines"), F.lit(1)),
         "repeat_rate": F.col("n_repeat_words") / F.greatest(F.col("n_words"), F.lit(1)),
     }).drop("__n_lines")
 

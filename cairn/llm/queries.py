@@ -137,7 +137,7 @@ s AS (SELECT p.r, doc_id, lang, source, len(words)::BIGINT AS n_words,
              (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
              len(lines) AS n_lines, coalesce(n, 0)::BIGINT AS n_repeat_words FROM p LEFT JOIN z USING (r)),
 q AS (SELECT *, n_symbols / greatest(word_chars, 1) AS symbol_rate,
-             n_dup_lines / greatest(n_lines, 1) AS line_rate,
+             greatest(n_dup_lines - 1, 0) / greatest(n_lines, 1) AS line_rate,
              n_repeat_words / greatest(n_words, 1) AS repeat_rate FROM s),
 b AS (SELECT r, lang, source, rate, floor(v * {quality.BINS})::INT AS bin FROM q
       UNPIVOT (v FOR rate IN (symbol_rate, line_rate, repeat_rate))),
