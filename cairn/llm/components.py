@@ -17,7 +17,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     ways = _both_ways(edges)
     least = ways.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return (ways.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u <> v").distinct())
+            .where("u <> v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

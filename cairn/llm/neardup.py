@@ -210,14 +210,18 @@ def _pairs_between(crowded: DataFrame, sets: DataFrame, full: DataFrame) -> Data
     least = early.groupBy("h").agg(F.min("n").alias("least"), F.min("label").alias("a"), F.max("label").alias("b"))
     rows = staged(early.join(staged(least.where("a < b").select("h", "least"), "least"), "h")
                   .where(possible(F.col("left"), F.col("n"), F.col("least"))).drop("least", "df", "place"), "rows")
-    named = rows.select("h", "label").distinct()
-    one, two = (named.select("h", F.col("label").alias(f"label_{x}")) for x in "uv")
-    meet = one.join(two, "h").where("label_u < label_v")
+    # What the best of a component's rows could reach decides whether its rows are looked at.
+    named = rows.groupBy("h", "label").agg(F.max("left").alias("most"), F.min("n").alias("size"))
+    one, two = (named.select("h", *(F.col(c).alias(f"{c}_{x}") for c in ("label", "most", "size"))) for x in "uv")
+    meet = one.join(two, "h").where((F.col("label_u") < F.col("label_v")) & possible(
+        F.least("most_u", "most_v"), F.col("size_u"), F.col("size_v"))).drop("most_u", "size_u")
 
     def side(x: str) -> DataFrame:
         return rows.select("h", *(F.col(c).alias(f"{c}_{x}") for c in ("label", "n", "left")), F.col("id").alias(x))
 
-    both = meet.join(side("u"), ["h", "label_u"]).join(side("v"), ["h", "label_v"])
+    half = meet.join(side("u"), ["h", "label_u"]).where(possible(
+        F.least("left_u", "most_v"), F.col("n_u"), F.col("size_v")))
+    both = half.join(side("v"), ["h", "label_v"])
     return both.where(possible(F.least("left_u", "left_v"), F.col("n_u"), F.col("n_v"))
                       & (100 * F.least("n_u", "n_v") >= PERCENT * F.greatest("n_u", "n_v")))
 
@@ -247,21 +251,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
     full = staged(texts.join(staged(asked, "asked"), "id").mapInArrow(_set_batches, "id bigint, shingles binary"), "shingles")
 
-    # First each document with the hub it shares most bands with, then hubs of other components.
+    # First every document with the hubs of its buckets.
     hubs = crowded.where("hub").select("key", F.col("id").alias("v"))
-    stars = staged(crowded.where("NOT hub").select("key", F.col("id").alias("u")).join(hubs, "key")
-                   .groupBy("u", "v").agg(F.count("*").alias("n")), "stars")
-    best = stars.groupBy("u").agg(F.max_by("v", F.struct("n", -F.col("v"))).alias("v"))
-    edges = staged(_confirmed(best, sets, full), "links")
-    labels = staged(components(edges), "labels")
-    apart = _labelled(_labelled(stars, labels, "u"), labels, "v").where("label_u <> label_v")
-    edges = staged(edges.union(_confirmed(_ordered(apart), sets, full)), "links")
-    labels = staged(components(edges), "labels")
-    # At last all pairs between components of one bucket that can be similar at all.
+    stars = _ordered(crowded.where("NOT hub").select("key", F.col("id").alias("u")).join(hubs, "key"))
+    labels = staged(components(_confirmed(stars, sets, full)), "labels")
+    # Then all pairs between components of one bucket that can be similar at all.
     rest = _ordered(_pairs_between(_labelled(crowded, labels, "id"), sets, full))
     more = staged(_confirmed(rest, sets, full), "links")
     if not more.isEmpty():
-        labels = staged(components(edges.union(more)), "labels")
+        # Links between components join them; the nodes follow their component.
+        joins = _labelled(_labelled(more, labels, "u"), labels, "v").select(
+            F.col("label_u").alias("u"), F.col("label_v").alias("v"))
+        wider = staged(components(joins), "wider")
+        nodes_of = labels.union(wider.select("node", F.col("node").alias("label"))).distinct()
+        labels = staged(_labelled(nodes_of, wider, "label").select(
+            "node", F.col("label_label").alias("label")).groupBy("node").agg(F.min("label").alias("label")), "labels")
     found = member.join(labels, member["id"] == labels["node"], "left").select(
         "doc_id", F.coalesce("label", "id").alias("component_id"))
     # A repeated id with several texts belongs to the smallest of its components.
