@@ -202,7 +202,13 @@ def op10_shards(docs):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-@query("op3_html", "pages")
+@query("op3_html", "pages", sql="""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''),
+    '(?s)<article>(.*)</article>', 1), '<[^>]*>', ' ', 'g') AS t FROM pages),
+d AS (SELECT page_id, url, regexp_replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'),
+    '&quot;', '"'), '&#x27;', chr(39)), '&amp;?', '&', 'g') AS t FROM a),
+c AS (SELECT page_id, url, trim(regexp_replace(t, '\\s+', ' ', 'g')) AS text FROM d)
+SELECT page_id, url, text, length(text) AS n_chars FROM c""")
 def op3_html(pages):
     return html.extract_pages(pages.select("page_id", "url", "html")).select(
         "page_id", "url", "text", long(F.length("text"), "n_chars"))
