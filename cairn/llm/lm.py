@@ -31,7 +31,7 @@ BITS, PROBES = 8, 4  # bits and probes for each stored level
 LEAST = 2  # occurrences of a stored pair; words are stored from one occurrence on
 HEAD = 1 << 17  # words whose exact counts go to every worker
 PRIOR = 20.0  # weight of a word's own probability in that of a pair
-FLUSH = 4 << 20  # tokens counted together in a task
+FLUSH = 2 << 20  # tokens counted together in a task
 END = np.uint64(0x7C15D1CE4E5B9F4A)
 START = np.uint64(0x133111EB9E3779B9)
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
