@@ -192,9 +192,9 @@ def _tokenizer(document: str) -> Tokenizer:
     return Tokenizer(document)
 
 
-def _pieces(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``most`` characters of text, one row at least."""
-    sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in batch.column("text")])
+def _pieces(batch: pa.RecordBatch, place: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes of text in one column, one row at least."""
+    sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in batch.column(place)])
     low = 0
     while low < batch.num_rows:
         high = low + max(1, int(np.searchsorted(np.cumsum(sizes[low:low + 4096]), most, "right")))
@@ -213,20 +213,23 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, text_column: str = "t
     kept = [c for c in docs.columns if c not in ("ids", "decoded")]
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
     fields = [f for f in docs.schema.fields if f.name in kept]
-    rows = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(text_column).cast("string").alias("__text"))
+    # A text that is carried along anyway is not sent a second time.
+    carried = text_column in kept and dict(docs.dtypes)[text_column] == "string"
+    place = kept.index(text_column) if carried else len(kept)
+    extra = [] if carried else [F.col(text_column).cast("string").alias("__text")]
+    rows = docs.select(*(F.col(f"`{c}`") for c in kept), *extra)
     schema = StructType([*fields, StructField("ids", ArrayType(IntegerType()))]
                         + [StructField("decoded", StringType())] * decoded)
-    names = ["__own" if c == "text" else c for c in kept]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(shared.value)
         for batch in batches:
-            for part in _pieces(batch.rename_columns([*names, "text"])):
-                texts = [t or "" for t in part.column("text").to_pylist()]
+            for part in _pieces(batch, place):
+                texts = [t or "" for t in part.column(place).to_pylist()]
                 ids = tokenizer.encode(texts)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                columns = [*part.columns[:-1],
+                columns = [*part.columns[:len(kept)],
                            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))]
                 if decoded:
                     columns.append(pa.array([tokenizer.decode(x) for x in ids], pa.string()))

@@ -209,13 +209,16 @@ def identify(docs: DataFrame, model: Model | None, text_column: str = "text") ->
     added = ["lang_pred", "score", "bits_per_byte"]
     kept = [c for c in docs.columns if c not in added]
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    # A text that is carried along anyway is not sent a second time.
+    carried = text_column in kept and dict(docs.dtypes)[text_column] == "string"
+    place = kept.index(text_column) if carried else len(kept)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                text = part.column(part.num_columns - 1)
+                text = part.column(place)
                 letters = np.array([bool(t) and _LETTER.search(t) is not None for t in text.to_pylist()], bool)
                 names, score, rate = [UNKNOWN] * len(text), np.zeros(len(text)), np.zeros(len(text))
                 if known is not None:
@@ -227,10 +230,10 @@ def identify(docs: DataFrame, model: Model | None, text_column: str = "text") ->
                     names = [known.languages[k] if ok else UNKNOWN
                              for k, ok in zip(bits.argmin(axis=1), letters, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(names, pa.string()), pa.array(score, pa.float64()),
+                    [*part.columns[:len(kept)], pa.array(names, pa.string()), pa.array(score, pa.float64()),
                      pa.array(rate, pa.float64())], names=[*kept, *added])
 
     schema = docs.select(*(F.col(f"`{c}`") for c in kept), F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"),
                          F.lit(0.0).alias("bits_per_byte")).schema
-    return docs.select(*(F.col(f"`{c}`") for c in kept), F.col(text_column).cast("string").alias("__text")).mapInArrow(
-        predict, schema)
+    extra = [] if carried else [F.col(text_column).cast("string").alias("__text")]
+    return docs.select(*(F.col(f"`{c}`") for c in kept), *extra).mapInArrow(predict, schema)

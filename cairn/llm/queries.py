@@ -15,15 +15,24 @@ from cairn.session import tune
 
 VOCABULARY = os.environ.get("CAIRN_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
 
+#: Rows in one Arrow batch: texts are long, and a batch is held several times on its way.
+BATCH_ROWS = 1000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def prepare(spark: SparkSession) -> None:
+    """The settings that all queries here rely on."""
+    tune(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def query(name: str, table: str = "documents", sql: str | None = None):
     """Register a function ``table -> DataFrame``; one with a folder argument gets that too."""
     def register(fn: Callable):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            tune(spark)
+            prepare(spark)
             rows = spark.read.parquet(f"{folder}/{table}.parquet")
             return fn(rows, folder) if fn.__code__.co_argcount > 1 else fn(rows)
 

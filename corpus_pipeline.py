@@ -9,20 +9,24 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm import bpe, decontaminate, language, neardup, secrets
-from cairn.llm.queries import QUERIES, VOCABULARY
-from cairn.session import staged, tune
+from cairn.llm.queries import QUERIES, VOCABULARY, prepare
+from cairn.session import staged
 
 #: A text whose shortest code is longer than its own bytes is in none of the learned languages.
 MOST_BITS = 8.0
 
 
 def _carried(docs: DataFrame) -> DataFrame:
-    """The documents as one column, so that no column of theirs meets one that an operator adds."""
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "text")
+    """The text and all else as one column, so that no column meets one that an operator adds."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"), "doc_id", "text")
+
+
+def _own(name: str) -> Column:
+    return (F.col("text") if name == "text" else F.col(f"row.`{name}`")).alias(name)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,13 +35,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Texts without a letter go, and so do those that no language model shortens. Where no document
     has a language to learn from, only texts without a letter go.
     """
-    tune(spark)
+    prepare(spark)
     model = language.learn(docs)
     if model is None:
         return docs.where(F.regexp_like("text", F.lit(r"\p{L}")))
     found = language.identify(_carried(docs).drop("doc_id"), model)
     kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS))
-    return kept.select(*(F.coalesce("row.lang", "lang_pred").alias(c) if c == "lang" else F.col(f"row.`{c}`").alias(c)
+    return kept.select(*(F.coalesce("row.lang", "lang_pred").alias(c) if c == "lang" else _own(c)
                          for c in docs.columns))
 
 
@@ -46,7 +50,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without an id are compared with none; of those with equal texts one stays.
     """
-    tune(spark)
+    prepare(spark)
     found = staged(neardup.near_duplicates(docs), "copies")
     copies = found.where("NOT kept").select(F.col("doc_id").alias("__copy")).distinct()
     kept = docs.join(copies, docs["doc_id"] == F.col("__copy"), "left_anti")
@@ -57,25 +61,24 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that hold no benchmark item."""
-    tune(spark)
+    prepare(spark)
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep all documents; secrets in them give way to a mark, and ``n_chars`` follows the text."""
-    tune(spark)
+    prepare(spark)
     found = secrets.find_secrets(_carried(docs)).withColumn("hit", F.size("spans") > 0)
     masked = secrets.redact(found)
-    new = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
-    return masked.select(*(F.when(F.col("hit"), new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new
-                           else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    size = F.when(F.col("hit"), F.length("text").cast("bigint")).otherwise(F.col("row.n_chars")).alias("n_chars")
+    return masked.select(*(size if c == "n_chars" else _own(c) for c in docs.columns))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add the token ids of every text as ``ids`` and their number as ``n_tokens``."""
-    tune(spark)
+    prepare(spark)
     done = bpe.encode_documents(_carried(docs).drop("doc_id"), Path(VOCABULARY).read_text(encoding="utf-8"))
-    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("ids", "n_tokens")]
+    own = [_own(c) for c in docs.columns if c not in ("ids", "n_tokens")]
     return done.select(*own, F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
