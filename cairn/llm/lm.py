@@ -2,10 +2,11 @@
 
 Counts of words and of word pairs over all training documents are quantised to powers of two; a
 sequence with level ``q`` is put into a Bloom filter under the levels 1 to ``q``. The filter is built
-in segments, each from the sequences whose hash falls into it, and its size has a fixed bound: where
-the corpus asks for more, pairs below a higher level are left out. Workers find a count again by
-asking for level after level until one is missing, and a pair's probability is smoothed with that of
-its second word.
+in segments, each from the sequences whose hash falls into it, and their number follows what is
+stored: every word and every pair. Workers find a count again by asking for level after level until
+one is missing, and a pair's probability is smoothed with that of its second word. A filter within a
+bound goes to every worker. A larger one stays a table of segments, to which the distinct sequences
+of many documents at a time are shuffled; the scores are the same.
 
 The exact word counts stay a table. The most frequent words, a fixed number, go to the workers as an
 array; only the other words of a document are shuffled to meet their counts.
@@ -26,9 +27,10 @@ from cairn.llm import words as w
 from cairn.session import staged
 
 SEGMENT = 1 << 19  # bits in a segment of the filter
-SEGMENTS = 1024  # at most: 64 MB in all
+SEGMENTS = 1024  # sent to every worker at most, 64 MB in all; more stay a table
 BITS, PROBES = 8, 4  # bits and probes for each stored level
-LEAST = 2  # occurrences of a stored pair; words are stored from one occurrence on
+BLOCK = 16  # segments of the table that are asked together
+BUCKET = 1024  # documents, about, that ask the table together
 HEAD = 1 << 17  # words whose exact counts go to every worker
 PRIOR = 20.0  # weight of a word's own probability in that of a pair
 FLUSH = 2 << 20  # tokens counted together in a task
@@ -100,12 +102,13 @@ def _positions(h: np.ndarray, level: np.ndarray | int, segments: int) -> tuple[n
 
 @dataclass
 class Filter:
-    """The Bloom filter with the sizes of the training corpus."""
+    """The Bloom filter, or some segments of it, with the sizes of the training corpus."""
 
-    bits: np.ndarray  # bytes, segment after segment
+    bits: np.ndarray | None  # bytes, segment after segment; None where they are a table
     segments: int
     total: int
     distinct: int
+    first: int = 0  # the segment that the bits begin with
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """The highest level under which each sequence is found, asking from 1 up; 0 for none."""
@@ -114,7 +117,7 @@ class Filter:
         while len(asked):
             level += 1
             segment, bit = _positions(h[asked], level, self.segments)
-            at = segment[:, None] * SEGMENT + bit
+            at = (segment - self.first)[:, None] * SEGMENT + bit
             there = ((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
             asked = asked[there]
             out[asked] = level
@@ -142,6 +145,22 @@ class Filter:
         return np.add.reduceat(np.log10(np.minimum(chance, 1.0)), some.ends[:-1]) if len(some.hashes) else np.zeros(0)
 
 
+@dataclass
+class Answers(Filter):
+    """The levels that the table of segments gave for some sequences."""
+
+    keys: np.ndarray | None = None  # sorted
+    found: np.ndarray | None = None
+
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        return self.found[np.searchsorted(self.keys, h)]
+
+
+def _asked(some: w.Words) -> np.ndarray:
+    """The distinct words and pairs of some texts, sorted and thus in the order of their segments."""
+    return np.unique(np.concatenate([some.hashes, pair_hashes(some)]))
+
+
 @dataclass
 class Model:
     """The filter, the exact counts of the most frequent words, and the table of the other words."""
@@ -150,26 +169,21 @@ class Model:
     head: np.ndarray
     head_counts: np.ndarray
     rest: DataFrame
+    table: DataFrame | None = None  # the filter's segments where they are too many for every worker
 
 
 def learn(docs: DataFrame) -> Model:
     """Count all training texts of ``docs (text)`` and build the filter."""
     counted = (docs.select(F.col("text").cast("string").alias("text"))
                .mapInArrow(_count_batches, "kind tinyint, h bigint, n bigint")
-               .groupBy("kind", "h").agg(F.sum("n").alias("n")).where(f"kind = 0 OR n >= {LEAST}"))
+               .groupBy("kind", "h").agg(F.sum("n").alias("n")))
     counts = staged(counted.withColumn("q", (F.floor(F.log2("n") + 1e-9) + 1).cast("int")), "counts")
     shape = counts.groupBy("kind", "q").agg(F.count("*").alias("entries"), F.sum("n").alias("n")).collect()
     total = sum(r["n"] for r in shape if r["kind"] == 0)
     distinct = sum(r["entries"] for r in shape if r["kind"] == 0)
 
-    def stored(least: list[int]) -> int:
-        return sum(r["entries"] * r["q"] for r in shape if r["q"] >= least[r["kind"]])
-
-    least = [1, 1]  # the lowest level stored of words and of pairs
-    while stored(least) * BITS > SEGMENT * SEGMENTS:
-        least[1 if least[1] < least[0] + 8 else 0] += 1
-    segments = max(1, min(SEGMENTS, -(-stored(least) * BITS // SEGMENT)))
-    kept = counts.where(f"(kind = 0 AND q >= {least[0]}) OR (kind = 1 AND q >= {least[1]})")
+    stored = sum(r["entries"] * r["q"] for r in shape)
+    segments = max(1, -(-stored * BITS // SEGMENT))
     segment = F.shiftrightunsigned(F.shiftrightunsigned("h", 32) * segments, 32)
 
     def fill(some: pd.DataFrame) -> pd.DataFrame:
@@ -180,17 +194,70 @@ def learn(docs: DataFrame) -> Model:
         return pd.DataFrame({"segment": [some["segment"].iloc[0]],
                              "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
-    filled = kept.select(segment.alias("segment"), "h", "q").groupBy("segment").applyInPandas(
-        fill, "segment bigint, bits binary").collect()
-    bits = np.zeros(segments * SEGMENT // 8, np.uint8)
-    for row in filled:
-        bits[row["segment"] * SEGMENT // 8:(row["segment"] + 1) * SEGMENT // 8] = np.frombuffer(row["bits"], np.uint8)
+    filled = counts.select(segment.alias("segment"), "h", "q").groupBy("segment").applyInPandas(
+        fill, "segment bigint, bits binary")
+    bits, table = None, None
+    if segments <= SEGMENTS:
+        bits = np.zeros(segments * SEGMENT // 8, np.uint8)
+        for row in filled.collect():
+            bits[row["segment"] * SEGMENT // 8:(row["segment"] + 1) * SEGMENT // 8] = np.frombuffer(row["bits"], np.uint8)
+    else:
+        table = staged(filled.withColumn("block", F.floor(F.col("segment") / BLOCK)), "segments")
     words = counts.where("kind = 0").select("h", "n")
     top = words.orderBy(F.desc("n"), "h").limit(HEAD).toPandas()
     head = top["h"].to_numpy().view(np.uint64)
     order = np.argsort(head)
     return Model(Filter(bits, segments, int(total or 0), int(distinct)), head[order],
-                 top["n"].to_numpy()[order].astype(np.float64), words)
+                 top["n"].to_numpy()[order].astype(np.float64), words, table)
+
+
+def _ask_table(rows: DataFrame, model: Model, score, schema: str) -> DataFrame:
+    """``score(part, filter)`` of all ``rows (doc_id, digest, text)`` where the filter is a table.
+
+    Documents are dealt to buckets. A bucket's distinct sequences go to the blocks of segments they
+    fall into, one binary for each, and the levels come back in the same order.
+    """
+    plain = model.filter
+    buckets = -(-rows.count() // BUCKET) or 1
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(buckets)))
+
+    def whole(some: pa.Table) -> pa.RecordBatch:
+        return some.combine_chunks().to_batches()[0]
+
+    def ask(some: pa.Table) -> pa.Table:
+        part = whole(some)
+        h = _asked(tokens(part.column("text")))
+        block = (((h >> np.uint64(32)) * np.uint64(plain.segments)) >> np.uint64(32)).astype(np.int64) // BLOCK
+        first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        return pa.table({"bucket": pa.array(np.full(len(first), part.column("bucket")[0].as_py())),
+                         "block": pa.array(block[first]),
+                         "h": pa.array([x.tobytes() for x in np.split(h, first[1:])], pa.binary())})
+
+    def answer(asked: pa.Table, held: pa.Table) -> pa.Table:
+        found = []
+        if asked.num_rows:
+            first = asked.column("block")[0].as_py() * BLOCK
+            bits = np.zeros(BLOCK * SEGMENT // 8, np.uint8)
+            for segment, some in zip(held.column("segment").to_pylist(), held.column("bits"), strict=True):
+                at = (segment - first) * SEGMENT // 8
+                bits[at:at + SEGMENT // 8] = np.frombuffer(some.as_buffer(), np.uint8)
+            part = Filter(bits, plain.segments, plain.total, plain.distinct, first)
+            found = [part.levels(np.frombuffer(h.as_buffer(), np.uint64)).astype(np.uint8).tobytes()
+                     for h in asked.column("h")]
+        return pa.table({"bucket": asked.column("bucket"), "block": asked.column("block"),
+                         "level": pa.array(found, pa.binary())})
+
+    def finish(some: pa.Table, told: pa.Table) -> pa.Table:
+        part = whole(some)
+        pieces = sorted(zip(told.column("block").to_pylist(), told.column("level").to_pylist(), strict=True))
+        levels = np.frombuffer(b"".join(level for _, level in pieces), np.uint8).astype(np.int64)
+        return pa.Table.from_batches([score(part, Answers(
+            None, plain.segments, plain.total, plain.distinct, 0, _asked(tokens(part.column("text"))), levels))])
+
+    asked = dealt.groupBy("bucket").applyInArrow(ask, "bucket bigint, block bigint, h binary")
+    told = asked.groupBy("block").cogroup(model.table.groupBy("block")).applyInArrow(
+        answer, "bucket bigint, block bigint, level binary")
+    return dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(finish, schema)
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
@@ -211,18 +278,21 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
         at = np.minimum(np.searchsorted(head, hashes), len(head) - 1)
         return head[at] == hashes, at
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, head, counts = shared.value
+    def score(part: pa.RecordBatch, found: Filter) -> pa.RecordBatch:
+        _, head, counts = shared.value
+        some = tokens(part.column("text"))
+        there, at = known(some.hashes, head)
+        logs = np.zeros(len(some.hashes))
+        logs[there] = np.log10((counts[at[there]] + 0.1) / below)
+        begin = some.ends[:-1]
+        return pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), part.column("digest"), pa.array(np.diff(some.ends)),
+             pa.array(np.add.reduceat(there.astype(np.int64), begin)), pa.array(np.add.reduceat(logs, begin)),
+             pa.array(found.score(some))], names=["doc_id", "digest", "n_tokens", "head_known", "head_score", "score"])
+
+    def score_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
-            some = tokens(part.column("text"))
-            there, at = known(some.hashes, head)
-            logs = np.zeros(len(some.hashes))
-            logs[there] = np.log10((counts[at[there]] + 0.1) / below)
-            begin = some.ends[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("digest"), pa.array(np.diff(some.ends)),
-                 pa.array(np.add.reduceat(there.astype(np.int64), begin)), pa.array(np.add.reduceat(logs, begin)),
-                 pa.array(found.score(some))], names=["doc_id", "digest", "n_tokens", "head_known", "head_score", "score"])
+            yield score(part, shared.value[0])
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, head, _ = shared.value
@@ -245,8 +315,8 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
                 names=["doc_id", "digest", "h", "times", "row"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(score, f"doc_id {id_type}, digest bigint, n_tokens bigint, head_known bigint, "
-                                    "head_score double, score double")
+    schema = f"doc_id {id_type}, digest bigint, n_tokens bigint, head_known bigint, head_score double, score double"
+    scored = rows.mapInArrow(score_all, schema) if model.table is None else _ask_table(rows, model, score, schema)
     rare = rows.mapInArrow(others, f"doc_id {id_type}, digest bigint, h bigint, times int, row int")
     log = F.log10((F.coalesce("n", F.lit(0)) + 0.1) / below)
     summed = rare.join(model.rest, "h", "left").groupBy("doc_id", "digest").agg(

@@ -210,6 +210,30 @@ def test_scores_prefer_known_order(spark):
     assert score[1] > score[2] > score[3]
 
 
+def test_pairs_seen_once_are_stored(spark):
+    docs = spark.createDataFrame([(1, "one two three")], "doc_id bigint, text string")
+    found = lm.learn(docs).filter
+    assert (found.levels(lm.pair_hashes(lm.tokens(pa.array(["one two three"])))) >= 1).all()
+
+
+def test_scores_do_not_depend_on_where_the_filter_is(spark, monkeypatch):
+    texts = [" ".join(f"w{k * i % 50021}" for k in range(1, 3000)) for i in range(1, 26)] + ["", None, "w1 w2 w1 w2", "w1 w2 w1 w2"]
+    docs = spark.createDataFrame([(min(i, 27), t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+
+    def scores():
+        model = lm.learn(docs)
+        return model.table, sorted(tuple(r) for r in lm.score_documents(docs, model).collect())
+
+    table, sent = scores()
+    monkeypatch.setattr(lm, "SEGMENTS", 1)
+    monkeypatch.setattr(lm, "BUCKET", 5)
+    assert table is None
+    table, asked = scores()
+    assert table is not None and table.count() > 1 and len(asked) == len(texts)
+    for a, b in zip(sent, asked, strict=True):
+        assert a == pytest.approx(b, abs=1e-9)
+
+
 def test_empty_scores(odd, none):
     assert lm.score_documents(none, lm.learn(none)).count() == 0
     assert lm.score_documents(odd, lm.learn(none)).count() == odd.count()
