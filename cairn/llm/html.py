@@ -21,8 +21,8 @@ WINDOW = 3
 SURGE = 80  # characters in a window at which unmarked text begins
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<!--.*?(?:-->|\Z)"
                   r"|<[!?/][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
-_NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=<>\"'/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 RAW = frozenset("script style noscript template textarea title svg math iframe object canvas audio video".split())
 NEVER = frozenset("nav footer aside form menu dialog button select fieldset".split())
@@ -33,22 +33,32 @@ WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "consent notice notices comment comments disqus reply replies respond sidebar menu nav navbar navigation "
                   "breadcrumb breadcrumbs footer share sharing social related recommended newsletter subscribe subscription "
                   "signup login popup modal overlay widget pagination pager masthead toolbar skip gdpr complementary contentinfo search".split())
+WHOLE = WORDS | frozenset("ad-container advert-box cookie-notice cookie-banner comment-list comments-area comment-form related-posts "
+                          "related-articles share-buttons social-share sharing-buttons newsletter-signup recommended-posts".split())
 SAYING = frozenset("no not without with has have is".split())  # first parts of class names about something else
 
 
 def _unwanted(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is never part of an article."""
+    """Whether an element is never part of an article. In one, only whole class and id names tell."""
     if name in NEVER or (name == "header" and not inside):
         return True
-    if name in ("html", "body", "article", "main") and "comment" not in attributes.lower():
+    has: dict[str, str] = {}
+    for key, value in _ATTRIBUTE.findall(attributes):
+        has.setdefault(key.lower(), value.strip("\"'").lower())
+    names = " ".join(has.get(key, "") for key in ("class", "id", "role"))
+    framing = name in ("html", "body", "article", "main")
+    if framing and "comment" not in names:
         return False
-    if _HIDDEN.search(attributes):
+    if has.get("hidden", "until-found") != "until-found" or has.get("aria-hidden") == "true" or _UNSEEN.search(has.get("style", "")):
         return True
-    for value in _NAME.findall(attributes):
-        for named in value.strip("\"'").lower().split():
-            parts = _PART.findall(named)
-            if parts and parts[0] not in SAYING and any(p in WORDS or (p == "header" and not inside) for p in parts):
+    for named in names.split():
+        if inside and not framing:
+            if named in WHOLE:
                 return True
+            continue
+        parts = _PART.findall(named)
+        if parts and parts[0] not in SAYING and any(p in WORDS or (p == "header" and not inside) for p in parts):
+            return True
     return False
 
 

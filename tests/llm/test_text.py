@@ -111,6 +111,20 @@ def test_lines_without_marks_surge_and_dive():
     assert html.main_text(page) == ("words of the text " * 12).strip() + " short"
 
 
+@pytest.mark.parametrize("attributes", ["style='overflow:hidden'", "class=overflow-hidden", "data-id=menu", "id=related-work",
+                                        "id='search-algorithms'", "class=social-history", "hidden=until-found", "title='is hidden'"])
+def test_what_is_only_named_like_junk_stays(attributes):
+    assert html.main_text(f"<article><p>one</p><div {attributes}>two</div></article>") == "one two"
+    assert html.main_text(f"<div {attributes.replace('id=related-work', 'id=work').replace('search-', '').replace('social-', '')}>"
+                          f"<article>one</article></div>") == "one"
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "hidden=''", "aria-hidden=true", "style='color:red; display: none'",
+                                        "style=visibility:hidden", "id=comments", "class='a share-buttons'"])
+def test_what_is_hidden_or_junk_goes(attributes):
+    assert html.main_text(f"<article><p>one</p><div {attributes}>two</div></article>") == "one"
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 def test_articles_of_the_test_pages(spark):
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
