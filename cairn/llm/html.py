@@ -1,10 +1,10 @@
 """Main text of web pages by the distribution of text over lines.
 
 Markup is stripped to lines: one for every block of text, and empty ones where an element stood
-that is never content (menus, footers, adverts, forms, comments). Text lengths are summed over a
-sliding window of lines. The text starts to count where the sum surges and stops where it dives to
-nothing; what lies between is kept. Where a page marks its article, only the lines in it have a
-length, and any text makes the sum surge.
+that is never content (menus, footers, adverts, forms, comments) and at the edges of a marked article.
+Text lengths, links left out, are summed over a sliding window of lines. The text starts to count
+where the sum surges and stops where it dives; what lies between is kept. How much is a surge follows
+the page's largest sum. A line in a marked article weighs as much as a surge, all others count too.
 """
 
 from __future__ import annotations
@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-SURGE = 80  # characters in a window at which unmarked text begins
+SURGE = 80  # characters in a window at which text begins, at least
+SHARE = 8  # part of the page's largest window at which text begins
+DIVE = 4  # part of a surge below which three lines are no text
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<!--.*?(?:-->|\Z)"
                   r"|<[!?/][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=<>\"'/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
@@ -62,25 +64,40 @@ def _unwanted(name: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def page_lines(page: str) -> tuple[list[str], list[bool]]:
-    """The lines of a page and whether each lies in a marked article."""
-    lines, marks = [], []
+def page_lines(page: str) -> tuple[list[str], list[bool], list[int]]:
+    """The lines of a page, whether each lies in a marked article and how many characters are in links."""
+    lines, marks, links = [], [], []
     text: list[str] = []
     at, depth = 0, 0
     skipped, level = "", 0
+    linked, link = 0, False
+
+    def add(some: str) -> None:
+        nonlocal linked
+        text.append(some)
+        if link:
+            linked += len(" ".join(some.split()))
 
     def close() -> None:
+        nonlocal linked
         line = " ".join("".join(text).split())
         text.clear()
         if line:
             lines.append(line)
             marks.append(depth > 0)
+            links.append(min(linked, len(line)))
+        linked = 0
+
+    def gap() -> None:
+        lines.extend([""] * WINDOW)
+        marks.extend([depth > 0] * WINDOW)
+        links.extend([0] * WINDOW)
 
     for tag in _TAG.finditer(page):
         if tag.start() < at:
             continue
         if not skipped:
-            text.append(html.unescape(page[at:tag.start()]))
+            add(html.unescape(page[at:tag.start()]))
         at = tag.end()
         name = (tag[2] or tag[5] or "").lower()
         ends, attributes = bool(tag[1] or tag[4]), tag[3] or tag[6] or ""
@@ -105,38 +122,49 @@ def page_lines(page: str) -> tuple[list[str], list[bool]]:
                 continue
         if not ends and name not in VOID and not attributes.endswith("/") and _unwanted(name, attributes, depth > 0):
             close()
-            lines.extend([""] * WINDOW)
-            marks.extend([depth > 0] * WINDOW)
+            gap()
             skipped, level = name, 1
             continue
         if name not in INLINE:
             close()
+        if name == "a":
+            link = not ends
         if name in ("article", "main"):
-            depth = max(0, depth + (-1 if ends else 1))
+            before, depth = depth, max(0, depth + (-1 if ends else 1))
+            if not before or not depth:
+                gap()
     if not skipped:
-        text.append(html.unescape(page[at:]))
+        add(html.unescape(page[at:]))
         close()
-    return lines, marks
+    return lines, marks, links
 
 
 def main_text(page: str) -> str:
-    """The article of one page, its blocks joined by single spaces."""
-    lines, marks = page_lines(page)
-    marked = any(marks)
-    lengths = [len(line) if not marked or mark else 0 for line, mark in zip(lines, marks, strict=True)]
-    least = 1 if marked else SURGE
-    if not marked and sum(lengths) < SURGE:
-        least = 1
+    """The main text of one page, its blocks joined by single spaces."""
+    lines, marks, links = page_lines(page)
+    plain = [len(line) - link for line, link in zip(lines, links, strict=True)]
+    least = max(SURGE, max((sum(plain[i:i + WINDOW]) for i in range(len(plain))), default=0) // SHARE)
+    weights = [max(n, least) if mark and line else n for n, mark, line in zip(plain, marks, lines, strict=True)]
+    sums = [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
+    if max(sums, default=0) < least:
+        least = 1  # nothing surges: a page of a few short lines
     kept: list[str] = []
+    doubtful: list[str] = []  # after a dive: text if it surges again before a gap
     inside = False
-    for i, length in enumerate(lengths):
-        ahead = sum(lengths[i:i + WINDOW])
-        if not inside and length and ahead >= least:
-            inside = True
-        elif inside and not ahead:
+    for i, line in enumerate(lines):
+        ahead = lines[i:i + WINDOW]
+        if not any(ahead):
             inside = False
-        if inside and length:
-            kept.append(lines[i])
+            doubtful.clear()
+        elif not line:
+            continue
+        elif sums[i] >= least and (inside or weights[i]):
+            inside = True
+            kept.extend([*doubtful, line])
+            doubtful.clear()
+        elif inside:
+            dives = bool(doubtful) or not sums[i] or (len(ahead) == WINDOW and all(ahead) and sums[i] * DIVE < least)
+            (doubtful if dives else kept).append(line)
     return " ".join(kept)
 
 

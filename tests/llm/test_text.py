@@ -111,6 +111,23 @@ def test_lines_without_marks_surge_and_dive():
     assert html.main_text(page) == ("words of the text " * 12).strip() + " short"
 
 
+def test_a_marked_article_does_not_hide_the_story():
+    story = "words of the story " * 12
+    card = "<article><h3>card</h3></article>"
+    page = f"<div><p>{story}</p><p>short</p><p>{story}</p></div>{card}{card}"
+    assert html.main_text(page) == f"{story}short {story}card card"
+    links = "".join(f"<p><a href=/{k}>a link of some length to page {k}</a></p>" for k in range(9))
+    assert html.main_text(f"{links}<article><p>yes</p><p>{story}</p></article>{links}") == "yes " + story.strip()
+
+
+def test_unmarked_text_ends_before_short_lines_and_links():
+    story = "words of the story " * 12
+    menu = "".join(f"<p>m{k}</p>" for k in range(6))
+    links = "".join(f"<p><a href=/{k}>a link of some length to page {k}</a></p>" for k in range(9))
+    page = f"{links}<p>{story}</p><p>Yes.</p><p>No.</p><p>Why?</p><p>So.</p><p>{story}</p>"
+    assert html.main_text(page + menu) == html.main_text(page + links) == f"{story}Yes. No. Why? So. {story.strip()}"
+
+
 @pytest.mark.parametrize("attributes", ["style='overflow:hidden'", "class=overflow-hidden", "data-id=menu", "id=related-work",
                                         "id='search-algorithms'", "class=social-history", "hidden=until-found", "title='is hidden'"])
 def test_what_is_only_named_like_junk_stays(attributes):
