@@ -4,16 +4,19 @@ Each language has a tree of byte contexts up to three bytes long with the counts
 A byte costs ``-log2`` of its share in the longest known context; where it was never seen there,
 the context's escape is paid (method C: as likely as the number of distinct followers) and the next
 shorter context is asked, down to eight bits for any byte. A-Z is lower-cased, so that a text in
-capitals is no foreign one. The trees are frozen after learning, and
+capitals is no foreign one. The trees are frozen after learning, each by itself and with all its
+contexts, so no language's code depends on which others there are, and
 a text has the language in which its exact code is shortest.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -22,8 +25,6 @@ from pyspark.sql import functions as F
 from cairn.llm.words import text_bytes
 
 SAMPLE = 2000  # documents learned from in each language, about; chosen by their text's hash
-LANGUAGES = 256  # languages learned, those with most documents
-NODES = 2_000_000  # contexts with a follower kept over all languages, the most frequent ones
 UNKNOWN = "und"
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[65:91] += 32
@@ -58,40 +59,36 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 @dataclass
-class Model:
-    """Code lengths of all languages: rows of one number each, for known sequences of bytes.
+class Order:
+    """Code lengths of one language's known sequences of one length, and the escapes of their contexts."""
 
-    ``pair`` holds every sequence of two bytes. Sequences of three and four are sorted in ``three``
-    and ``four``; one that is missing costs the escape of its context and then its shorter form.
-    """
+    keys: np.ndarray
+    cost: np.ndarray
+    contexts: np.ndarray
+    escape: np.ndarray
 
-    languages: list[str]
-    pair: np.ndarray
-    escape_two: np.ndarray
-    three: np.ndarray
-    cost_three: np.ndarray
-    escape_three: np.ndarray
-    four: np.ndarray
-    cost_four: np.ndarray
-
-    def costs(self, grams: np.ndarray) -> np.ndarray:
-        """The code length of each byte in each language."""
-        found, row = _lookup(self.four, grams)
-        out = self.cost_four[row] if len(self.four) else np.zeros((len(grams), len(self.languages)), np.float32)
-        missing = np.flatnonzero(~found)
-        if len(missing):
-            some = grams[missing]
-            out[missing] = self._escaped(some) + self._three(some & np.uint32(0xFFFFFF))
-        return out
 
-    def _escaped(self, grams: np.ndarray) -> np.ndarray:
-        found, row = _lookup(self.three, grams >> np.uint32(8))
-        return np.where(found[:, None], self.escape_three[row], np.float32(0)) if len(self.three) else np.float32(0)
+@dataclass
+class Model:
+    """The languages and the four orders of each; a missing sequence costs its escape and its shorter form."""
 
-    def _three(self, grams: np.ndarray) -> np.ndarray:
-        found, row = _lookup(self.three, grams)
-        other = self.escape_two[grams >> np.uint32(8)] + self.pair[grams & np.uint32(0xFFFF)]
-        return np.where(found[:, None], self.cost_three[row], other) if len(self.three) else other
+    languages: list[str]
+    orders: list[list[Order]]
+
+    def costs(self, grams: np.ndarray, k: int) -> np.ndarray:
+        """The code length of each last byte of some four-byte sequences in one language."""
+        out = np.zeros(len(grams))
+        left = np.arange(len(grams))
+        for width in (4, 3, 2, 1):
+            order = self.orders[k][width - 1]
+            some = grams[left] & np.uint32((1 << (8 * width)) - 1)
+            found, row = _lookup(order.keys, some)
+            out[left[found]] += order.cost[row[found]]
+            left, some = left[~found], some[~found]
+            known, row = _lookup(order.contexts, some >> np.uint32(8))
+            out[left[known]] += order.escape[row[known]]
+        out[left] += 8.0
+        return out
 
 
 def _lookup(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,101 +98,63 @@ def _lookup(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[row] == wanted, row
 
 
-def _followers(grams: np.ndarray, n: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of one language: costs of known sequences, and escapes of known contexts, with their keys."""
-    context = grams >> np.uint32(8)
-    new = np.concatenate([[True], context[1:] != context[:-1]])
-    first = np.flatnonzero(new)
-    total = np.add.reduceat(n, first).astype(np.float64)
-    distinct = np.diff(np.append(first, len(grams)))
-    where = np.cumsum(new) - 1
-    cost = -np.log2(n / (total + distinct)[where])
-    return cost, context[first], -np.log2(distinct / (total + distinct)), where
-
-
-def build_model(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
-    """Freeze the counts of four-byte sequences into code lengths for every order."""
-    size = len(languages)
-    # Contexts of three bytes are looked up among the sequences of three; those before a text's start are only contexts.
-    levels = {4: np.unique(gram), 3: np.union1d(gram & np.uint32(0xFFFFFF), gram >> np.uint32(8))}
-    one = np.full((256, size), 8.0)
-    pair = np.empty((1 << 16, size), np.float32)
-    escape_two = np.zeros((1 << 16, size), np.float32)
-    cost_three = np.empty((len(levels[3]), size), np.float32)
-    escape_three = np.zeros((len(levels[3]), size), np.float32)
-    cost_four = np.empty((len(levels[4]), size), np.float32)
-    for k in range(size):
-        own, counts = gram[lang == k], n[lang == k]
-        orders = {}
-        for width in (1, 2, 3, 4):
-            short = own & np.uint32((1 << (8 * width)) - 1)
-            keys, inverse = np.unique(short, return_inverse=True)
-            orders[width] = keys, np.bincount(inverse, counts, len(keys))
-        # The empty context, then one, two and three bytes; every level starts from the one below.
-        keys, number = orders[1]
-        cost, _, escape, _ = _followers(keys, number, keys)
-        one[:, k] += escape[0]
-        one[keys, k] = cost
-        keys, number = orders[2]
-        cost, contexts, escape, _ = _followers(keys, number, keys)
-        base = np.zeros(256)
-        base[contexts] = escape
-        pair[:, k] = (base[:, None] + one[None, :, k]).ravel()
-        pair[keys, k] = cost
-        keys, number = orders[3]
-        cost, contexts, escape, _ = _followers(keys, number, keys)
-        escape_two[contexts, k] = escape
-        every = levels[3]
-        cost_three[:, k] = escape_two[every >> np.uint32(8), k] + pair[every & np.uint32(0xFFFF), k]
-        cost_three[np.searchsorted(every, keys), k] = cost
-        keys, number = orders[4]
-        cost, contexts, escape, _ = _followers(keys, number, keys)
-        found, row = _lookup(every, contexts)
-        escape_three[row[found], k] = escape[found]
-        below = np.searchsorted(every, levels[4] & np.uint32(0xFFFFFF))
-        found, row = _lookup(contexts, levels[4] >> np.uint32(8))
-        cost_four[:, k] = np.where(found, escape[row], 0) + cost_three[below, k]
-        cost_four[np.searchsorted(levels[4], keys), k] = cost
-    return Model(languages, pair, escape_two, levels[3], cost_three, escape_three, levels[4], cost_four)
-
-
-def learn(docs: DataFrame, sample: int = SAMPLE, nodes: int = NODES) -> Model | None:
+def freeze(gram: np.ndarray, n: np.ndarray) -> list[Order]:
+    """Freeze one language's counts of four-byte sequences into code lengths for every order."""
+    orders = []
+    for width in (1, 2, 3, 4):
+        keys, inverse = np.unique(gram & np.uint32((1 << (8 * width)) - 1), return_inverse=True)
+        number = np.bincount(inverse, n, len(keys))
+        context = keys >> np.uint32(8)
+        new = np.concatenate([[True], context[1:] != context[:-1]])
+        first = np.flatnonzero(new)
+        distinct = np.diff(np.append(first, len(keys)))
+        whole = np.add.reduceat(number, first) + distinct
+        cost = -np.log2(number / whole[np.cumsum(new) - 1])
+        orders.append(Order(keys, cost.astype(np.float32), context[first], (-np.log2(distinct / whole)).astype(np.float32)))
+    return orders
+
+
+def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Learn from rows of ``docs (text, lang)``; None where no row has both.
 
-    About ``sample`` documents are taken from each of the ``LANGUAGES`` most frequent languages, and
-    the ``nodes`` most frequent sequences are kept, so the model's size doesn't depend on the corpus.
+    About ``sample`` documents are taken from each language and all their sequences are kept, so the
+    model's size follows the number of languages and not that of the documents.
     """
     rows = docs.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not sizes:
         return None
     share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, sample / r["n"]))))
     part = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000
-    counts = (rows.where(part).mapInArrow(_count_batches, "lang string, gram bigint, n bigint")
-              .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-              .orderBy(F.desc("n"), "lang", "gram").limit(nodes).toPandas())
-    if not len(counts):
+
+    def tree(some: pd.DataFrame) -> pd.DataFrame:
+        orders = freeze(some["gram"].to_numpy().astype(np.uint32), some["n"].to_numpy().astype(np.float64))
+        return pd.DataFrame({"lang": [some["lang"].iloc[0]], "tree": [pickle.dumps([(o.keys, o.cost, o.contexts, o.escape) for o in orders])]})
+
+    trees = (rows.where(part).mapInArrow(_count_batches, "lang string, gram bigint, n bigint")
+             .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+             .groupBy("lang").applyInPandas(tree, "lang string, tree binary").collect())
+    if not trees:
         return None
-    languages = sorted(counts["lang"].unique())
-    code = {name: k for k, name in enumerate(languages)}
-    return build_model(languages, counts["lang"].map(code).to_numpy(), counts["gram"].to_numpy().astype(np.uint32),
-                       counts["n"].to_numpy().astype(np.float64))
+    trees.sort(key=lambda r: r["lang"])
+    return Model([r["lang"] for r in trees], [[Order(*o) for o in pickle.loads(r["tree"])] for r in trees])
 
 
 def text_costs(model: Model, column: pa.Array) -> np.ndarray:
     """The code length in bits of every text in every language."""
     raw, offsets = text_bytes(column)
     out = np.zeros((len(column), len(model.languages)))
-    step = max(1024, _PIECE * 4 // len(model.languages))
+    step = max(1024, _PIECE)
     for low in range(0, len(raw), step):
         high = min(len(raw), low + step)
         # Three bytes of context come from before the piece, unless a text begins there.
         begin = max(0, low - 3)
         inner = np.unique(np.concatenate([[begin], offsets[(offsets > begin) & (offsets < high)], [high]]))
-        grams = _grams(raw[begin:high], inner - begin)[low - begin:]
+        grams, place = np.unique(_grams(raw[begin:high], inner - begin)[low - begin:], return_inverse=True)
         text = np.searchsorted(offsets, np.arange(low, high), "right") - 1
         first = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
-        out[text[first]] += np.add.reduceat(model.costs(grams), first, axis=0, dtype=np.float64)
+        for k in range(len(model.languages)):
+            out[text[first], k] += np.add.reduceat(model.costs(grams, k)[place], first)
     return out
 
 

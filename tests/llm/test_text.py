@@ -63,6 +63,14 @@ def test_pieces_do_not_change_code_lengths(spark, monkeypatch):
     assert np.allclose(whole, language.text_costs(model, texts))
 
 
+def test_no_language_is_left_out(spark):
+    rows = [(f"w{k:03d} own{k * 7919} words", f"l{k:03d}") for k in range(300)] + [("of many documents", "big")] * 50
+    model = language.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == sorted({lang for _, lang in rows})
+    got = language.text_costs(model, pa.array([rows[299][0]]))
+    assert model.languages[got[0].argmin()] == "l299"
+
+
 def test_identify(odd, none):
     model = language.learn(odd)
     got = language.identify(odd, model)
