@@ -135,3 +135,14 @@ def test_accuracy_and_defaults_cover_the_schema(spark):
     assert tuple(forest.accuracy(df).first()) == (0.5, 2)
     asked = {s["column"] for s in fixed.FEATURES.values()}
     assert asked - set(fixed.REQUEST_DEFAULTS) == {"height", "himal"}
+
+
+def test_registered_grid_search_is_the_full_grid(spark, monkeypatch):
+    from cairn.queries import QUERIES, load_all
+
+    load_all()
+    seen = {}
+    monkeypatch.setattr(forest, "grid_search", lambda *given, **named: seen.update(named) or (None, given[0]))
+    QUERIES["grid_search"](spark, "/root/testdata/sf0.001")
+    assert "trees" not in seen and "depths" not in seen
+    assert len(fixed.GRID_TREES) * len(fixed.GRID_DEPTHS) == 32
