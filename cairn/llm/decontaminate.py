@@ -50,7 +50,8 @@ def find_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     An item is held where 100 * shared shingles >= 75 * the item's shingles. ``docs`` needs ``doc_id``
     and ``text``, ``items`` needs ``item_id`` and ``text``; other columns are not read. Texts without
-    words hold nothing and are found nowhere. ``digest`` is a hash of the document's text, so that
+    words hold nothing and are found nowhere. An item under five words is one shorter shingle, which only
+    a text of just those words holds: it is not found inside a longer document. ``digest`` is a hash of the document's text, so that
     documents with NULL or repeated ids are told apart; repeated rows give one answer.
     """
     named = items.select("item_id", F.xxhash64("item_id", "text").alias("item"), _words(F.col("text")).alias("words"))
