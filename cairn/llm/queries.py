@@ -9,8 +9,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import (bpe, decontaminate, html, language, licences, lm, neardup, quality, secrets,
-                       shards)
+from cairn.llm import (bpe, decontaminate, html, language, licences, lm, neardup, periodic, quality,
+                       secrets, shards, trie, urls)
 from cairn.session import tune
 
 VOCABULARY = os.environ.get("CAIRN_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -247,3 +247,89 @@ def op9_lm(docs):
     return lm.score_documents(rows, model).select(
         "doc_id", language.held_out(F.col("doc_id"), 10).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.filter.total).cast("bigint").alias("train_tokens"), "base_score", "score")
+
+
+def _case_sql(part: str) -> str:
+    ranked = sorted(urls.RULES, key=lambda r: -len(r.text))
+    return "CASE " + " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{getattr(r, part)}'"
+        for r in ranked) + " END"
+
+
+def _rounds_sql() -> str:
+    parts = []
+    for k in range(1, urls.ROUNDS + 1):
+        parts.append(f"""h{k} AS MATERIALIZED (SELECT kind, host, sum(mass)::BIGINT AS mass FROM (
+    SELECT kind, host, floor(mass::DOUBLE * (1 - {urls.KEEP}::DOUBLE))::BIGINT AS mass FROM h0
+    UNION ALL SELECT s.kind, e.dst, floor(s.mass::DOUBLE * {urls.KEEP}::DOUBLE * e.share)::BIGINT
+    FROM h{k - 1} s JOIN e ON s.kind = e.kind AND s.host = e.src) GROUP BY kind, host)""")
+    return ",\n".join(parts)
+
+
+@query("op12_urls", "pages", sql=f"""
+WITH p AS (SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '{urls.URL}', 1), '{urls.UPPER}', '{urls.LOWER}') AS host,
+                  regexp_extract(coalesce(url, ''), '{urls.URL}', 2) AS path FROM pages),
+q AS (SELECT *, {_case_sql("text")} AS rule, {_case_sql("verdict")} AS ruled FROM p),
+seen AS (SELECT host, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b
+         FROM q WHERE host <> '' GROUP BY host),
+l AS (SELECT src, dst, count(*) AS w FROM (SELECT host AS src, unnest(list_distinct(list_transform(
+        regexp_extract_all(html, '{urls.LINK.replace("'", "''")}', 1), lambda x: translate(x, '{urls.UPPER}', '{urls.LOWER}')))) AS dst FROM q)
+      WHERE src <> dst AND src <> '' GROUP BY ALL),
+u AS (SELECT string_split(host, '.') AS labels, unnest(range(1, len(string_split(host, '.')) - 1)) AS k FROM seen
+      WHERE length(host) <= {urls.LONGEST_NAME} AND NOT regexp_matches(host, '^[0-9.:\\[\\]]+$')),
+t AS (SELECT DISTINCT array_to_string(labels[k:], '.') AS src, array_to_string(labels[k + 1:], '.') AS dst FROM u),
+w AS (SELECT src, dst, sum(w) AS w FROM (SELECT * FROM l UNION ALL SELECT src, dst, 1 FROM t UNION ALL SELECT dst, src, 1 FROM t) GROUP BY ALL),
+d AS (SELECT 0 AS kind, src, dst, w FROM w UNION ALL SELECT 1, dst, src, w FROM w),
+e AS MATERIALIZED (SELECT kind, src, dst, w::DOUBLE / (sum(w) OVER (PARTITION BY kind, src))::DOUBLE AS share FROM d),
+h0 AS MATERIALIZED (SELECT 0 AS kind, host, floor({urls.MASS}::DOUBLE * (a::DOUBLE / (SELECT sum(a) FROM seen)::DOUBLE))::BIGINT AS mass FROM seen WHERE a > 0
+       UNION ALL SELECT 1, host, floor({urls.MASS}::DOUBLE * (b::DOUBLE / (SELECT sum(b) FROM seen)::DOUBLE))::BIGINT FROM seen WHERE b > 0),
+{_rounds_sql()},
+m AS (SELECT host, coalesce(sum(mass) FILTER (kind = 0), 0)::BIGINT AS trust,
+             coalesce(sum(mass) FILTER (kind = 1), 0)::BIGINT AS distrust FROM h{urls.ROUNDS} GROUP BY host)
+SELECT page_id, q.host, path, rule,
+       coalesce(ruled, CASE WHEN distrust > {urls.THRESHOLD}::DOUBLE * trust THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
+FROM q LEFT JOIN m USING (host)""")
+def op12_urls(pages):
+    return urls.judge_urls(pages.select("page_id", "url", "html")).select(
+        "page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
+def _crc_sql(text: str) -> str:
+    """CRC-32 of a text of ASCII characters."""
+    step = "list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: {step}), 4294967295)"
+
+
+@query("op11_trie", "conversations", sql=f"""
+WITH t AS (SELECT conv_id AS c, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS turn,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT c, list(turn ORDER BY pos) AS ts FROM t GROUP BY c),
+h AS (SELECT c, ts, {_crc_sql("c::VARCHAR")} % 9 AS h FROM l),
+b AS (SELECT h.c, coalesce(l.ts[1:h], []) || h.ts[h + 1:] AS ts FROM h LEFT JOIN l ON l.c = h.c - h.c % 5),
+m AS (SELECT c, d, CASE WHEN d = 0 THEN '' ELSE sha256(to_json(ts[1:d])::VARCHAR) END AS k,
+             CASE WHEN d = 0 THEN 0 ELSE strlen(ts[d].t) END AS bytes, len(ts) AS whole
+      FROM (SELECT *, unnest(range(len(ts) + 1)) AS d FROM b)),
+n AS (SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(bytes) AS saved,
+             coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = whole), '') AS ends FROM m GROUP BY d, k),
+p AS (SELECT n.d, n.k, any_value(q.k) AS pk FROM n JOIN m x ON x.c = n.conv_id AND x.d = n.d
+      JOIN m q ON q.c = n.conv_id AND q.d = n.d - 1 GROUP BY ALL),
+y AS (SELECT d - 1 AS d, pk AS k, count(*) AS n_children FROM p GROUP BY ALL),
+s AS (SELECT a.d, a.k, sum(n.saved) AS saved_tokens, count(*) FILTER (y.n_children IS NULL) AS n_leaves
+      FROM n LEFT JOIN y ON n.d = y.d AND n.k = y.k JOIN m a ON a.c = n.conv_id AND a.d <= n.d GROUP BY a.d, a.k)
+SELECT n.conv_id, n.d::BIGINT AS depth, o.conv_id AS parent_conv_id, n.n_convs, coalesce(y.n_children, 0) AS n_children,
+       s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n LEFT JOIN p ON n.d = p.d AND n.k = p.k LEFT JOIN n o ON o.d = n.d - 1 AND o.k = p.pk
+LEFT JOIN y ON n.d = y.d AND n.k = y.k JOIN s ON s.d = n.d AND s.k = n.k""")
+def op11_trie(turns):
+    conv = F.col("conv")
+    return trie.prefix_trie(turns, conv - conv % 5, F.crc32(conv.cast("string")) % 9)
+
+
+@query("op13_runs")
+def op13_runs(docs):
+    return periodic.periodic_runs(docs.select("doc_id", "text"), loops=True).select(
+        "doc_id", "n_runs", "start", "length", "period",
+        F.floor(1000 * F.col("length") / F.col("period")).cast("bigint").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
