@@ -21,6 +21,15 @@ def dsv_roundtrip(t):
     return delimited.read_delimited(docs.sparkSession, path)
 
 
+@query("dsv_ranges", """
+    SELECT doc_id::VARCHAR AS doc_id, text, n_chars::VARCHAR AS n_chars FROM documents""")
+def dsv_ranges(t):
+    # One file with line breaks in its fields, cut in byte ranges.
+    docs = t("documents")
+    path, _ = delimited.write_delimited(docs.coalesce(1), scratch_folder(docs.sparkSession, "one-file"))
+    return delimited.read_ranges(docs.sparkSession, path, columns=["doc_id", "text", "n_chars"])
+
+
 @query("dsv_lone_column", """
     SELECT nullif(CASE WHEN p_type = 'SMALL' THEN '' WHEN p_type <> 'PROMO' THEN p_name END, '') AS name FROM part""")
 def dsv_lone_column(t):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.functions.text import null_if_empty
+from cairn.sources.records import read_records
 
 # A doubled quote inside quotes is one quote; pads are kept; fields may hold line breaks.
 _FORMAT = {
@@ -19,16 +20,48 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str] | None = N
                    multiline: bool | None = None) -> DataFrame:
     """Read as text columns; the header row names them and an empty field is NULL.
 
-    ``columns`` picks columns by the header's names, in whatever order the file has them. With
-    ``multiline=False`` one file is split over many tasks, which takes fields without line breaks;
-    ``None`` looks for such fields first.
+    ``columns`` picks columns by the header's names, in whatever order the file has them. Files are
+    split over many tasks. ``multiline=False`` says that no field holds a line break, ``True`` reads a
+    file in one task; with ``None`` files of one byte range are read so, and in larger ones records
+    are cut at the right line breaks if any field holds one.
     """
     if multiline is None:
-        multiline = has_line_breaks(spark, path)
+        if not has_large_files(spark, path):
+            multiline = True
+        elif has_line_breaks(spark, path):
+            return read_ranges(spark, path, columns)
+        else:
+            multiline = False
     rows = spark.read.options(**_FORMAT).option("multiLine", multiline).csv(path)
+    return _named(rows, columns)
+
+
+def _named(rows: DataFrame, columns: list[str] | None) -> DataFrame:
     return rows.select(*[null_if_empty(F.col(f"`{c}`")).alias(c) for c in columns or rows.columns])
 
 
+def read_ranges(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """Read files of any size in byte ranges, whatever line breaks their quoted fields hold."""
+    head = spark.read.options(**_FORMAT).option("multiLine", True).csv(path).schema
+    options = {k: v for k, v in _FORMAT.items() if k != "header"} | {"multiLine": "true"}
+    records = read_records(spark, path, _FORMAT["sep"], _FORMAT["quote"])
+    parsed = records.select(F.from_csv("value", head.toDDL(), options).alias("row"))
+    return _named(parsed.select("row.*"), columns)
+
+
+def has_large_files(spark: SparkSession, path: str) -> bool:
+    """Whether a file is larger than one byte range; looks at lengths only."""
+    most = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    return most is not None and most > range_bytes(spark)
+
+
+def range_bytes(spark: SparkSession) -> int:
+    """The most bytes of a file that one task reads, from a setting such as ``128m`` or ``134217728b``."""
+    asked = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(asked[-1])
+    return int(asked[:-1]) << unit if unit else int(asked)
+
+
 def has_line_breaks(spark: SparkSession, path: str) -> bool:
     """Whether a quoted field runs over its line's end; stops at the first one found."""
     lines = spark.read.text(path)
