@@ -163,21 +163,21 @@ def stream_scoring(t):
     model = forest.train(staged(spread(matrix.where(~F.col("holdout"))), "matrix"),
                          list(features.feature_columns(REQUEST_SCHEMA)))
     # Every order asks for all nations, with its own price and priority.
-    return _streamed(t, F.struct("o_totalprice", F.col("o_orderpriority").alias("priority")), model,
+    return _streamed(t, F.to_json(F.struct("o_totalprice", F.col("o_orderpriority").alias("priority"))), model,
                      REQUEST_SCHEMA, REQUEST_DEFAULTS)
 
 
-def _streamed(t, body, model, schema, defaults):
+def _streamed(t, body, model, schema, defaults, table="scores"):
     """All orders as a stream of requests against the nations' mean balances."""
     spark = t("orders").sparkSession
     folder = scratch_folder(spark, "bodies")
-    bodies = staged_at(t("orders").select("o_orderkey", F.to_json(body).alias("body")), folder)
+    bodies = staged_at(t("orders").select("o_orderkey", body.alias("body")), folder)
     entities = t("customer").groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("c_acctbal"))
     out = scratch_folder(spark, "scores")
     scoring.score_stream(spark.readStream.schema(bodies.schema).parquet(folder), out,
                          scratch_folder(spark, "progress"), staged(entities, "entities"), model,
                          "o_orderkey", "c_nationkey", schema=schema, defaults=defaults).awaitTermination()
-    return spark.read.parquet(out)
+    return scoring.answered(spark, out, table)
 
 
 # One feature that tells the label alone: every split is pure, so SQL knows each answer of the forest.
@@ -241,5 +241,32 @@ def score_one(t):
     SELECT o_orderkey, c_nationkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 100.0 ELSE 0.0 END AS percent
     FROM orders, (SELECT DISTINCT c_nationkey FROM customer)""")
 def stream_clear_scoring(t):
-    scored = _streamed(t, F.struct("o_orderpriority"), _clear_model(t), CLEAR_SCHEMA, CLEAR_DEFAULTS)
+    scored = _streamed(t, F.to_json(F.struct("o_orderpriority")), _clear_model(t), CLEAR_SCHEMA, CLEAR_DEFAULTS)
+    return scored.withColumn("percent", F.col("percent").cast("double"))
+
+
+def _spoiled():
+    """Orders whose request is no JSON, no object, or has a key of a wrong type."""
+    status = F.col("o_orderstatus")
+    return (F.when(status == "P", "no json").when((status == "F") & (F.col("o_orderkey") % 2 == 0), "[1]")
+            .when(status == "F", F.to_json(F.struct(F.array("o_orderkey").alias("o_totalprice"))))
+            .otherwise(F.to_json(F.struct("o_totalprice", "o_orderpriority"))))
+
+
+MIXED_DEFAULTS = CLEAR_DEFAULTS | {"o_totalprice": ("double", 1.0)}
+
+
+@query("stream_rejects", """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' OR o_orderkey % 2 = 0 THEN 'not a JSON object'
+                            ELSE 'bad o_totalprice' END AS reason
+    FROM orders WHERE o_orderstatus IN ('P', 'F')""")
+def stream_rejects(t):
+    return _streamed(t, _spoiled(), _clear_model(t), CLEAR_SCHEMA, MIXED_DEFAULTS, "rejects")
+
+
+@query("stream_good_scores", """
+    SELECT o_orderkey, c_nationkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 100.0 ELSE 0.0 END AS percent
+    FROM orders, (SELECT DISTINCT c_nationkey FROM customer) WHERE o_orderstatus NOT IN ('P', 'F')""")
+def stream_good_scores(t):
+    scored = _streamed(t, _spoiled(), _clear_model(t), CLEAR_SCHEMA, MIXED_DEFAULTS)
     return scored.withColumn("percent", F.col("percent").cast("double"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,13 +54,42 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever store its path names; False where there is none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+#: Scratch tables made since the outermost open scope began.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, when what they were made for has been written.
+
+    Results that are read lazily must not leave the scope. Without a scope staged tables stay.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            delete_folder(spark, path)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result that several branches read, and read it back.
 
     The table is in the shared folder, so it outlives a lost executor, and later plans start
     from its real size.
     """
-    return staged_at(df, scratch_folder(df.sparkSession, label))
+    path = scratch_folder(df.sparkSession, label)
+    if _scopes:
+        _scopes[-1].append(path)
+    return staged_at(df, path)
 
 
 def staged_at(df: DataFrame, path: str) -> DataFrame:

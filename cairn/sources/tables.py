@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn import fixed
+from cairn.sources import versions
 from cairn.sources.delimited import read_delimited, type_columns
 
 
@@ -80,9 +81,15 @@ def create_views(views: dict[str, Callable[[], DataFrame]]) -> list[str]:
 
 
 def materialise(df: DataFrame, path: str, force: bool = False) -> DataFrame:
-    """Write unless the output is there already; ``force`` writes anew. Returns the stored rows."""
-    df.write.mode("overwrite" if force else "ignore").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write unless the output is there already; ``force`` writes anew. Returns the stored rows.
+
+    The output is there when a whole version is committed: one that was cut short is written again, and
+    of two writers at once all readers see the same one's rows.
+    """
+    spark = df.sparkSession
+    if force or versions.read_latest(spark, path, "rows") is None:
+        versions.write_version(path, {"rows": df})
+    return versions.read_latest(spark, path, "rows")
 
 
 def rows_since(df: DataFrame, column: str, first: int) -> DataFrame:

@@ -7,14 +7,18 @@ Spark broadcasts the chunks while they are small and spreads them otherwise.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cairn import fixed
 from cairn.operators.features import feature_matrix, filled_rows
 from cairn.operators.forest import score
+from cairn.sources.versions import read_all, write_version
+
 
 def parse_requests(requests: DataFrame, body: str = "body",
                    defaults: dict = fixed.REQUEST_DEFAULTS) -> DataFrame:
@@ -79,12 +83,31 @@ def score_requests(requests: DataFrame, entities: DataFrame, model: PipelineMode
 
 
 def score_stream(requests: DataFrame, out_path: str, checkpoint: str, entities: DataFrame,
-                 model: PipelineModel, key: str, entity_key: str, **options) -> StreamingQuery:
-    """Run ``score_requests`` over a stream of requests until the files at hand are done.
-
-    Stateless and append-only; a restarted query continues from its checkpoint.
+                 model: PipelineModel, key: str, entity_key: str,
+                 defaults: dict = fixed.REQUEST_DEFAULTS, body: str = "body", **options) -> StreamingQuery:
+    """Answer a stream of requests until the files at hand are done: scores, and a reason for each bad one.
+
+    Every batch is one version of ``out_path`` with the tables ``scores`` and ``rejects``, committed
+    together under the batch's number; ``answered`` reads them. A restarted query repeats the batch
+    it was in: what was not committed is written anew, what was is left, so nothing is missing or there
+    twice. A checkpoint folder stands for one run of the stream; another one's batches come on top.
     """
-    scored = score_requests(requests, entities, model, key, entity_key, **options)
-    return (scored.writeStream.format("parquet").outputMode("append")
-            .option("path", out_path).option("checkpointLocation", checkpoint)
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+    def answer(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            write_version(out_path, {
+                "scores": score_requests(batch, entities, model, key, entity_key, defaults=defaults, body=body, **options),
+                "rejects": rejected(parse_requests(batch, body, defaults), key),
+            }, version=f"{run}-{number:012d}", ordinal=number)
+        finally:
+            batch.unpersist()
+
+    return (requests.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def answered(spark: SparkSession, out_path: str, table: str) -> DataFrame | None:
+    """The ``scores`` or ``rejects`` of all committed batches; None before the first one."""
+    return read_all(spark, out_path, table)

@@ -120,7 +120,7 @@ def test_stream_batch_and_single_scores_agree(spark, attempts):
     stream = spark.readStream.schema(asked.schema).parquet(folder)
     scoring.score_stream(stream, out, scratch_folder(spark, "progress"), peaks, model, "key", "peak_id"
                          ).awaitTermination()
-    streamed = {(r.key, r.peak_id): r.percent for r in spark.read.parquet(out).collect()}
+    streamed = {(r.key, r.peak_id): r.percent for r in scoring.answered(spark, out, "scores").collect()}
     assert streamed == rows
 
     defaults = {r.peak_id: r.percent for r in training.score_defaults(peaks, "peak_id", model).collect()}
@@ -146,3 +146,43 @@ def test_registered_grid_search_is_the_full_grid(spark, monkeypatch):
     QUERIES["grid_search"](spark, "/root/testdata/sf0.001")
     assert "trees" not in seen and "depths" not in seen
     assert len(fixed.GRID_TREES) * len(fixed.GRID_DEPTHS) == 32
+
+
+def test_stream_answers_all_requests_once_after_crashes(spark, attempts, monkeypatch):
+    matrix = training.model_matrix(attempts, ["expedition_id", "member_id"], "successful_summit")
+    model = forest.train(matrix, list(features.feature_columns()), trees=3)
+    peaks = spark.createDataFrame([("EVER", 8849, "KHUMBU"), ("BARU", 7100, "BARUN")], "peak_id STRING, height INT, himal STRING")
+    asked = requests(spark)
+    folder, out, progress = (scratch_folder(spark, x) for x in ("requests", "answers", "progress"))
+    asked.repartition(5).write.parquet(folder)
+    write, failing = scoring.write_version, {"before": 2, "after": 3}
+
+    def crash(root, tables, **named):
+        number = named["ordinal"]
+        if failing["before"] == number:
+            failing["before"] = None
+            tables["scores"].write.parquet(f"{root}/data/{named['version']}/scores")  # cut short before its commit
+            raise RuntimeError("lost before the commit")
+        done = write(root, tables, **named)
+        if failing["after"] == number:
+            failing["after"] = None
+            raise RuntimeError("lost after the commit")
+        return done
+
+    monkeypatch.setattr(scoring, "write_version", crash)
+    assert scoring.answered(spark, out, "scores") is None
+    runs = 0
+    while True:
+        stream = spark.readStream.schema(asked.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        query = scoring.score_stream(stream, out, progress, peaks, model, "key", "peak_id")
+        runs += 1
+        try:
+            query.awaitTermination()
+            break
+        except Exception as problem:
+            assert "lost" in str(problem)
+    assert runs == 3
+    batch = scoring.score_requests(asked, peaks, model, "key", "peak_id")
+    assert sorted(map(tuple, scoring.answered(spark, out, "scores").collect())) == sorted(map(tuple, batch.collect()))
+    rejects = scoring.rejected(scoring.parse_requests(asked), "key")
+    assert sorted(map(tuple, scoring.answered(spark, out, "rejects").collect())) == sorted(map(tuple, rejects.collect()))

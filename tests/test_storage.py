@@ -2,6 +2,8 @@
 
 import csv
 import io
+import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +11,8 @@ from pyspark.sql import functions as F
 from cairn import fixed
 from cairn.operators import quality
 from cairn.plans import warehouse
-from cairn.session import scratch_folder
-from cairn.sources import delimited, elements, tables
+from cairn.session import scratch_folder, scratch_scope, staged
+from cairn.sources import delimited, elements, tables, versions
 
 
 def test_roundtrip_of_awkward_text(spark, tmp_path):
@@ -52,6 +54,50 @@ def test_materialise_once(spark, tmp_path):
     assert tables.materialise(spark.range(9), path, force=True).count() == 9
 
 
+def test_an_interrupted_write_is_repeated(spark, tmp_path):
+    path = str(tmp_path / "m")
+    spark.range(5).write.parquet(f"{path}/data/cut-short/rows")  # no commit
+    assert versions.read_latest(spark, path, "rows") is None
+    assert tables.materialise(spark.range(3), path).count() == 3
+    broken = spark.range(4).withColumn("id", F.raise_error(F.lit("stop")).cast("bigint"))
+    with pytest.raises(Exception, match="stop"):
+        tables.materialise(broken, path, force=True)
+    assert tables.materialise(spark.range(9), path).count() == 3
+
+
+def test_two_writers_leave_one_whole_version_and_old_ones_go(spark, tmp_path):
+    path = str(tmp_path / "m")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: versions.write_version(path, {"a": spark.range(k), "b": spark.range(10 * k)}), (1, 2, 3, 4)))
+    seen = versions.read_latest(spark, path, "a").count()
+    assert versions.read_latest(spark, path, "b").count() == 10 * seen
+    assert len(versions.commits(spark, path)) == 4 and versions.read_all(spark, path, "a").count() == 10
+    versions.write_version(path, {"a": spark.range(7)})
+    assert versions.read_latest(spark, path, "a").count() == 7 and versions.read_latest(spark, path, "b").count() == 10 * seen
+    assert len(versions.drop_versions(spark, path, keep=1)) == 4
+    assert versions.read_latest(spark, path, "b") is None and versions.read_latest(spark, path, "a").count() == 7
+    assert sorted(os.listdir(f"{path}/data")) == sorted(os.listdir(f"{path}/manifest")) == [versions.commits(spark, path)[0]["version"]]
+
+
+def test_a_named_version_is_written_once(spark, tmp_path):
+    path = str(tmp_path / "m")
+    first = versions.write_version(path, {"a": spark.range(2)}, version="batch-1", ordinal=1)
+    assert first["tables"]["a"]["rows"] == 2
+    assert versions.write_version(path, {"a": spark.range(9)}, version="batch-1", ordinal=1) is None
+    assert versions.read_all(spark, path, "a").count() == 2
+
+
+def test_staged_tables_go_with_their_scope(spark, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    with scratch_scope(spark):
+        staged(spark.range(4), "inner").write.parquet(str(tmp_path / "out"))
+        assert set(os.listdir(root)) > before
+    assert set(os.listdir(root)) == before
+    kept = staged(spark.range(4), "outer")
+    assert kept.count() == 4
+
+
 def test_scratch_folder_is_below_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = scratch_folder(spark, "x"), scratch_folder(spark, "x")
