@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+import numpy as np
+import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn import fixed
 from cairn.functions.values import hash_bucket, percent
-from cairn.session import scratch_folder
-
-# Spark's deepest tree, standing for "no limit".
-DEEPEST = 30
+from cairn.operators.bagging import DEEPEST
+from cairn.session import scratch_folder, spread, staged
 
 
 def is_holdout(keys: list[Column]) -> Column:
@@ -40,14 +41,18 @@ def training_fold(keys: list[Column]) -> Column:
     return F.when(ten.isin(1, 6), F.lit(None)).when(ten < 6, ten - 2).otherwise(ten - 3).cast("int")
 
 
-def _stages(features: list[str], label: str, trees: int, depth: int | None, seed: int,
-            invalid: str, bins: int = 32) -> Pipeline:
-    forest = RandomForestClassifier(
+def _forest(label: str, trees: int, depth: int | None, seed: int, bins: int = 32) -> RandomForestClassifier:
+    return RandomForestClassifier(
         labelCol=label, featuresCol="features", numTrees=trees,
         maxDepth=DEEPEST if depth is None else depth, impurity="gini",
         featureSubsetStrategy="sqrt", bootstrap=True, seed=seed, maxBins=bins)
+
+
+def _stages(features: list[str], label: str, trees: int, depth: int | None, seed: int,
+            invalid: str, bins: int = 32) -> Pipeline:
     return Pipeline(stages=[
-        VectorAssembler(inputCols=features, outputCol="features", handleInvalid=invalid), forest])
+        VectorAssembler(inputCols=features, outputCol="features", handleInvalid=invalid),
+        _forest(label, trees, depth, seed, bins)])
 
 
 def train(matrix: DataFrame, features: list[str], label: str = "label",
@@ -90,33 +95,94 @@ def importances(spark: SparkSession, model: PipelineModel, features: list[str])
     ).orderBy(F.desc("importance"), "feature")
 
 
+def forest_nodes(model: RandomForestClassificationModel) -> pd.DataFrame:
+    """``tree, id, left, right, feature, threshold, share`` of all nodes, by tree and id, from the stored model.
+
+    ``share`` is the positive class's part of the training rows that reached the node; leaves have no
+    feature (-1). The model is held by the driver in any case.
+    """
+    path = save_model(model, scratch_folder(SparkSession.active(), "grown"))
+    node, split = "nodeData", "nodeData.split"
+    stats = F.col(f"{node}.impurityStats")
+    whole = F.aggregate(stats, F.lit(0.0), lambda a, x: a + x)
+    rows = SparkSession.active().read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), f"{node}.id", F.col(f"{node}.leftChild").alias("left"),
+        F.col(f"{node}.rightChild").alias("right"), F.col(f"{split}.featureIndex").alias("feature"),
+        F.coalesce(F.get(f"{split}.leftCategoriesOrThreshold", F.lit(0)), F.lit(0.0)).alias("threshold"),
+        (F.coalesce(F.get(stats, F.lit(1)), F.lit(0.0)) / whole).alias("share"))
+    return rows.toPandas().sort_values(["tree", "id"], ignore_index=True)
+
+
+def setting_predictions(nodes: pd.DataFrame, sizes: list[int], depths: list[int]):
+    """A vectorised function of feature arrays: the class that each setting predicts, sizes within depths.
+
+    A setting is the forest's first trees, cut at a depth. Every tree is walked once for all settings.
+    """
+    trees = [t[["left", "right", "feature", "threshold", "share"]].to_numpy().T for _, t in nodes.groupby("tree")]
+
+    @F.pandas_udf("array<double>")
+    def predict(features: pd.Series) -> pd.Series:
+        x = np.stack(features.to_numpy()) if len(features) else np.zeros((0, 1))
+        at_row, total = np.arange(len(x)), np.zeros((len(depths), len(x)))
+        found = np.zeros((len(x), len(depths), len(sizes)))
+        for number, (left, right, feature, threshold, share) in enumerate(trees[:max(sizes)], start=1):
+            node, ends = np.zeros(len(x), int), {}
+            for level in range(max(depths) + 1):
+                ends[level] = share[node]
+                inner = feature[node] >= 0
+                if not inner.any():
+                    break
+                low = x[at_row, np.maximum(feature[node], 0).astype(int)] <= threshold[node]
+                node = np.where(inner, np.where(low, left[node], right[node]), node).astype(int)
+            for k, depth in enumerate(depths):
+                total[k] += ends[min(depth, max(ends))]
+            for k in (k for k, n in enumerate(sizes) if n == number):
+                found[:, :, k] = (total > number - total).T
+        return pd.Series(list(found.reshape(len(x), -1)))
+
+    return predict
+
+
+def setting_accuracy(model: RandomForestClassificationModel, rows: DataFrame, sizes: list[int], depths: list[int],
+                     label: str = "label") -> dict[tuple[int, int], float]:
+    """``(size, depth)`` -> accuracy, for the forest's first trees cut at a depth; one pass over the rows."""
+    predict = setting_predictions(forest_nodes(model), sizes, depths)
+    settings = [(n, d) for d in depths for n in sizes]
+    told = rows.select(label, predict(vector_to_array("features")).alias("told"))
+    right = [F.avg((F.get("told", F.lit(k)) == F.col(label)).cast("double")).alias(f"s{k}") for k in range(len(settings))]
+    return dict(zip(settings, told.agg(*right).first(), strict=True))
+
+
 def grid_search(matrix: DataFrame, features: list[str], fold_column: str, label: str = "label",
                 trees: list[int] = fixed.GRID_TREES, depths: list[int | None] = fixed.GRID_DEPTHS,
-                seed: int = 17, parallelism: int = 4) -> tuple[CrossValidatorModel, DataFrame]:
+                seed: int = 17, parallelism: int = 4) -> tuple[PipelineModel, DataFrame]:
     """Search tree counts and depths by leave-one-fold-out accuracy; refit the best.
 
-    Returns the fitted search and one row per setting.
+    Settings share their trees: for each fold one forest of the largest size and depth is grown. A smaller
+    forest is its first trees, and a shallower tree is a deeper one cut, as a tree grows from its root
+    whatever its depth will be. Returns the refitted model and one row per setting; the best one has the
+    highest accuracy, then the fewest trees, then the least depth.
     """
-    pipeline = _stages(features, label, trees[0], depths[0], seed, "error")
-    forest = pipeline.getStages()[-1]
-    grid = (ParamGridBuilder()
-            .addGrid(forest.numTrees, trees)
-            .addGrid(forest.maxDepth, [DEEPEST if d is None else d for d in depths]).build())
-    rows = matrix.select(*features, label, fold_column)
+    spark = matrix.sparkSession
+    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    rows = staged(spread(assembler.transform(matrix).select("features", label, fold_column)), "grid")
     folds = rows.agg(F.max(fold_column)).first()[0] + 1
-    search = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=grid, foldCol=fold_column, numFolds=folds,
-        parallelism=parallelism, evaluator=MulticlassClassificationEvaluator(
-            labelCol=label, metricName="accuracy"))
-    fitted = search.fit(rows)
-    table = matrix.sparkSession.createDataFrame(
-        [(int(p[forest.numTrees]), int(p[forest.maxDepth]), float(a))
-         for p, a in zip(grid, fitted.avgMetrics)],
-        T.StructType.fromDDL("trees INT, depth INT, accuracy DOUBLE"))
-    return fitted, table.orderBy(F.desc("accuracy"), "trees", "depth")
-
-
-def save_model(model: PipelineModel, path: str) -> str:
+    deep = [DEEPEST if d is None else d for d in depths]
+
+    def search(number: int) -> dict[tuple[int, int], float]:
+        grown = _forest(label, max(trees), max(deep), seed).fit(rows.where(F.col(fold_column) != number))
+        return setting_accuracy(grown, rows.where(F.col(fold_column) == number), trees, deep, label)
+
+    with ThreadPool(parallelism) as pool:
+        found = pool.map(inheritable_thread_target(spark)(search), range(folds))
+    table = [(n, d, sum(one[n, d] for one in found) / folds) for n in trees for d in deep]
+    best = min(table, key=lambda r: (-r[2], r[0], r[1]))
+    model = train(matrix, features, label, trees=best[0], depth=best[1], seed=seed)
+    frame = spark.createDataFrame(table, T.StructType.fromDDL("trees INT, depth INT, accuracy DOUBLE"))
+    return model, frame.orderBy(F.desc("accuracy"), "trees", "depth")
+
+
+def save_model(model: PipelineModel | RandomForestClassificationModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn import fixed
-from cairn.operators import features, forest
+from cairn.operators import bagging, features, forest
 from cairn.session import spread, staged
 
 
@@ -29,7 +29,7 @@ def train_evaluate(matrix: DataFrame, schema: dict = fixed.FEATURES,
                    ) -> tuple[PipelineModel, DataFrame]:
     """Fit on the training rows and measure accuracy on both parts.
 
-    The held-out accuracy stands where a bagged library would report its out-of-bag score.
+    ``train_out_of_bag`` reports the out-of-bag score, too.
     """
     names = list(features.feature_columns(schema))
     if invalid == "skip":
@@ -45,6 +45,24 @@ def train_evaluate(matrix: DataFrame, schema: dict = fixed.FEATURES,
     return model, report
 
 
+def train_out_of_bag(matrix: DataFrame, keys: list[str], schema: dict = fixed.FEATURES,
+                     trees: int = fixed.FOREST_TREES, depth: int | None = fixed.FOREST_DEPTH, subset: str = "sqrt",
+                     parallelism: int = 8, model_path: str | None = None) -> tuple[PipelineModel, DataFrame]:
+    """Fit on the training rows in known bags; report the out-of-bag score and the held-out accuracy.
+
+    ``keys`` tell rows apart: rows of equal keys are in the same bags. Returns the model, which
+    ``bagging.score_bagged`` applies, and ``part, accuracy, rows``.
+    """
+    matrix = staged(spread(matrix), "matrix")
+    inner, outer = matrix.where(~F.col("holdout")), matrix.where("holdout")
+    model = bagging.train_bagged(inner, list(features.feature_columns(schema)), keys, trees=trees, depth=depth,
+                                 subset=subset, parallelism=parallelism, path=model_path)
+    unseen = bagging.oob_score(bagging.out_of_bag(model, inner, keys)).select(
+        F.lit("out_of_bag").alias("part"), F.col("oob_score").alias("accuracy"), "rows")
+    held = forest.accuracy(bagging.score_bagged(model, outer)).select(F.lit("holdout").alias("part"), "accuracy", "rows")
+    return model, unseen.unionByName(held)
+
+
 def _scored(matrix: DataFrame, entity_key: str, model: PipelineModel, schema: dict) -> DataFrame:
     """An entity that lacks a value the model needs has a NULL percent."""
     return forest.score(model, features.filled_rows(matrix, schema)).select(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cairn.operators import features, forest
+from cairn import fixed
+from cairn.operators import bagging, features, forest
 from cairn.plans import training
 from cairn.queries import query
 from cairn.queries.words import _bucket_sql
@@ -216,12 +217,85 @@ def forest_clear_importance(t):
     return forest.importances(t("orders").sparkSession, _clear_model(t), ["urgent"])
 
 
-@query("forest_clear_grid", """
-    SELECT trees::INT AS trees, depth::INT AS depth, 1.0::DOUBLE AS accuracy
-    FROM (SELECT unnest([2, 5]) AS trees), (SELECT unnest([2, 5]) AS depth)""")
+@query("forest_clear_grid", f"""
+    SELECT trees::INT AS trees, coalesce(depth, {forest.DEEPEST})::INT AS depth, 1.0::DOUBLE AS accuracy
+    FROM (SELECT unnest({fixed.GRID_TREES}) AS trees), (SELECT unnest({str(fixed.GRID_DEPTHS).replace("None", "NULL")}) AS depth)""")
 def forest_clear_grid(t):
-    matrix = _clear_matrix(t).where(~F.col("holdout"))
-    return forest.grid_search(staged(matrix, "matrix"), ["urgent"], "fold", trees=[2, 5], depths=[2, 5])[1]
+    return forest.grid_search(_clear_matrix(t).where(~F.col("holdout")), ["urgent"], "fold")[1]
+
+
+# Two features and a label that is mostly their conjunction. A tree of depth two splits at "urgent" and
+# then at "open"; leaves that would answer alike are one. So there are three leaves, none of them pure.
+BAGGED_TREES = 12
+BAGGED_SCHEMA = {"urgent": {"type": "indicator", "column": "o_orderpriority", "value": "1-URGENT"},
+                 "open": {"type": "indicator", "column": "state", "value": "open"}}
+_ODD = "(o_orderkey * 7919 + o_custkey) % 5 = 0"
+_MIXED = f"(o_orderpriority = '1-URGENT' AND o_orderstatus <> 'F') <> ({_ODD})"
+
+
+def _bags_sql() -> str:
+    """Rows, their trees and weights, and each tree's answer for the row's leaf."""
+    factors = ", ".join(f"({k}, {a}, {b})" for k in range(BAGGED_TREES) for a, b in [bagging.tree_factors(k, 17)])
+    draws = " + ".join(f"(place >= {step})::INT" for step in bagging.STEPS)
+    return f"""
+    r AS (SELECT o_orderkey, ({_MIXED})::INT AS label, {_bucket_sql("o_orderkey::VARCHAR", 5)} = 1 AS holdout,
+                 CASE WHEN o_orderpriority <> '1-URGENT' THEN 0 WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS leaf,
+                 {_bucket_sql("o_orderkey::VARCHAR", bagging.PRIME)} - 1 AS h FROM orders),
+    p AS (SELECT r.*, tree, (h::BIGINT * times + plus) % {bagging.PRIME} AS place FROM r, (VALUES {factors}) f(tree, times, plus)),
+    w AS (SELECT *, {draws} AS weight FROM p),
+    l AS (SELECT tree, leaf, sum(weight * label) / sum(weight) AS answer FROM w WHERE NOT holdout GROUP BY tree, leaf),
+    v AS (SELECT w.*, answer FROM w JOIN l USING (tree, leaf))"""
+
+
+def _mixed_matrix(t):
+    rows = t("orders").select("o_orderkey", "o_orderpriority", F.when(F.expr(_MIXED), "Y").alias("target"),
+                              F.when(F.col("o_orderstatus") != "F", "open").alias("state"))
+    return staged(training.model_matrix(rows, ["o_orderkey"], "target", "Y", BAGGED_SCHEMA), "mixed")
+
+
+def _bagged(t):
+    matrix = _mixed_matrix(t)
+    model, report = training.train_out_of_bag(matrix, ["o_orderkey"], BAGGED_SCHEMA, trees=BAGGED_TREES, depth=2, subset="all")
+    return matrix, model, report
+
+
+@query("bag_left_out", f"""
+    WITH {_bags_sql()}
+    SELECT o_orderkey, count(*) FILTER (weight = 0) AS n_out, sum(weight)::BIGINT AS drawn FROM w WHERE NOT holdout GROUP BY 1""")
+def bag_left_out(t):
+    row = F.col("row")
+    weights = [bagging.bag_weight(row, k) for k in range(BAGGED_TREES)]
+    rows = _mixed_matrix(t).where(~F.col("holdout")).withColumn("row", bagging.row_hash([F.col("o_orderkey")]))
+    bags = rows.select("o_orderkey", F.array(*weights).alias("bags"))
+    return bags.select("o_orderkey", F.size(F.filter("bags", lambda w: w == 0)).cast("bigint").alias("n_out"),
+                       F.aggregate("bags", F.lit(0).cast("bigint"), lambda a, w: a + w).alias("drawn"))
+
+
+@query("oob_votes", f"""
+    WITH {_bags_sql()}
+    SELECT o_orderkey, (count(*) FILTER (weight = 0))::INT AS n_out, round(avg(answer) FILTER (weight = 0), 6) AS vote
+    FROM v WHERE NOT holdout GROUP BY 1""")
+def oob_votes(t):
+    matrix, model, _ = _bagged(t)
+    out = bagging.out_of_bag(model, matrix.where(~F.col("holdout")), ["o_orderkey"])
+    return out.select("o_orderkey", "n_out", F.round("vote", 6).alias("vote"))
+
+
+@query("oob_score", f"""
+    WITH {_bags_sql()},
+    o AS (SELECT label, avg(answer) FILTER (weight = 0) AS vote FROM v WHERE NOT holdout GROUP BY o_orderkey, label),
+    h AS (SELECT label, avg(answer) AS vote FROM v WHERE holdout GROUP BY o_orderkey, label)
+    SELECT 'out_of_bag' AS part, avg(((vote > 0.5)::INT = label)::INT) AS accuracy, count(*) AS rows FROM o WHERE vote IS NOT NULL
+    UNION ALL SELECT 'holdout', avg(((vote > 0.5)::INT = label)::INT), count(*) FROM h""")
+def oob_score(t):
+    return _bagged(t)[2]
+
+
+@query("bagged_scores", f"""
+    WITH {_bags_sql()} SELECT o_orderkey, round_even(100 * avg(answer), 2) AS percent FROM v GROUP BY 1""")
+def bagged_scores(t):
+    matrix, model, _ = _bagged(t)
+    return bagging.score_bagged(model, matrix).select("o_orderkey", F.col("percent").cast("double").alias("percent"))
 
 
 @query("score_defaults", "SELECT n_nationkey, 100.0::DOUBLE AS percent FROM nation")

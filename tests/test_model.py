@@ -1,12 +1,15 @@
 """Features, forests and request scoring."""
 
 import json
+import math
 
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from cairn import fixed
-from cairn.operators import features, forest
+from cairn.operators import bagging, features, forest
 from cairn.plans import training
 from cairn.session import scratch_folder
 from cairn.streaming import scoring
@@ -73,9 +76,90 @@ def test_grid_search_covers_every_setting(spark, attempts):
     matrix = training.model_matrix(attempts.where("age < 30"), ["expedition_id", "member_id"],
                                    "successful_summit")
     train = matrix.where(~F.col("holdout"))
-    fitted, table = forest.grid_search(train, ["o2_used", "age"], "fold", trees=[3], depths=[None, 2])
-    assert {(r.trees, r.depth) for r in table.collect()} == {(3, 30), (3, 2)}
-    assert fitted.bestModel.stages[-1].getNumTrees == 3
+    best, table = forest.grid_search(train, ["o2_used", "age"], "fold", trees=[3, 5], depths=[None, 2])
+    rows = table.collect()
+    assert {(r.trees, r.depth) for r in rows} == {(3, 30), (3, 2), (5, 30), (5, 2)}
+    assert rows[0].accuracy == max(r.accuracy for r in rows)
+    assert (best.stages[-1].getNumTrees, best.stages[-1].getMaxDepth()) == (rows[0].trees, rows[0].depth)
+
+
+def test_settings_vote_as_separate_forests_of_the_same_trees(spark, attempts):
+    matrix = training.model_matrix(attempts, ["expedition_id", "member_id"], "successful_summit")
+    rows = VectorAssembler(inputCols=["o2_used", "age", "height"], outputCol="features").transform(matrix).select("features", "label")
+    model = forest._forest("label", 7, 6, 3).fit(rows)
+    got = forest.setting_accuracy(model, rows, [1, 4, 7], [2, 6])
+    label = [bool(r.label) for r in rows.collect()]
+
+    def accuracy(votes):
+        yes = [sum(v) for v in zip(*votes, strict=True)]
+        return sum((y > len(votes) - y) == x for y, x in zip(yes, label, strict=True)) / len(label)
+
+    each = [[r.probability[1] for r in tree.setProbabilityCol("probability").transform(rows).collect()] for tree in model.trees]
+    for n in (1, 4, 7):
+        assert got[n, 6] == pytest.approx(accuracy(each[:n]))
+    assert got[7, 6] == pytest.approx(forest.accuracy(model.transform(rows)).first().accuracy)
+
+    # Cut at depth two, walked node by node.
+    nodes = forest.forest_nodes(model)
+    points = [list(r.features) for r in rows.collect()]
+    trees = [t.set_index("id").to_dict("index") for _, t in nodes.groupby("tree")]
+
+    def walk(tree, x):
+        node = tree[0]
+        for _ in range(2):
+            if node["feature"] >= 0:
+                node = tree[node["left"] if x[int(node["feature"])] <= node["threshold"] else node["right"]]
+        return node["share"]
+
+    for n in (1, 4, 7):
+        assert got[n, 2] == pytest.approx(accuracy([[walk(t, x) for x in points] for t in trees[:n]]))
+
+
+def test_bags_are_poisson_draws(spark):
+    rows = spark.range(20000).withColumn("row", bagging.row_hash([F.col("id")]))
+    weights = rows.select(*(bagging.bag_weight(F.col("row"), k).alias(f"w{k}") for k in range(3))).toPandas()
+    for k in range(3):
+        share = weights[f"w{k}"].value_counts(normalize=True)
+        assert [share[j] for j in range(4)] == pytest.approx([0.3679, 0.3679, 0.1839, 0.0613], abs=0.015)
+    assert abs(weights["w0"].corr(weights["w1"])) < 0.03
+    assert (bagging.STEPS[0] / bagging.PRIME, bagging.STEPS[1] / bagging.PRIME) == pytest.approx((math.exp(-1), 2 * math.exp(-1)))
+
+
+def test_out_of_bag_votes_count_only_trees_that_never_saw_the_row(spark, attempts):
+    keys = ["expedition_id", "member_id"]
+    matrix = training.model_matrix(attempts, keys, "successful_summit")
+    names = ["o2_used", "age", "female", "height"]
+    path = scratch_folder(spark, "bagged")
+    model = bagging.train_bagged(matrix, names, keys, trees=6, depth=4, path=path)
+    out = {(r.expedition_id, r.member_id): r for r in bagging.out_of_bag(model, matrix, keys).collect()}
+    assembler, *trees = model.stages
+    row = bagging.row_hash([F.col(k) for k in keys])
+    right = voted = 0
+    votes = {}
+    for k, tree in enumerate(trees):
+        seen = tree.transform(assembler.transform(matrix)).withColumn("w", bagging.bag_weight(row, k))
+        for r in seen.collect():
+            if r.w == 0:
+                votes.setdefault((r.expedition_id, r.member_id), []).append(float(r[f"_tree{k}"][1]))
+    assert len(out) == 1200 and sum(r.n_out == 0 for r in out.values()) == 1200 - len(votes)
+    for key, r in out.items():
+        mine = votes.get(key, [])
+        assert r.n_out == len(mine) and (r.vote is None) == (not mine)
+        if mine:
+            assert r.vote == pytest.approx(sum(mine) / len(mine))
+            voted += 1
+            right += (r.vote > 0.5) == (r.label == 1.0)
+    score = bagging.oob_score(bagging.out_of_bag(model, matrix, keys)).first()
+    assert (score.rows, score.oob_score) == (voted, pytest.approx(right / voted)) and score.oob_score > 0.85
+    again = bagging.score_bagged(PipelineModel.load(path), matrix).select(*keys, "percent")
+    assert again.exceptAll(bagging.score_bagged(model, matrix).select(*keys, "percent")).isEmpty()
+
+
+def test_a_bag_of_one_class(spark):
+    rows = spark.createDataFrame([(k, float(k), 0.0) for k in range(40)] + [(40, 40.0, 1.0)], "id int, x double, label double")
+    model = bagging.train_bagged(rows, ["x"], ["id"], trees=4, depth=2)
+    out = bagging.out_of_bag(model, rows, ["id"])
+    assert out.count() == 41 and out.where("vote IS NOT NULL AND (vote < 0 OR vote > 1)").isEmpty()
 
 
 def bodies():
