@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cairn.functions.values import first_source
@@ -9,14 +11,15 @@ from cairn.operators import quality, relational as rel
 from cairn.operators.forest import accuracy
 from cairn.plans import golden, warehouse
 from cairn.queries import query
-from cairn.sources import elements as el
+from cairn.session import scratch_folder
+from cairn.sources import elements as el, layouts
 from cairn.sources.tables import rows_since
 
 
-def _expeditions(t):
-    """Orders as expeditions, customers as peaks, and a season table that lacks some codes."""
+def _expedition_rows(t):
+    """Orders as expeditions."""
     flag = F.col("o_orderstatus")
-    orders = t("orders").select(
+    return t("orders").select(
         F.col("o_orderkey").alias("expid"), F.col("o_custkey").alias("peakid"),
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("season"),
         (flag == "F").cast("int").alias("claimed"),
@@ -26,6 +29,10 @@ def _expeditions(t):
         F.when(flag == "O", 0).when(flag == "P", 5).alias("tothired"),
         F.lit(0).alias("o2unkwn"), (F.col("o_totalprice") > 250000).cast("int").alias("comrte"),
         F.col("o_totalprice").alias("totmembers"))
+
+
+def _expedition_view(t, orders):
+    """Customers as peaks, and a season table that lacks some codes."""
     peaks = t("customer").select(F.col("c_custkey").alias("peak_id"),
                                  F.col("c_mktsegment").alias("himal"),
                                  F.col("c_acctbal").alias("height"))
@@ -34,9 +41,13 @@ def _expeditions(t):
     return warehouse.expeditions(orders, peaks, seasons)
 
 
-def _members(t):
+def _expeditions(t):
+    return _expedition_view(t, _expedition_rows(t))
+
+
+def _member_rows(t):
     """Lineitems as members."""
-    lines = t("lineitem").select(
+    return t("lineitem").select(
         F.col("l_orderkey").alias("expid"), F.col("l_linenumber").alias("membid"),
         F.col("l_linestatus").alias("sex"), F.col("l_quantity").alias("calcage"),
         (F.col("l_returnflag") == "R").cast("int").alias("hired"),
@@ -44,10 +55,13 @@ def _members(t):
         F.when(F.col("l_discount") < 0.1, 0).alias("mdisputed"),
         F.when(F.col("l_tax") > 0.04, 1).alias("mo2used"),
         F.when(F.col("l_returnflag") == "A", 1).otherwise(2).alias("msmtterm"))
-    return warehouse.members(lines)
 
 
-@query("base_view", """
+def _members(t):
+    return warehouse.members(_member_rows(t))
+
+
+_BASE_SQL = """
     SELECT o_orderkey AS expedition_id, l_linenumber AS member_id,
            CAST(year(o_orderdate) AS INT) AS expedition_year, n_name AS season,
            c_mktsegment AS himal, o_custkey AS peak_id, c_acctbal AS height,
@@ -63,11 +77,29 @@ def _members(t):
     WHERE o_orderstatus <> 'F' AND o_orderpriority <> '4-NOT SPECIFIED'
       AND NOT (CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 END = 0
                AND CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'P' THEN 5 END = 0)
-      AND l_returnflag <> 'R' AND l_discount < 0.1 AND year(o_orderdate) >= 1998""")
+      AND l_returnflag <> 'R' AND l_discount < 0.1 AND year(o_orderdate) >= 1998"""
+
+
+@query("base_view", _BASE_SQL)
 def base_view(t):
     return rows_since(warehouse.attempts(_expeditions(t), _members(t)), "expedition_year", 1998)
 
 
+def laid_out_attempts(t, folder: str, buckets: int = 8):
+    """The base view over facts in buckets of their key, the expeditions in a folder for each year."""
+    facts = {}
+    for name, rows, by in (("expedition", _expedition_rows(t), ["year"]), ("member", _member_rows(t), [])):
+        layouts.write_layout(rows, f"{folder}/{name}", "expid", buckets, by)
+        facts[name] = layouts.open_layout(rows.sparkSession, f"{folder}/{name}", f"laid_{name}_{uuid.uuid4().hex}")
+    view = warehouse.attempts(_expedition_view(t, facts["expedition"]), warehouse.members(facts["member"]))
+    return rows_since(view, "expedition_year", 1998)
+
+
+@query("laid_out_view", _BASE_SQL)
+def laid_out_view(t):
+    return laid_out_attempts(t, scratch_folder(t("orders").sparkSession, "facts"))
+
+
 @query("expedition_view", """
     SELECT o_orderkey AS expedition_id, o_custkey AS peak_id,
            CAST(year(o_orderdate) AS INT) AS expedition_year, n_name AS season,

@@ -3,6 +3,7 @@
 import csv
 import io
 import os
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -12,7 +13,7 @@ from cairn import fixed
 from cairn.operators import quality
 from cairn.plans import warehouse
 from cairn.session import scratch_folder, scratch_scope, staged
-from cairn.sources import delimited, elements, tables, versions
+from cairn.sources import delimited, elements, layouts, tables, versions
 
 
 def test_roundtrip_of_awkward_text(spark, tmp_path):
@@ -201,3 +202,59 @@ def test_lines_without_ordinal_keep_their_content(spark, tmp_path):
     read = elements.read_element_lines(spark, str(tmp_path / "e.json"))
     got = quality.last_wins(read.select("id", "lon", "lat", "ordinal"), ["id"], "ordinal").collect()
     assert {r.id: r.lon for r in got} == {k % 7: float(k) for k in range(40)}
+
+
+# Layouts ----------------------------------------------------------------------------------------
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_laid_out_facts_meet_without_an_exchange(spark, tmp_path):
+    from cairn.queries import QUERIES, load_all, read
+    from cairn.queries.tables import laid_out_attempts
+
+    load_all()
+    folder = "/root/testdata/sf0.001"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "40k")  # facts are too large for it, the others are not
+    try:
+        view = laid_out_attempts(lambda name: read(spark, folder, name), str(tmp_path / "facts"))
+        plan = executed(view)
+        assert "SortMergeJoin [expedition_id" in plan and "Exchange hashpartitioning" not in plan
+        assert plan.count("Bucketed: true") == 2 and "PartitionFilters: [isnotnull(year" in plan
+        recent = spark.table(re.search(r"laid_expedition_\w+", plan)[0]).where("year >= 1998")
+        files = {r["f"] for r in recent.select(F.input_file_name().alias("f")).distinct().collect()}
+        assert files and all(int(re.search(r"/year=(\d+)/", f)[1]) >= 1998 for f in files)
+        plain = QUERIES["base_view"](spark, folder)
+        assert "Exchange hashpartitioning" in executed(plain)
+        assert view.exceptAll(plain).isEmpty() and plain.exceptAll(view).isEmpty() and view.count() > 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_layout_is_found_by_its_catalogue(spark, tmp_path):
+    root = str(tmp_path / "fact")
+    with pytest.raises(FileNotFoundError):
+        layouts.open_layout(spark, root, "no_fact")
+    rows = spark.range(1000).selectExpr("id AS k", "cast(id % 3 AS string) AS part", "id * 2 AS v")
+    first = layouts.write_layout(rows, root, "k", 4, ["part"])
+    assert (first["rows"], first["buckets"], first["partitions"]) == (1000, 4, ["part"]) and layouts.is_even(first)
+    opened = layouts.open_layout(spark, root, "some_fact")
+    assert opened.columns == ["k", "v", "part"] and opened.where("part = '1'").count() == 333
+    spark.range(5).write.parquet(f"{root}/data/cut-short")  # no entry
+    layouts.write_layout(rows.where("k < 10"), root, "k", 4, ["part"], files=3)
+    assert layouts.open_layout(spark, root, "some_fact").count() == 10
+    assert len(layouts.entries(spark, root)) == 2
+    empty = layouts.write_layout(rows.where("false"), root, "k", 4)
+    assert empty["rows"] == 0 and layouts.open_layout(spark, root, "some_fact").count() == 0
+
+
+def test_an_uneven_key_is_opened_without_buckets(spark, tmp_path):
+    root = str(tmp_path / "hot")
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS v")
+    entry = layouts.write_layout(rows, root, "k", 32, files=4)
+    assert entry["most"] >= 1000 and not layouts.is_even(entry)
+    hot = layouts.open_layout(spark, root, "hot_fact")
+    assert "Bucketed: true" not in executed(hot.groupBy("k").count())
+    assert "Bucketed: true" in executed(layouts.open_layout(spark, root, "hot_fact", bucketed=True).groupBy("k").count())
+    assert hot.count() == 3000
