@@ -46,21 +46,30 @@ def moments(ring_edges: Column, x0: Column, y0: Column) -> Column:
         (y0 + F.try_divide(s["my"], s["a"] * 3)).alias("centroid_y")))
 
 
-def contains(ring_edges: Column, x: Column, y: Column) -> Column:
-    """The point lies strictly inside: an odd number of sides to its right and on none of them."""
-    def side(e: Column) -> Column:
-        return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+def _side(e: Column, x: Column, y: Column) -> Column:
+    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
 
+
+def crossed(ring_edges: Column, x: Column, y: Column) -> Column:
+    """How many sides lie to the right of the point, at its height."""
     def crosses(e: Column) -> Column:
-        up = (e["y1"] <= y) & (e["y2"] > y) & (side(e) > 0)
-        down = (e["y2"] <= y) & (e["y1"] > y) & (side(e) < 0)
+        up = (e["y1"] <= y) & (e["y2"] > y) & (_side(e, x, y) > 0)
+        down = (e["y2"] <= y) & (e["y1"] > y) & (_side(e, x, y) < 0)
         return up | down
 
-    def on(e: Column) -> Column:
-        return ((side(e) == 0) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-                & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
+    return F.size(F.filter(ring_edges, crosses))
+
 
-    return ((F.size(F.filter(ring_edges, crosses)) % 2 == 1) & ~F.exists(ring_edges, on))
+def touched(ring_edges: Column, x: Column, y: Column) -> Column:
+    """Whether the point lies on a side."""
+    return F.exists(ring_edges, lambda e: (
+        (_side(e, x, y) == 0) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))))
+
+
+def contains(ring_edges: Column, x: Column, y: Column) -> Column:
+    """The point lies strictly inside: an odd number of sides to its right and on none of them."""
+    return (crossed(ring_edges, x, y) % 2 == 1) & ~touched(ring_edges, x, y)
 
 
 # ---- Array helpers run inside tasks, one shape or pair at a time ----------------------------

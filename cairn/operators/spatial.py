@@ -19,6 +19,11 @@ from cairn.session import spread, staged
 
 _FINEST = -30
 
+#: Rings with more sides are indexed side by side instead of being carried whole.
+MANY_SIDES = 256
+#: Cells of such a ring are so many powers of two smaller than those of its box.
+FINER = 4
+
 
 def _level(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     span = F.greatest(xmax - xmin, ymax - ymin)
@@ -69,15 +74,117 @@ def point_box_pairs(points: DataFrame, boxes: DataFrame, x: str = "x", y: str =
 
 def containing_regions(points: DataFrame, regions: DataFrame, key: str, x: str = "x",
                        y: str = "y") -> DataFrame:
-    """Every region a point lies strictly inside: ``key, region_id, ordinal``."""
+    """Every region a point lies strictly inside: ``key, region_id, ordinal``.
+
+    A pair of a point and a region's box carries the ring's sides, unless there are more than
+    ``MANY_SIDES``: then sides stay rows, and a pair meets only those at the point's height.
+    """
     boxes = (regions.where(F.size("ring") > 2)
              .select("region_id", "ordinal", shapes.bounds(F.col("ring")).alias("_b"),
                      shapes.edges(F.col("ring")).alias("_edges"))
              .select("region_id", "ordinal", "_b.*", "_edges"))
     asked = points.select(F.col(key), F.col(x).alias("_x"), F.col(y).alias("_y")).dropna()
-    return (point_box_pairs(asked, boxes, "_x", "_y")
-            .where(shapes.contains(F.col("_edges"), F.col("_x"), F.col("_y")))
-            .select(key, "region_id", "ordinal"))
+    large = F.size("_edges") > MANY_SIDES
+    found = (point_box_pairs(asked, boxes.where(~large), "_x", "_y")
+             .where(shapes.contains(F.col("_edges"), F.col("_x"), F.col("_y")))
+             .select(key, "region_id", "ordinal"))
+    if boxes.where(large).isEmpty():
+        return found
+    rings = staged(boxes.where(large).withColumn("_ring", F.monotonically_increasing_id()), "rings")
+    return found.union(_in_large_rings(asked, rings, key))
+
+
+def ring_sides(rings: DataFrame) -> DataFrame:
+    """``_ring, _tall, _strip, side``: the sides as rows, by height.
+
+    A side goes to horizontal strips that are as high as the power of two next above its own height,
+    so it lies in two of them at most, and a strip holds few sides for each time the ring passes it.
+    """
+    sides = rings.select("_ring", F.explode("_edges").alias("side"))
+    low, high = F.least("side.y1", "side.y2"), F.greatest("side.y1", "side.y2")
+    tall = F.when(high > low, F.greatest(F.ceil(F.log2(high - low)).cast("int"), F.lit(_FINEST))).otherwise(F.lit(_FINEST))
+    named = sides.select("_ring", tall.alias("_tall"), low.alias("_low"), high.alias("_high"), "side")
+    return named.select("_ring", "_tall", F.explode(F.sequence(
+        _cell(F.col("_low"), F.col("_tall")), _cell(F.col("_high"), F.col("_tall")))).alias("_strip"), "_low", "_high", "side")
+
+
+def side_pairs(pairs: DataFrame, sides: DataFrame) -> DataFrame:
+    """Each of ``pairs (_ring, _y, ...)`` with the sides of its ring that reach the height ``_y``."""
+    heights = sides.groupBy("_ring").agg(F.collect_set("_tall").alias("_heights"))  # exponents: a few dozen at most
+    asked = (pairs.join(heights, "_ring").withColumn("_tall", F.explode("_heights")).drop("_heights")
+             .withColumn("_strip", _cell(F.col("_y"), F.col("_tall"))))
+    return asked.join(sides, ["_ring", "_tall", "_strip"]).where(F.col("_y").between(F.col("_low"), F.col("_high")))
+
+
+def _inside(pairs: DataFrame, sides: DataFrame, columns: list[str]) -> DataFrame:
+    """Of ``pairs (_pair, _ring, _x, _y, ...)`` those whose point lies strictly inside the ring."""
+    one = F.array("side")  # the test of a ring, on one of its sides
+    met = side_pairs(pairs, sides).select(
+        "_pair", *columns, shapes.crossed(one, F.col("_x"), F.col("_y")).alias("_crossed"),
+        shapes.touched(one, F.col("_x"), F.col("_y")).alias("_on"))
+    return (met.groupBy("_pair", *columns).agg(F.sum("_crossed").alias("_n"), F.bool_or("_on").alias("_on"))
+            .where("_n % 2 = 1 AND NOT _on").select(*columns))
+
+
+def _touched_cells(sides: DataFrame, level: Column) -> DataFrame:
+    """``_ring, _cx, _cy``: cells that a side may reach, one row each; ``sides`` as rows with ``side``.
+
+    A side is followed row by row of cells; its reach within a row is taken a little wider than it is.
+    """
+    s = F.col("side")
+    size = F.pow(F.lit(2.0), level)
+    rows = sides.select("_ring", level.alias("_level"), "side", F.explode(F.sequence(
+        _cell(F.least(s["y1"], s["y2"]), level), _cell(F.greatest(s["y1"], s["y2"]), level))).alias("_cy"))
+
+    def across(y: Column) -> Column:
+        steep = (y - s["y1"]) / F.when(s["y2"] != s["y1"], s["y2"] - s["y1"])
+        return s["x1"] + (s["x2"] - s["x1"]) * F.greatest(F.lit(0.0), F.least(F.lit(1.0), steep))
+
+    low, high = across(F.col("_cy") * size), across((F.col("_cy") + 1) * size)
+    left = F.coalesce(F.least(low, high), F.least(s["x1"], s["x2"]))
+    right = F.coalesce(F.greatest(low, high), F.greatest(s["x1"], s["x2"]))
+    wider = (F.abs(left) + F.abs(right) + size) * 1e-9
+    flat = s["y1"] == s["y2"]
+    return rows.select("_ring", F.explode(F.sequence(
+        _cell(F.when(flat, F.least(s["x1"], s["x2"])).otherwise(left) - wider, F.col("_level")),
+        _cell(F.when(flat, F.greatest(s["x1"], s["x2"])).otherwise(right) + wider, F.col("_level")))).alias("_cx"), "_cy").distinct()
+
+
+def large_ring_cells(rings: DataFrame, sides: DataFrame) -> DataFrame:
+    """``_ring, region_id, ordinal, _level, _cx, _cy, _whole``: the cells of rings with many sides.
+
+    A ring's box is cut into cells of a 16th of a box cell, a few hundred to some two thousand whatever
+    the ring's sides. A cell that no side reaches lies wholly inside, and so does any point in it, or wholly
+    outside, and is left out. The others are the border.
+    """
+    level = F.greatest(_level(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax")) - FINER, F.lit(_FINEST))
+    placed = rings.withColumn("_level", level)
+    # Rows next to a side's end may be reached by rounding, so the rows beside it count as reached.
+    reached = _touched_cells(rings.select("_ring", level.alias("_level"), F.explode("_edges").alias("side")), F.col("_level"))
+    near = reached.select("_ring", "_cx", F.explode(F.array(F.col("_cy") - 1, F.col("_cy"), F.col("_cy") + 1)).alias("_cy")).distinct()
+    cells = (placed.select("_ring", "region_id", "ordinal", "_level", "xmin", "xmax", F.explode(F.sequence(
+                 _cell(F.col("ymin"), F.col("_level")), _cell(F.col("ymax"), F.col("_level")))).alias("_cy"))
+             .withColumn("_cx", F.explode(F.sequence(_cell(F.col("xmin"), F.col("_level")), _cell(F.col("xmax"), F.col("_level")))))
+             .drop("xmin", "xmax"))
+    border = cells.join(near, ["_ring", "_cx", "_cy"], "left_semi").withColumn("_whole", F.lit(False))
+    size = F.pow(F.lit(2.0), F.col("_level"))
+    free = cells.join(near, ["_ring", "_cx", "_cy"], "left_anti").withColumns({
+        "_x": (F.col("_cx") + 0.5) * size, "_y": (F.col("_cy") + 0.5) * size,
+        "_pair": F.struct("_cx", "_cy")})
+    names = ["_ring", "region_id", "ordinal", "_level", "_cx", "_cy"]
+    return border.select(*names, "_whole").union(_inside(free, sides, names).withColumn("_whole", F.lit(True)))
+
+
+def _in_large_rings(asked: DataFrame, rings: DataFrame, key: str) -> DataFrame:
+    """``containing_regions`` for rings of many sides: whole cells answer, border cells ask their sides."""
+    sides = staged(ring_sides(rings), "sides")
+    cells = staged(large_ring_cells(rings, sides), "cells")
+    placed = (asked.withColumn("_pair", F.monotonically_increasing_id())
+              .withColumn("_level", F.explode(distinct_ints(cells, "_level")))
+              .withColumn("_cx", _cell(F.col("_x"), F.col("_level"))).withColumn("_cy", _cell(F.col("_y"), F.col("_level"))))
+    pairs = staged(placed.join(cells, ["_level", "_cx", "_cy"]).drop("_level", "_cx", "_cy"), "pairs")
+    whole = pairs.where("_whole").select(key, "region_id", "ordinal")
+    return whole.union(_inside(pairs.where("NOT _whole"), sides, [key, "_ring", "region_id", "ordinal"]).drop("_ring"))
 
 
 def first_region(points: DataFrame, regions: DataFrame, key: str, x: str = "x", y: str = "y"

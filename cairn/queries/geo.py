@@ -47,6 +47,25 @@ def pip_join(t):
         "event_id", "region_id")
 
 
+def many_sided_diamonds(t, parts: int = 400):
+    """The same diamonds with each side cut into parts, so that rings are too large to be carried."""
+    ring = F.col("ring")
+    def along(e: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda k: F.struct(
+            (e["x1"] + (e["x2"] - e["x1"]) * k / parts).alias("x"), (e["y1"] + (e["y2"] - e["y1"]) * k / parts).alias("y")))
+
+    fine = F.concat(F.flatten(F.transform(shapes.edges(ring), along)), F.slice(ring, 1, 1))
+    return diamonds(t).select("region_id", "ordinal", fine.alias("ring"))
+
+
+@query("pip_large_rings", f"""
+    WITH p AS (SELECT event_id, value AS x,
+                      CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.0137 AS y FROM events)
+    SELECT event_id, region_id FROM p JOIN {DIAMONDS_SQL} ON abs(x - cx) + abs(y - cy) < r""")
+def pip_large_rings(t):
+    return spatial.containing_regions(_event_points(t), many_sided_diamonds(t), "event_id").select("event_id", "region_id")
+
+
 @query("pip_counts", f"""
     WITH p AS (SELECT event_id, value AS x,
                       CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.0137 AS y FROM events)

@@ -258,3 +258,76 @@ def test_short_rings_stay_in_the_table(spark):
     regions = spark.createDataFrame(rows, REGION).withColumn("name", F.col("region_id"))
     got = {r.region_id: r.area for r in gazetteer.region_table(regions).collect()}
     assert got == {"B": pytest.approx(81.0), "C": None, "D": None}
+
+
+# Large rings ------------------------------------------------------------------------------------
+
+def star(rnd, n, cx, cy, r, wild):
+    """A ring around a centre whose distance from it changes from vertex to vertex."""
+    turns = sorted(rnd.uniform(0, 2 * math.pi) for _ in range(n))
+    ring = [(cx + (d := r * rnd.uniform(1 - wild, 1)) * math.cos(t), cy + d * math.sin(t)) for t in turns]
+    return ring + ring[:1]
+
+
+def comb(n, high):
+    """Teeth with sides along the axes, at whole numbers."""
+    ring = [(0.0, 0.0)]
+    for k in range(n):
+        ring += [(2.0 * k, float(high)), (2.0 * k + 1, float(high)), (2.0 * k + 1, 1.0), (2.0 * k + 2, 1.0)]
+    ring += [(2.0 * n, 0.0), (0.0, 0.0)]
+    return ring
+
+
+def inside_by_hand(ring, x, y):
+    odd = False
+    for (x1, y1), (x2, y2) in zip(ring, ring[1:], strict=False):
+        side = (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
+        if side == 0 and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+            return False
+        odd ^= (y1 <= y < y2 and side > 0) or (y2 <= y < y1 and side < 0)
+    return odd
+
+
+def ring_frame(spark, rings):
+    rows = [(f"r{k}", k, [(float(x), float(y)) for x, y in ring]) for k, ring in enumerate(rings)]
+    return spark.createDataFrame(rows, "region_id string, ordinal int, ring array<struct<x: double, y: double>>")
+
+
+def test_large_rings_equal_the_test_of_all_sides(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "MANY_SIDES", 8)
+    rnd = random.Random(11)
+    rings = [star(rnd, n, rnd.uniform(-9, 9), rnd.uniform(-9, 9), rnd.choice([0.01, 3, 8]), wild)
+             for n, wild in ((5, 0.5), (40, 0.0), (40, 0.9), (300, 0.3), (900, 0.95), (900, 0.01))]
+    rings += [comb(6, 7), [(x + 0.5, y) for x, y in comb(3, 4)], [(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)] * 1 + [],
+              [(x / 4, 0.0) for x in range(16)] + [(4.0, y / 4) for y in range(16)] + [(4 - x / 4, 4.0) for x in range(16)]
+              + [(0.0, 4 - y / 4) for y in range(17)]]
+    points = [(rnd.uniform(-14, 14), rnd.uniform(-14, 14)) for _ in range(300)]
+    points += [(float(x), float(y)) for x in range(-1, 8) for y in range(-1, 8)] + [rnd.choice(rnd.choice(rings)) for _ in range(60)]
+    points += [(x + 0.25, y + 0.5) for x in range(13) for y in range(8)] + points[:3]
+    frame = spark.createDataFrame([(k % 500, float(x), float(y)) for k, (x, y) in enumerate(points)] + [(999, None, 1.0)],
+                                  "id int, x double, y double")
+    got = sorted(map(tuple, spatial.containing_regions(frame, ring_frame(spark, rings), "id").collect()))
+    want = sorted((k % 500, f"r{j}", j) for k, (x, y) in enumerate(points) for j, ring in enumerate(rings) if inside_by_hand(ring, x, y))
+    assert len(want) > 400 and got == want
+
+
+def test_a_point_meets_few_sides_of_a_large_ring(spark):
+    n = 20_000
+    circle = [(10 * math.cos(2 * math.pi * k / n), 10 * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    circle.append(circle[0])
+    rnd = random.Random(5)
+    points = [(k, rnd.uniform(-11, 11), rnd.uniform(-11, 11)) for k in range(2000)]
+    points += [(2000 + k, x * 0.99999, y * 0.99999) for k, (x, y) in enumerate(circle[::400])]
+    frame = spark.createDataFrame(points, "id int, x double, y double")
+    found = {r.id for r in spatial.containing_regions(frame, ring_frame(spark, [circle]), "id").collect()}
+    # The ring is a circle but for a hair.
+    assert all((math.hypot(x, y) < 10 * math.cos(math.pi / n)) == (k in found) for k, x, y in points)
+
+    rings = spatial.measures(ring_frame(spark, [circle])).withColumnRenamed("edges", "_edges").withColumn("_ring", F.lit(0))
+    sides = spatial.ring_sides(rings)
+    assert sides.count() <= 2 * n
+    cells = spatial.large_ring_cells(rings, sides)
+    assert cells.count() < 48 * 48 and cells.where("_whole").count() > 200
+    pairs = frame.selectExpr("id AS _pair", "0 AS _ring", "x AS _x", "y AS _y")
+    met = [r["count"] for r in spatial.side_pairs(pairs, sides).groupBy("_pair").count().collect()]
+    assert max(met) <= 16
