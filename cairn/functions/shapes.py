@@ -5,6 +5,8 @@ A ring is ``ARRAY<STRUCT<x, y>>`` with the first point repeated at the end.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -80,59 +82,108 @@ def _points(xs, ys) -> np.ndarray:
     return np.column_stack([np.asarray(xs, dtype=np.float64), np.asarray(ys, dtype=np.float64)])
 
 
-def _spans(ring: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each height of ``y`` (no vertex on it): where the ring's inside begins and ends.
+#: Sides or pairs of spans that are worked on at once; memory follows this, not a ring's sides.
+PORTION = 1 << 19
+
 
-    A ring is crossed an even number of times at any height. Missing spans are empty.
+def _strips(ring: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The ring's non-level sides, the first strip each one crosses, and how many.
+
+    ``levels`` hold all of the ring's heights between the first and the last one, so that no side begins
+    or ends within a strip.
     """
     a, b = ring[:-1], ring[1:]
-    hit = (a[None, :, 1] < y[:, None]) != (b[None, :, 1] < y[:, None])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        x = a[None, :, 0] + (y[:, None] - a[None, :, 1]) * (
-            (b - a)[None, :, 0] / (b - a)[None, :, 1])
-    count = int(hit.sum(axis=1).max(initial=0))
-    x = np.sort(np.where(hit, x, np.inf), axis=1)[:, :count]
-    x[np.isinf(x)] = 0.0
-    return x[:, 0::2], x[:, 1::2]
-
-
-def _cut_heights(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Heights where sides of the two rings cross each other."""
-    p, r = a[:-1, None, :], (a[1:] - a[:-1])[:, None, :]
-    q, s = b[None, :-1, :], (b[1:] - b[:-1])[None, :, :]
-    det = r[..., 0] * s[..., 1] - r[..., 1] * s[..., 0]
-    w = q - p
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t = (w[..., 0] * s[..., 1] - w[..., 1] * s[..., 0]) / det
-        u = (w[..., 0] * r[..., 1] - w[..., 1] * r[..., 0]) / det
-        hit = (det != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
-        return (p[..., 1] + t * r[..., 1])[hit]
+    up = a[:, 1] != b[:, 1]
+    a, b = a[up], b[up]
+    low, high = np.minimum(a[:, 1], b[:, 1]), np.maximum(a[:, 1], b[:, 1])
+    first = np.searchsorted(levels, np.clip(low, levels[0], levels[-1]))
+    last = np.searchsorted(levels, np.clip(high, levels[0], levels[-1]))
+    return a, b, first, last - first
+
+
+def _portions(counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of strips whose counts sum up to about ``PORTION``; each has one strip at least."""
+    total, start = np.cumsum(counts), 0
+    while start < len(counts):
+        before = total[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, before + PORTION, "right")))
+        yield start, min(stop, len(counts))
+        start = min(stop, len(counts))
+
+
+def _per_strip(first: np.ndarray, count: np.ndarray, strips: int) -> np.ndarray:
+    edge = np.zeros(strips + 1, np.int64)
+    np.add.at(edge, first, 1)
+    np.add.at(edge, first + count, -1)
+    return np.cumsum(edge[:-1])
+
+
+def _spans(sides: tuple, levels: np.ndarray, start: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of strips ``start`` to ``stop``: strip, and where the inside begins and ends at its bottom and top.
+
+    Within a strip sides cross it whole and do not meet, so sorted by their middles every second one
+    opens the inside. Rows are in the order of the strips.
+    """
+    a, b, first, count = sides
+    begin, end = np.maximum(first, start), np.minimum(first + count, stop)
+    held = np.flatnonzero(end > begin)
+    n = (end - begin)[held]
+    side = np.repeat(held, n)
+    strip = np.repeat(begin[held], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    p, q = a[side], b[side]
+    slope = (q[:, 0] - p[:, 0]) / (q[:, 1] - p[:, 1])
+    x = p[:, :1] + (np.stack([levels[strip], levels[strip + 1]], axis=1) - p[:, 1:]) * slope[:, None]
+    order = np.lexsort((x.sum(axis=1), strip))
+    return strip[order][0::2], x[order][0::2], x[order][1::2]
+
+
+def _shared_width(opens: np.ndarray, closes: np.ndarray, other_opens: np.ndarray, other_closes: np.ndarray) -> np.ndarray:
+    """The mean width that pairs of spans share over a strip; their ends are linear, given at bottom and top.
+
+    The width is linear between the heights where an end of one span meets an end of the other.
+    """
+    cuts = [np.zeros(len(opens)), np.ones(len(opens))]
+    for f in (opens, closes):
+        for g in (other_opens, other_closes):
+            d = f - g
+            with np.errstate(divide="ignore", invalid="ignore"):
+                t = d[:, 0] / (d[:, 0] - d[:, 1])
+            cuts.append(np.where(np.isfinite(t), np.clip(t, 0, 1), 0.0))
+    t = np.sort(np.stack(cuts, axis=1), axis=1)
+    middle = (t[:, 1:] + t[:, :-1]) / 2
+
+    def at(f: np.ndarray) -> np.ndarray:
+        return f[:, :1] + (f[:, 1:] - f[:, :1]) * middle
+
+    width = np.minimum(at(closes), at(other_closes)) - np.maximum(at(opens), at(other_opens))
+    return (np.clip(width, 0, None) * np.diff(t, axis=1)).sum(axis=1)
 
 
 def overlap_area(a: np.ndarray, b: np.ndarray) -> float:
     """Exact area two simple rings share.
 
-    The plane is cut into horizontal strips at every vertex and every crossing. Within a strip
-    no side begins, ends or crosses, so the shared width is linear and its middle value times
-    the height is the area.
+    The plane is cut into horizontal strips at every vertex. Within a strip the inside of a ring is a
+    few spans whose ends are straight, and the shared area of two spans is known. Strips are taken in
+    portions, so memory does not grow with the product of the rings' sides.
     """
     low, high = max(a[:, 1].min(), b[:, 1].min()), min(a[:, 1].max(), b[:, 1].max())
     if not low < high:
         return 0.0
-    levels = np.unique(np.concatenate([a[:, 1], b[:, 1], _cut_heights(a, b)]))
+    levels = np.unique(np.concatenate([a[:, 1], b[:, 1]]))
     levels = levels[(levels >= low) & (levels <= high)]
+    left, right = _strips(a, levels), _strips(b, levels)
+    counts = [_per_strip(first, count, len(levels) - 1) for _, _, first, count in (left, right)]
     total = 0.0
-    # Strips are taken in portions that keep the working arrays small.
-    portion = max(1, 1_000_000 // (len(a) + len(b)))
-    for start in range(0, len(levels) - 1, portion):
-        part = levels[start:start + portion + 1]
-        middle = (part[:-1] + part[1:]) / 2
-        (a_in, a_out), (b_in, b_out) = _spans(a, middle), _spans(b, middle)
-        width = np.zeros(len(middle))
-        for i in range(a_in.shape[1]):
-            shared = (np.minimum(a_out[:, i:i + 1], b_out) - np.maximum(a_in[:, i:i + 1], b_in))
-            width += np.clip(shared, 0, None).sum(axis=1)
-        total += float(np.diff(part) @ width)
+    for start, stop in _portions(counts[0] * counts[1] // 4 + counts[0] + counts[1]):
+        strip, opens, closes = _spans(left, levels, start, stop)
+        other, other_opens, other_closes = _spans(right, levels, start, stop)
+        # Each span of the one ring with all spans of the other in the same strip.
+        begin, end = np.searchsorted(other, strip), np.searchsorted(other, strip, "right")
+        n = end - begin
+        one = np.repeat(np.arange(len(strip)), n)
+        two = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        height = levels[strip[one] + 1] - levels[strip[one]]
+        total += float(height @ _shared_width(opens[one], closes[one], other_opens[two], other_closes[two]))
     return total
 
 
@@ -154,10 +205,14 @@ def _middle(ring: np.ndarray, axis: int) -> float:
     levels = np.unique(pts[:, 1])
     if len(levels) < 2:
         return float(levels[0])
-    middles = (levels[:-1] + levels[1:]) / 2
-    begin, end = _spans(pts, middles)
-    area = np.cumsum(np.diff(levels) * (end - begin).sum(axis=1))
-    return float(middles[min(int(np.searchsorted(area, area[-1] / 2)), len(middles) - 1)])
+    sides = _strips(pts, levels)
+    width = np.zeros(len(levels) - 1)
+    for start, stop in _portions(_per_strip(sides[2], sides[3], len(width))):
+        strip, opens, closes = _spans(sides, levels, start, stop)
+        np.add.at(width, strip, (closes - opens).mean(axis=1))
+    area = np.cumsum(np.diff(levels) * width)
+    at = min(int(np.searchsorted(area, area[-1] / 2)), len(width) - 1)
+    return float((levels[at] + levels[at + 1]) / 2)
 
 
 def median_point(ring: Column) -> Column:

@@ -152,6 +152,37 @@ def polygon_containment(t):
                                                   F.round("fraction", 6).alias("fraction"))
 
 
+# Right triangles of one shape, legs along the axes: what two of them share is such a triangle.
+_SLOPE = 2.0
+_CORNERS = """(SELECT 'N' || n_nationkey AS id, n_nationkey * 60.0::DOUBLE AS x, 0.0::DOUBLE AS y, 90.0::DOUBLE AS w FROM nation
+    UNION ALL SELECT 'S' || s_suppkey, s_nationkey * 60 + abs(s_acctbal) / 400, abs(s_acctbal) / 300, 30 FROM supplier
+    UNION ALL SELECT 'C' || c_custkey, c_nationkey * 60 + abs(c_acctbal) / 210, abs(c_acctbal) / 170, 3 + c_nationkey / 4 FROM customer)"""
+
+
+def corner_triangles(t):
+    parts = [("N", t("nation").select("n_nationkey", F.col("n_nationkey").alias("k"), F.lit(0.0).alias("b")), 90.0, (1.0, 1.0)),
+             ("S", t("supplier").select("s_suppkey", F.col("s_nationkey").alias("k"), F.abs("s_acctbal").alias("b")), 30.0, (400.0, 300.0)),
+             ("C", t("customer").select("c_custkey", F.col("c_nationkey").alias("k"), F.abs("c_acctbal").alias("b")), None, (210.0, 170.0))]
+    frames = []
+    for letter, rows, wide, (across, up) in parts:
+        x, y = F.col("k") * 60 + F.col("b") / across, F.col("b") / up
+        w = F.lit(wide) if wide else 3 + F.col("k") / 4
+        frames.append(rows.select(F.concat(F.lit(letter), F.col(rows.columns[0]).cast("string")).alias("region_id"), F.array(
+            point(x, y), point(x + w, y), point(x, y + _SLOPE * w), point(x, y)).alias("ring")))
+    return frames[0].union(frames[1]).union(frames[2]).withColumn("ordinal", F.col("region_id"))
+
+
+@query("triangle_containment", f"""
+    WITH c AS (SELECT *, x + y / {_SLOPE} + w AS reach FROM {_CORNERS}),
+    p AS (SELECT a.id AS child_id, b.id AS parent_id, a.w AS side,
+                 greatest(0, least(a.reach, b.reach) - greatest(a.x, b.x) - greatest(a.y, b.y) / {_SLOPE}) AS leg
+          FROM c a JOIN c b ON a.id <> b.id AND b.w > a.w * (1 + 1e-9))
+    SELECT child_id, parent_id, round((leg / side) * (leg / side), 6) AS fraction FROM p
+    WHERE (leg / side) * (leg / side) > 0.9""")
+def triangle_containment(t):
+    return spatial.containments(corner_triangles(t), 0.9).select("child_id", "parent_id", F.round("fraction", 6).alias("fraction"))
+
+
 @query("polygon_parent", f"""
     SELECT child_id, max(parent_id) AS parent_id FROM {_NESTED} WHERE fraction > 0.99 + 1e-12 GROUP BY 1""")
 def polygon_parent(t):
