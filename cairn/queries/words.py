@@ -129,6 +129,24 @@ def jaro_winkler(t):
         F.round(similarity.jaro_winkler(name, F.reverse(name)), 6).alias("jw_reversed"))
 
 
+# The older C-library form on pairs whose matches are known: a name and its beginning have all of the
+# shorter one's letters in order, and a name whose last two letters are exchanged has all in reach.
+@query("jaro_winkler_whole_prefix", """
+    WITH p AS (SELECT p_partkey, p_name AS b, length(p_name) AS n, 1 + p_partkey % (length(p_name) - 2) AS k FROM part),
+    j AS (SELECT p_partkey, n, k, (2 + k / n) / 3 AS beginning,
+                 CASE WHEN b[n] = b[n - 1] THEN 1.0 ELSE (2 + (n - 1) / n) / 3 END AS exchanged FROM p)
+    SELECT p_partkey, round(least(1, beginning + 0.1 * k * (1 - beginning)), 6) AS beginning,
+           round(least(1, exchanged + 0.1 * (n - 2) * (1 - exchanged)), 6) AS exchanged FROM j""")
+def jaro_winkler_whole_prefix(t):
+    name, n = F.col("p_name"), F.length("p_name")
+    parts = t("part").select(
+        "p_partkey", "p_name", F.substring(name, F.lit(1), (1 + F.col("p_partkey") % (n - 2)).cast("int")).alias("beginning"),
+        F.concat(F.substring(name, F.lit(1), n - 2), F.substring(name, n, F.lit(1)), F.substring(name, n - 1, F.lit(1)))
+        .alias("exchanged"))
+    return parts.select("p_partkey", *(
+        F.round(similarity.jaro_winkler(F.col(c), name, **similarity.C_LIBRARY), 6).alias(c) for c in ("beginning", "exchanged")))
+
+
 @query("jaccard_tokens", """
     WITH s AS (SELECT page_id, list_distinct(string_split(split_part(url, '/', 3), '.')) AS a,
                       list_distinct(regexp_extract_all(html, '[a-z]+')) AS b FROM pages)
