@@ -9,7 +9,7 @@ from cairn.plans import gazetteer
 from cairn.queries import query
 from cairn.queries.geo import (_BOXES, _boxes, _relation_elements, RECTANGLES_SQL)
 from cairn.session import scratch_folder
-from cairn.sources import delimited, elements, geojson, tables
+from cairn.sources import delimited, documents, elements, geojson, tables
 
 
 @query("dsv_roundtrip", """
@@ -217,6 +217,37 @@ def geojson_regions(t):
                                          F.round("area", 6).alias("area"))
 
 
+@query("geojson_document", f"""
+    SELECT id AS region_id, id AS name, round(w * h, 6) AS area FROM {_BOXES}""")
+def geojson_document(t):
+    # One collection, written in parts and read back as the one document that they are.
+    measured = spatial.measures(_boxes(t))
+    table = measured.select(
+        "region_id", F.col("region_id").alias("name"), F.lit(None).cast("array<string>")
+        .alias("alternate_names"), "xmin", "ymin", "xmax", "ymax", "centroid_x", "centroid_y",
+        F.lit(None).cast("string").alias("parent"), "ring")
+    spark = table.sparkSession
+    path = scratch_folder(spark, "collection")
+    geojson.write_feature_collection(geojson.region_features(table), path, spatial.overall_bounds(table))
+    back = spatial.measures(geojson.read_region_features(spark, path, parts=True))
+    return back.select("region_id", "name", F.round("area", 6).alias("area"))
+
+
+@query("elements_ranges", """
+    SELECT c_custkey AS id, c_acctbal AS lon, count(*) AS n FROM customer, range(2) GROUP BY 1, 2""")
+def elements_ranges(t):
+    # One document of two elements per customer.
+    pairs = t("customer").select(F.explode(F.array(*(F.struct(
+        F.concat("c_custkey", F.lit(f".{k}")).alias("id"), F.to_json(F.struct(
+            F.lit("node").alias("type"), F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("lon"), F.lit(1.5).alias("lat"),
+            F.create_map(F.lit("name"), F.concat(F.lit('}{" '), "c_name")).alias("tags"))).alias("json")) for k in (1, 2)))).alias("e"))
+    spark = pairs.sparkSession
+    path = scratch_folder(spark, "elements-json")
+    documents.write_document(pairs.select("e.*"), path, {"version": F.lit(0.6)}, array="elements", one_file=True)
+    back = elements.read_element_ranges(spark, path)
+    return back.groupBy("id", "lon").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("region_table_text", f"""
     WITH r AS (SELECT *, upper(region_id) || ' Himal' AS himal_name FROM {RECTANGLES_SQL}
                WHERE c_mktsegment <> 'BUILDING')

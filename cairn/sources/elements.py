@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.sources.documents import read_array
+
 ELEMENT = ("type STRING, id BIGINT, lon DOUBLE, lat DOUBLE, tags MAP<STRING, STRING>, "
            "nodes ARRAY<BIGINT>, members ARRAY<STRUCT<type: STRING, ref: BIGINT, role: STRING>>")
 
@@ -18,6 +20,15 @@ def read_elements(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(DOCUMENT).option("multiLine", True).json(path))
 
 
+def read_element_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """``read_elements`` for documents too large for one task: each is read in byte ranges.
+
+    ``ordinal`` rises in a document's order but has gaps.
+    """
+    found = read_array(spark, path)
+    return found.select("ordinal", F.from_json("value", ELEMENT).alias("e")).select("ordinal", "e.*")
+
+
 def explode_documents(documents: DataFrame) -> DataFrame:
     """``ordinal`` is the position within the document, which decides between repeated ids."""
     return (documents.select(F.posexplode("elements").alias("ordinal", "e"))

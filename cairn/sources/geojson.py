@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.sources.documents import read_array, read_parts, write_document
+
 FEATURE = ("id STRING, type STRING, bbox ARRAY<DOUBLE>, "
            "properties STRUCT<name: STRING, alternate_names: ARRAY<STRING>, "
            "centroid: ARRAY<DOUBLE>, parent: STRING, height: INT, himal: STRING>, "
@@ -79,19 +81,32 @@ def write_collection(features: DataFrame, path: str, bbox: DataFrame | None = No
     return path
 
 
-def read_region_features(spark: SparkSession, path: str, collection: bool = False) -> DataFrame:
+def write_feature_collection(features: DataFrame, path: str, bbox: DataFrame | None = None, mode: str = "error") -> list[str]:
+    """Write one FeatureCollection document in parts, features in the order of their ids, which must differ.
+
+    Returns the parts' paths; joined in this order they are the document. No task holds all of it.
+    """
+    header = {"type": F.lit("FeatureCollection")}
+    if bbox is not None:
+        header["bbox"] = F.array("xmin", "ymin", "xmax", "ymax")
+    return write_document(features, path, header, facts=bbox, mode=mode)
+
+
+def read_region_features(spark: SparkSession, path: str, collection: bool = False, parts: bool = False) -> DataFrame:
     """Polygon features to ``(region_id, name, parent, ordinal, ring)``; only the outer ring.
 
-    ``collection=True`` reads FeatureCollection documents instead of one feature per line.
-    ``ordinal`` is the place in the collection; features on lines rank by id, the order in which
+    ``collection=True`` reads FeatureCollection documents instead of one feature per line, and
+    ``parts=True`` one such document in parts, as ``write_feature_collection`` leaves it.
+    ``ordinal`` rises in the collection's order; features on lines rank by id, the order in which
     they are written.
     """
     schema = FEATURE.format(coordinates="ARRAY<ARRAY<ARRAY<DOUBLE>>>")
-    if collection:
-        rows = (spark.read.schema(f"features ARRAY<STRUCT<{schema}>>")
-                .option("multiLine", True).json(path)
-                .select(F.posexplode("features").alias("position", "f"))
-                .select(F.format_string("%012d", "position").alias("ordinal"), "f.*"))
+    if parts:
+        rows = (read_parts(spark, path).select(F.from_json("value", schema).alias("f"))
+                .select(F.col("f.id").alias("ordinal"), "f.*"))
+    elif collection:
+        rows = (read_array(spark, path).select("ordinal", F.from_json("value", schema).alias("f"))
+                .select(F.format_string("%018d", "ordinal").alias("ordinal"), "f.*"))
     else:
         rows = spark.read.schema(schema).json(path).withColumn("ordinal", F.col("id"))
     ring = F.transform(F.try_element_at("geometry.coordinates", F.lit(1)),
