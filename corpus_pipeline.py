@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, decontaminate, language, neardup, secrets
+from cairn.llm import bpe, decontaminate, language, neardup, rows, secrets
 from cairn.llm.queries import QUERIES, VOCABULARY, prepare
 from cairn.session import staged
 
@@ -51,9 +51,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without an id are compared with none; of those with equal texts one stays.
     """
     prepare(spark)
-    found = staged(neardup.near_duplicates(docs), "copies")
-    copies = found.where("NOT kept").select(F.col("doc_id").alias("__copy")).distinct()
-    kept = docs.join(copies, docs["doc_id"] == F.col("__copy"), "left_anti")
+    found = staged(neardup.near_duplicates(docs).select("doc_id", "kept"), "copies")
+    kept = rows.without(docs, found.where("NOT kept").select("doc_id"), "doc_id")
     if found.groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
     return kept.withColumn("__digest", F.xxhash64("text")).dropDuplicates(["doc_id", "__digest"]).drop("__digest")
