@@ -117,21 +117,25 @@ def freeze(gram: np.ndarray, n: np.ndarray) -> list[Order]:
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Learn from rows of ``docs (text, lang)``; None where no row has both.
 
-    About ``sample`` documents are taken from each language and all their sequences are kept, so the
-    model's size follows the number of languages and not that of the documents.
+    About ``sample`` different texts are taken from each language, all of them where it has no more, and
+    all their sequences are kept, so the model's size follows the number of languages and not that of the
+    documents. A text counts once for a language, however many copies it has there: copies neither
+    crowd out other texts nor fill the sample.
     """
-    rows = docs.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    rows = docs.select("text", "lang", F.xxhash64("text").alias("digest")).where("text IS NOT NULL AND lang IS NOT NULL")
+    texts = rows.groupBy("lang", "digest").agg(F.count("*").alias("n"))
+    sizes = texts.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not sizes:
         return None
-    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, sample / r["n"]))))
-    part = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000
+    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], 1.0 if r["n"] <= sample else sample / r["n"])))
+    # Another hash than that of the digest, which equal texts share.
+    part = F.pmod(F.xxhash64(F.lit("sample"), "digest"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000
 
     def tree(some: pd.DataFrame) -> pd.DataFrame:
         orders = freeze(some["gram"].to_numpy().astype(np.uint32), some["n"].to_numpy().astype(np.float64))
         return pd.DataFrame({"lang": [some["lang"].iloc[0]], "tree": [pickle.dumps([(o.keys, o.cost, o.contexts, o.escape) for o in orders])]})
 
-    trees = (rows.where(part).mapInArrow(_count_batches, "lang string, gram bigint, n bigint")
+    trees = (rows.where(part).dropDuplicates(["lang", "digest"]).select("text", "lang").mapInArrow(_count_batches, "lang string, gram bigint, n bigint")
              .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
              .groupBy("lang").applyInPandas(tree, "lang string, tree binary").collect())
     if not trees:

@@ -71,6 +71,22 @@ def test_no_language_is_left_out(spark):
     assert model.languages[got[0].argmin()] == "l299"
 
 
+def test_copies_neither_hide_a_language_nor_fill_its_sample(spark):
+    rows = [("der die und nicht über die straße", "de")] * 3000 + [(f"the and of them number {k}", "en") for k in range(200)]
+    rows += [("el perro y la casa", "es")] * 3000 + [(f"los libros de la casa {k} son", "es") for k in range(900)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    for sample in (1, 5, 300):
+        assert "de" in language.learn(docs, sample=sample).languages
+    model = language.learn(docs, sample=300)
+    assert model.languages == ["de", "en", "es"]
+    names = [model.languages[k] for k in language.text_costs(model, pa.array(["die straße nicht", "them and the", "los libros y"])).argmin(axis=1)]
+    assert names == ["de", "en", "es"]
+    # The sample is bounded by texts: a copied one is one of them.
+    held = language.learn(spark.createDataFrame([("aaaa", "x")] * 5000 + [("bbbb", "x")], "text string, lang string"), sample=2)
+    costs = language.text_costs(held, pa.array(["aaaa", "bbbb"]))[:, 0]
+    assert costs[0] == pytest.approx(costs[1])
+
+
 def test_identify(odd, none):
     model = language.learn(odd)
     got = language.identify(odd, model)
