@@ -112,6 +112,14 @@ def out_of_bag(model: PipelineModel, matrix: DataFrame, keys: Iterable[str], see
     return named.withColumn("prediction", (F.col("vote") > 0.5).cast("double")).drop("_row", "_votes", "_out")
 
 
+def importances(model: PipelineModel, features: list[str]) -> list[tuple[str, float]]:
+    """``(feature, percent)``, largest first: each tree's importances add up to one and count alike."""
+    grown = [tree.featureImportances.toArray() for tree in model.stages[1:]]
+    whole = sum(sum(one) for one in grown) or 1.0
+    shares = [(name, float(100 * sum(one[k] for one in grown) / whole)) for k, name in enumerate(features)]
+    return sorted(shares, key=lambda r: (-r[1], r[0]))
+
+
 def oob_score(out: DataFrame, label: str = "label") -> DataFrame:
     """One row: the share of rows that the trees which never saw them predict right, and how many have a vote."""
     return out.where("n_out > 0").agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("oob_score"),

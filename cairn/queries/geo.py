@@ -224,6 +224,25 @@ def line_simplify(t):
     return lines.select("way_id", F.size("line").alias("points"), F.size(kept).alias("kept"))
 
 
+@query("line_simplify_known", """
+    SELECT c_custkey, 5 AS kept, [0, 10, 20, 30, 40] AS xs, CASE WHEN c_nationkey > 0 THEN 41 ELSE 5 END AS kept_fine
+    FROM customer""")
+def line_simplify_known(t):
+    # A zigzag of five corners with points between them that leave its sides by a thousandth of the nation.
+    high, off = 5 + F.abs("c_acctbal") / 500, F.col("c_nationkey") * 0.001
+    def at(k: Column) -> Column:
+        side, part = F.floor(k / 10), k % 10
+        up = F.when(side % 2 == 0, part / 10).otherwise(1 - part / 10)
+        way = F.when(part == 0, 0.0).when(k % 2 == 0, off).otherwise(-off)
+        return F.struct(k.cast("double").alias("x"), (up * high + way).alias("y"))
+
+    lines = t("customer").select("c_custkey", F.transform(F.sequence(F.lit(0), F.lit(40)), at).alias("line"))
+    kept = lines.select("c_custkey", shapes.simplify(F.col("line"), 2.0).alias("coarse"),
+                        shapes.simplify(F.col("line"), 1e-9).alias("fine"))
+    return kept.select("c_custkey", F.size("coarse").alias("kept"),
+                       F.transform(F.col("coarse.x"), lambda x: x.cast("int")).alias("xs"), F.size("fine").alias("kept_fine"))
+
+
 # Customers as relations of three ways that run in mixed directions around a rectangle. Ways of
 # BUILDING customers do not close, FURNITURE ones have a dead end to be cut off.
 def _relation_elements(t):

@@ -298,6 +298,25 @@ def bagged_scores(t):
     return bagging.score_bagged(model, matrix).select("o_orderkey", F.col("percent").cast("double").alias("percent"))
 
 
+@query("bagged_importance", f"""
+    WITH {_bags_sql()},
+    n AS (SELECT tree, sum(weight) FILTER (leaf = 0) AS w0, sum(weight * label) FILTER (leaf = 0) AS y0,
+                 sum(weight) FILTER (leaf = 1) AS w1, sum(weight * label) FILTER (leaf = 1) AS y1,
+                 sum(weight) FILTER (leaf = 2) AS w2, sum(weight * label) FILTER (leaf = 2) AS y2
+          FROM w WHERE NOT holdout GROUP BY tree),
+    i AS (SELECT tree, 2 * (y0 / w0) * (w0 - y0) AS g0, 2 * (y1 / w1) * (w1 - y1) AS g1, 2 * (y2 / w2) * (w2 - y2) AS g2,
+                 2 * ((y1 + y2) / (w1 + w2)) * (w1 + w2 - y1 - y2) AS g12,
+                 2 * ((y0 + y1 + y2) / (w0 + w1 + w2)) * (w0 + w1 + w2 - y0 - y1 - y2) AS g012 FROM n),
+    s AS (SELECT (g012 - g0 - g12) / (g012 - g0 - g1 - g2) AS urgent FROM i)
+    SELECT 'urgent' AS feature, round(100 * avg(urgent), 6) AS importance FROM s
+    UNION ALL SELECT 'open', round(100 * avg(1 - urgent), 6) FROM s""")
+def bagged_importance(t):
+    _, model, _ = _bagged(t)
+    found = bagging.importances(model, list(features.feature_columns(BAGGED_SCHEMA)))
+    return t("orders").sparkSession.createDataFrame(found, "feature STRING, importance DOUBLE").withColumn(
+        "importance", F.round("importance", 6))
+
+
 @query("score_defaults", "SELECT n_nationkey, 100.0::DOUBLE AS percent FROM nation")
 def score_defaults(t):
     scored = training.score_defaults(t("nation"), "n_nationkey", _clear_model(t), CLEAR_SCHEMA, CLEAR_DEFAULTS)
