@@ -11,16 +11,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cairn.session import staged
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
-    """Key equality in which NULL equals NULL, as in GROUP BY."""
-    return reduce(lambda a, b: a & b,
-                  [left[k].eqNullSafe(right[prefix + k]) for k in keys])
-
-
 def latest_per_key(df: DataFrame, keys: list[str], compare: str) -> DataFrame:
     """One row per key: its largest compare value (``_latest``)."""
     return df.groupBy(*[F.col(k).alias("_k_" + k) for k in keys]).agg(
@@ -28,8 +23,14 @@ def latest_per_key(df: DataFrame, keys: list[str], compare: str) -> DataFrame:
 
 
 def _with_latest(df: DataFrame, keys: list[str], compare: str) -> DataFrame:
-    latest = latest_per_key(df, keys, compare)
-    return df.join(latest, _same_keys(df, latest, keys, "_k_"), "inner")
+    """The key is one struct, in which NULL equals NULL, so the join finds the maxima where they were summed up."""
+    keyed = df.withColumn("_key", F.struct(*keys))
+    return keyed.join(keyed.groupBy("_key").agg(F.max(compare).alias("_latest")), "_key").drop("_key")
+
+
+def _won(compare: str) -> Column:
+    """Nothing exceeds the maximum. An equality would become a second join key, and one more exchange."""
+    return F.coalesce(F.col(compare) >= F.col("_latest"), F.col("_latest").isNull())
 
 
 def keep_latest(df: DataFrame, keys: list[str], compare: str) -> DataFrame:
@@ -40,7 +41,7 @@ def keep_latest(df: DataFrame, keys: list[str], compare: str) -> DataFrame:
     if list(keys) == [compare]:
         return df
     return (_with_latest(df, keys, compare)
-            .where(F.col(compare).eqNullSafe(F.col("_latest"))).select(*df.columns))
+            .where(_won(compare)).select(*df.columns))
 
 
 def superseded(df: DataFrame, keys: list[str], compare: str) -> DataFrame:
@@ -48,7 +49,7 @@ def superseded(df: DataFrame, keys: list[str], compare: str) -> DataFrame:
     if list(keys) == [compare]:
         return df.select(*keys, F.col(compare).alias("kept_value")).where(F.lit(False))
     return (_with_latest(df, keys, compare)
-            .where(~F.col(compare).eqNullSafe(F.col("_latest")))
+            .where(~_won(compare))
             .select(*keys, compare, F.col("_latest").alias("kept_value")))
 
 
@@ -57,7 +58,7 @@ def split_latest(df: DataFrame, keys: list[str], compare: str) -> tuple[DataFram
     if list(keys) == [compare]:
         return df, superseded(df, keys, compare)
     marked = staged(_with_latest(df, keys, compare), "latest")
-    won = F.col(compare).eqNullSafe(F.col("_latest"))
+    won = _won(compare)
     return (marked.where(won).select(*df.columns),
             marked.where(~won).select(*keys, compare, F.col("_latest").alias("kept_value")))
 
@@ -89,15 +90,24 @@ def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
 def last_wins(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
     """One row per key: the one with the largest ordinal.
 
-    A NULL ordinal loses against any other. Rows that tie are ordered by their content, so the
-    answer does not depend on the order of reading.
+    A NULL ordinal loses against any other. Rows that tie are ordered by their content, column by
+    column, so the answer does not depend on the order of reading.
     """
     others = [c for c in df.columns if c not in keys]
-    row = F.struct(*others)
-    best = df.groupBy(*keys).agg(
-        F.max_by(row, F.struct(F.col(ordinal), F.to_json(row))).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c)
-                         for c in df.columns])
+    # Maps have no order, so their text stands for them.
+    content = [F.to_json(c) if _has_map(df.schema[c].dataType) else F.col(c) for c in others if c != ordinal]
+    rank = F.struct(F.col(ordinal), *content)
+    if any(_has_map(df.schema[c].dataType) for c in others):
+        best = df.groupBy(*keys).agg(F.max_by(F.struct(*others), rank).alias("_row"))
+        return best.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+    best = df.groupBy(*keys).agg(F.max(F.struct(F.col(ordinal), *(c for c in others if c != ordinal))).alias("_row"))
+    return best.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
 
 
 def unexpected_counts(df: DataFrame, keys: list[str], expected: int = 1) -> DataFrame:

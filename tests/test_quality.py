@@ -40,6 +40,24 @@ def test_keep_latest_with_one_hot_key(spark):
     assert kept.where("k = 0").first().y == 29_997
 
 
+def test_the_join_finds_the_maxima_where_they_were_summed_up(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = quality.keep_latest(dup(spark), ["k"], "y")
+        plan = kept._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("Exchange hashpartitioning") == 2 and len(kept.collect()) == 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_last_wins_on_ties_and_maps(spark):
+    rows_ = [(1, 5, "b", {"x": 1}), (1, 5, "a", {"x": 2}), (1, None, "z", None), (None, None, "n", None), (None, None, "m", {"q": 0})]
+    df = spark.createDataFrame(rows_, "k INT, o INT, v STRING, m MAP<STRING, INT>")
+    assert rows(quality.last_wins(df, ["k"], "o").select("k", "o", "v")) == sorted([(1, 5, "b"), (None, None, "n")], key=repr)
+    assert rows(quality.last_wins(df.drop("m"), ["k"], "o")) == sorted([(1, 5, "b"), (None, None, "n")], key=repr)
+    assert quality.last_wins(df, ["k"], "o").where("v = 'b'").first().m == {"x": 1}
+
+
 def test_key_violations(spark):
     got = quality.key_violations(dup(spark), ["k"])
     assert {(r.k, r.problem) for r in got.collect()} == {
