@@ -2,8 +2,9 @@
 
 Counts of words and of word pairs over all training documents are quantised to powers of two; a
 sequence with level ``q`` is put into a Bloom filter under the levels 1 to ``q``. The filter is built
-in segments, each from the sequences whose hash falls into it, and their number follows what is
-stored: every word and every pair. Workers find a count again by asking for level after level until
+in segments, each from the sequences whose hash falls into its range and as large as what it stores:
+every word and every pair. Counts meet once, packed and dealt by segment, and the task that sums a
+segment's counts also fills its bits. Workers find a count again by asking for level after level until
 one is missing, and a pair's probability is smoothed with that of its second word. A filter within a
 bound goes to every worker. A larger one stays a table of segments, to which the distinct sequences
 of many documents at a time are shuffled; the scores are the same.
@@ -19,18 +20,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm import words as w
 from cairn.session import staged
 
-SEGMENT = 1 << 19  # bits in a segment of the filter
-SEGMENTS = 1024  # sent to every worker at most, 64 MB in all; more stay a table
+SHARE = 1 << 21  # bytes of text, about, whose sequences share a segment of the filter
+SENT = 128 << 20  # bytes of a filter that is sent to every worker, at most; a larger one stays a table
 BITS, PROBES = 8, 4  # bits and probes for each stored level
-BLOCK = 16  # segments of the table that are asked together
-BUCKET = 1024  # documents, about, that ask the table together
+BLOCKS = 64  # segments of the table that are asked together, at most
+BUCKET = 4 << 20  # bytes of text, about, that ask the table together
 HEAD = 1 << 17  # words whose exact counts go to every worker
 PRIOR = 20.0  # weight of a word's own probability in that of a pair
 FLUSH = 2 << 20  # tokens counted together in a task
@@ -65,59 +66,146 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[list[np.ndarray]] = [[], []]
+def _segment(h: np.ndarray, segments: int) -> np.ndarray:
+    return (((h >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)).astype(np.int64)
+
+
+def pack(keys: np.ndarray) -> bytes:
+    """Sorted hashes as their first one and gaps of as many bytes as the largest needs."""
+    if not len(keys):
+        return b""
+    gaps = np.diff(keys)
+    width = (int(gaps.max(initial=0)).bit_length() + 7) // 8 or 1
+    return bytes([width]) + keys[:1].astype("<u8").tobytes() + np.ascontiguousarray(
+        gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    """The hashes of ``pack``."""
+    if not packed:
+        return np.zeros(0, np.uint64)
+    width = packed[0]
+    first, gaps = np.frombuffer(packed, "<u8", 1, 1), np.frombuffer(packed, np.uint8, -1, 9).reshape(-1, width)
+    wide = np.zeros((len(gaps), 8), np.uint8)
+    wide[:, :width] = gaps
+    return np.cumsum(np.concatenate([first, wide.view("<u8").ravel()]), dtype=np.uint64)
+
+
+def _cuts(sorted_: np.ndarray) -> list[int]:
+    """Where each value of a sorted array begins, and its end."""
+    new = np.flatnonzero(sorted_[1:] != sorted_[:-1]) + 1
+    return [0, *new.tolist(), len(sorted_)] if len(sorted_) else []
+
+
+def _counter(segments: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = [[], []]
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for kind in (0, 1):
+                if held[kind]:
+                    keys, n = np.unique(np.concatenate(held[kind]), return_counts=True)
+                    held[kind].clear()
+                    segment = _segment(keys, segments)
+                    cuts = _cuts(segment)
+                    for at in range(0, len(cuts) - 1, 256):
+                        some = cuts[at:at + 257]
+                        pairs = list(zip(some, some[1:], strict=False))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(segment[some[:-1]]), pa.array(np.full(len(pairs), kind, np.int8)),
+                             pa.array([pack(keys[a:b]) for a, b in pairs], pa.binary()),
+                             pa.array([n[a:b].astype("<u4").tobytes() for a, b in pairs], pa.binary())],
+                            names=["segment", "kind", "h", "n"])
+
+        size = 0
+        for part in _parts(batches):
+            some = tokens(part.column("text"))
+            held[0].append(some.hashes)
+            held[1].append(pair_hashes(some))
+            size += len(some.hashes)
+            if size >= FLUSH:
+                yield from flush()
+                size = 0
+        yield from flush()
+    return run
+
+
+def _summed(rows: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of one kind in a segment, and their counts."""
+    own = rows.filter(pc.equal(rows.column("kind"), kind))
+    keys = [unpack(x) for x in own.column("h").to_pylist()]
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    key = np.concatenate(keys)
+    n = np.concatenate([np.frombuffer(x, "<u4") for x in own.column("n").to_pylist()]).astype(np.int64)
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.array(_cuts(key)[:-1])
+    return key[first], np.add.reduceat(n, first)
+
+
+def _bits_of(h: np.ndarray, level: np.ndarray | int, size: np.ndarray | int) -> np.ndarray:
+    """The bits of each sequence for one level in a segment of ``size`` bits, a column for each probe."""
+    low = np.uint64(0xFFFFFFFF)
+    x = w.mix(h + np.asarray(level, np.uint64) * _LEVEL)
+    spread = ((x & low)[:, None] + ((x >> np.uint64(32)) | np.uint64(1))[:, None] * np.arange(PROBES, dtype=np.uint64)) & low
+    return ((spread * np.asarray(size, np.uint64).reshape(-1, 1)) >> np.uint64(32)).astype(np.int64)
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        for kind in (0, 1):
-            if held[kind]:
-                keys, n = np.unique(np.concatenate(held[kind]), return_counts=True)
-                held[kind].clear()
-                for at in range(0, len(keys), 1 << 16):
-                    some = keys[at:at + (1 << 16)].view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(some), kind, np.int8)), pa.array(some), pa.array(n[at:at + (1 << 16)])],
-                        names=["kind", "h", "n"])
 
-    size = 0
-    for part in _parts(batches):
-        some = tokens(part.column("text"))
-        held[0].append(some.hashes)
-        held[1].append(pair_hashes(some))
-        size += len(some.hashes)
-        if size >= FLUSH:
-            yield from flush()
-            size = 0
-    yield from flush()
-
-
-def _positions(h: np.ndarray, level: np.ndarray | int, segments: int) -> tuple[np.ndarray, np.ndarray]:
-    """The segment of each sequence and its bits there for one level, a column for each probe."""
-    segment = ((h >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
-    x = w.mix(h + np.asarray(level, np.uint64) * _LEVEL)
-    first, step = x & np.uint64(SEGMENT - 1), (x >> np.uint64(19)) | np.uint64(1)
-    bit = (first[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint64)) & np.uint64(SEGMENT - 1)
-    return segment.astype(np.int64), bit.astype(np.int64)
+def _fill(rows: pa.Table) -> pa.Table:
+    """One segment: its bits, and the exact counts of the words in it."""
+    (word, n), (pair, m) = _summed(rows, 0), _summed(rows, 1)
+    keys, level = np.concatenate([word, pair]), np.floor(np.log2(np.concatenate([n, m])) + 1e-9).astype(int) + 1
+    bits = np.zeros(8 * -(-int(level.sum()) * BITS // 8), np.uint8)
+    for q in range(1, int(level.max()) + 1):
+        bits[_bits_of(keys[level >= q], q, len(bits)).ravel()] = 1
+    return pa.table({"segment": pa.array([rows.column("segment")[0].as_py()]), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()]),
+                     "words": pa.array([len(word)]), "total": pa.array([int(n.sum())]),
+                     "h": pa.array([pack(word)], pa.binary()), "n": pa.array([n.astype("<i8").tobytes()], pa.binary())})
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for h, n in zip(batch.column("h"), batch.column("n"), strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array(unpack(h.as_py()).view(np.int64)), pa.array(np.frombuffer(n.as_buffer(), "<i8"))],
+                                             names=["h", "n"])
 
 
 @dataclass
 class Filter:
-    """The Bloom filter, or some segments of it, with the sizes of the training corpus."""
+    """The Bloom filter, or some segments of it, with the sizes of the training corpus.
+
+    ``bits`` holds segment after segment behind one byte of zeros, where segments without a sequence
+    point; ``starts`` and ``sizes``, in bits, are those of the segments from ``first`` on.
+    """
 
-    bits: np.ndarray | None  # bytes, segment after segment; None where they are a table
+    bits: np.ndarray | None  # None where they are a table
+    starts: np.ndarray | None
+    sizes: np.ndarray | None
     segments: int
     total: int
     distinct: int
-    first: int = 0  # the segment that the bits begin with
+    first: int = 0
+
+    def holding(self, segments: Iterator[tuple[int, bytes]], first: int, number: int) -> Filter:
+        """This filter with the bits of ``number`` segments from ``first`` on."""
+        starts, sizes, held = np.zeros(number, np.int64), np.full(number, 8, np.int64), [np.zeros(1, np.uint8)]
+        end = 8
+        for segment, bits in segments:
+            held.append(np.frombuffer(bits, np.uint8))
+            starts[segment - first], sizes[segment - first] = end, 8 * len(held[-1])
+            end += 8 * len(held[-1])
+        return Filter(np.concatenate(held), starts, sizes, self.segments, self.total, self.distinct, first)
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """The highest level under which each sequence is found, asking from 1 up; 0 for none."""
         out = np.zeros(len(h), np.int64)
         asked, level = np.arange(len(h)), 0
+        place = _segment(h, self.segments) - self.first
         while len(asked):
             level += 1
-            segment, bit = _positions(h[asked], level, self.segments)
-            at = (segment - self.first)[:, None] * SEGMENT + bit
+            own = place[asked]
+            at = self.starts[own][:, None] + _bits_of(h[asked], level, self.sizes[own])
             there = ((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
             asked = asked[there]
             out[asked] = level
@@ -156,11 +244,6 @@ class Answers(Filter):
         return self.found[np.searchsorted(self.keys, h)]
 
 
-def _asked(some: w.Words) -> np.ndarray:
-    """The distinct words and pairs of some texts, sorted and thus in the order of their segments."""
-    return np.unique(np.concatenate([some.hashes, pair_hashes(some)]))
-
-
 @dataclass
 class Model:
     """The filter, the exact counts of the most frequent words, and the table of the other words."""
@@ -174,88 +257,75 @@ class Model:
 
 def learn(docs: DataFrame) -> Model:
     """Count all training texts of ``docs (text)`` and build the filter."""
-    counted = (docs.select(F.col("text").cast("string").alias("text"))
-               .mapInArrow(_count_batches, "kind tinyint, h bigint, n bigint")
-               .groupBy("kind", "h").agg(F.sum("n").alias("n")))
-    counts = staged(counted.withColumn("q", (F.floor(F.log2("n") + 1e-9) + 1).cast("int")), "counts")
-    shape = counts.groupBy("kind", "q").agg(F.count("*").alias("entries"), F.sum("n").alias("n")).collect()
-    total = sum(r["n"] for r in shape if r["kind"] == 0)
-    distinct = sum(r["entries"] for r in shape if r["kind"] == 0)
-
-    stored = sum(r["entries"] * r["q"] for r in shape)
-    segments = max(1, -(-stored * BITS // SEGMENT))
-    segment = F.shiftrightunsigned(F.shiftrightunsigned("h", 32) * segments, 32)
-
-    def fill(some: pd.DataFrame) -> pd.DataFrame:
-        h, q = some["h"].to_numpy().view(np.uint64), some["q"].to_numpy()
-        bits = np.zeros(SEGMENT, np.uint8)
-        for level in range(1, int(q.max()) + 1):
-            bits[_positions(h[q >= level], level, segments)[1].ravel()] = 1
-        return pd.DataFrame({"segment": [some["segment"].iloc[0]],
-                             "bits": [np.packbits(bits, bitorder="little").tobytes()]})
-
-    filled = counts.select(segment.alias("segment"), "h", "q").groupBy("segment").applyInPandas(
-        fill, "segment bigint, bits binary")
-    bits, table = None, None
-    if segments <= SEGMENTS:
-        bits = np.zeros(segments * SEGMENT // 8, np.uint8)
-        for row in filled.collect():
-            bits[row["segment"] * SEGMENT // 8:(row["segment"] + 1) * SEGMENT // 8] = np.frombuffer(row["bits"], np.uint8)
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    segments = max(1, -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARE))
+    built = staged(texts.mapInArrow(_counter(segments), "segment bigint, kind tinyint, h binary, n binary")
+                   .groupBy("segment").applyInArrow(_fill, "segment bigint, bits binary, words bigint, total bigint, h binary, n binary"),
+                   "segments")
+    shape = built.agg(F.sum("words"), F.sum("total"), F.sum(F.octet_length("bits"))).first()
+    distinct, total, size = (int(x or 0) for x in shape)
+    plain = Filter(None, None, None, segments, total, distinct)
+    table = None
+    if size <= SENT:
+        plain = plain.holding(((r["segment"], r["bits"]) for r in built.select("segment", "bits").toLocalIterator()), 0, segments)
     else:
-        table = staged(filled.withColumn("block", F.floor(F.col("segment") / BLOCK)), "segments")
-    words = counts.where("kind = 0").select("h", "n")
+        table = built.select("segment", "bits")
+    words = staged(built.select("h", "n").mapInArrow(_word_rows, "h bigint, n bigint"), "words")
     top = words.orderBy(F.desc("n"), "h").limit(HEAD).toPandas()
     head = top["h"].to_numpy().view(np.uint64)
     order = np.argsort(head)
-    return Model(Filter(bits, segments, int(total or 0), int(distinct)), head[order],
-                 top["n"].to_numpy()[order].astype(np.float64), words, table)
+    return Model(plain, head[order], top["n"].to_numpy()[order].astype(np.float64), words, table)
 
 
 def _ask_table(rows: DataFrame, model: Model, score, schema: str) -> DataFrame:
     """``score(part, filter)`` of all ``rows (doc_id, digest, text)`` where the filter is a table.
 
-    Documents are dealt to buckets. A bucket's distinct sequences go to the blocks of segments they
-    fall into, one binary for each, and the levels come back in the same order.
+    Documents are dealt to buckets of some megabytes, repeated rows to different ones. A bucket's
+    distinct sequences go to the blocks of segments they fall into, one packed binary for each, and the
+    levels come back in the same order.
     """
     plain = model.filter
-    buckets = -(-rows.count() // BUCKET) or 1
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(buckets)))
-
-    def whole(some: pa.Table) -> pa.RecordBatch:
-        return some.combine_chunks().to_batches()[0]
+    block = max(1, min(BLOCKS, plain.segments // 256))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET))
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    dealt = numbered.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "digest", "row"), F.lit(buckets))).drop("row")
+
+    def sequences(some: pa.Table) -> np.ndarray:
+        """The distinct words and pairs of a bucket, sorted and thus in the order of their segments."""
+        found = [np.zeros(0, np.uint64)]
+        for part in some.to_batches():
+            words = tokens(part.column("text"))
+            found.append(np.unique(np.concatenate([words.hashes, pair_hashes(words)])))
+        return np.unique(np.concatenate(found))
 
     def ask(some: pa.Table) -> pa.Table:
-        part = whole(some)
-        h = _asked(tokens(part.column("text")))
-        block = (((h >> np.uint64(32)) * np.uint64(plain.segments)) >> np.uint64(32)).astype(np.int64) // BLOCK
-        first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        return pa.table({"bucket": pa.array(np.full(len(first), part.column("bucket")[0].as_py())),
-                         "block": pa.array(block[first]),
-                         "h": pa.array([x.tobytes() for x in np.split(h, first[1:])], pa.binary())})
+        h = sequences(some)
+        place = _segment(h, plain.segments) // block
+        cuts = _cuts(place)
+        return pa.table({"bucket": pa.array(np.full(len(cuts) - 1, some.column("bucket")[0].as_py())),
+                         "block": pa.array(place[cuts[:-1]]),
+                         "h": pa.array([pack(h[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())})
 
     def answer(asked: pa.Table, held: pa.Table) -> pa.Table:
         found = []
         if asked.num_rows:
-            first = asked.column("block")[0].as_py() * BLOCK
-            bits = np.zeros(BLOCK * SEGMENT // 8, np.uint8)
-            for segment, some in zip(held.column("segment").to_pylist(), held.column("bits"), strict=True):
-                at = (segment - first) * SEGMENT // 8
-                bits[at:at + SEGMENT // 8] = np.frombuffer(some.as_buffer(), np.uint8)
-            part = Filter(bits, plain.segments, plain.total, plain.distinct, first)
-            found = [part.levels(np.frombuffer(h.as_buffer(), np.uint64)).astype(np.uint8).tobytes()
-                     for h in asked.column("h")]
+            first = asked.column("block")[0].as_py() * block
+            own = ((s.as_py(), b.as_buffer()) for s, b in zip(held.column("segment"), held.column("bits"), strict=True))
+            part = plain.holding(own, first, block)
+            found = [part.levels(unpack(h.as_py())).astype(np.uint8).tobytes() for h in asked.column("h")]
         return pa.table({"bucket": asked.column("bucket"), "block": asked.column("block"),
                          "level": pa.array(found, pa.binary())})
 
     def finish(some: pa.Table, told: pa.Table) -> pa.Table:
-        part = whole(some)
         pieces = sorted(zip(told.column("block").to_pylist(), told.column("level").to_pylist(), strict=True))
         levels = np.frombuffer(b"".join(level for _, level in pieces), np.uint8).astype(np.int64)
-        return pa.Table.from_batches([score(part, Answers(
-            None, plain.segments, plain.total, plain.distinct, 0, _asked(tokens(part.column("text"))), levels))])
+        found = Answers(None, None, None, plain.segments, plain.total, plain.distinct, 0, sequences(some), levels)
+        return pa.Table.from_batches([score(part, found) for part in some.to_batches() if part.num_rows])
 
     asked = dealt.groupBy("bucket").applyInArrow(ask, "bucket bigint, block bigint, h binary")
-    told = asked.groupBy("block").cogroup(model.table.groupBy("block")).applyInArrow(
+    filled = model.table.withColumn("block", F.floor(F.col("segment") / block))
+    told = asked.groupBy("block").cogroup(filled.groupBy("block")).applyInArrow(
         answer, "bucket bigint, block bigint, level binary")
     return dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(finish, schema)
 
