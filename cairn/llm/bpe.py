@@ -160,10 +160,10 @@ class Tokenizer:
             at = hit.end()
         return words + self.pattern.findall(text[at:] if at else text)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of every text."""
+    def encode(self, texts: list[str], cache_bytes: int = CACHE_BYTES) -> list[np.ndarray]:
+        """The ids of every text; words are forgotten before more than ``cache_bytes`` are held."""
         texts_words = [self.split(text) for text in texts]
-        if self.held > CACHE_BYTES:
+        if self.held > cache_bytes:
             self.clear()
         self.learn(list(set().union(*texts_words).difference(self.known)))
         return [self._gather(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
@@ -203,9 +203,11 @@ def _pieces(batch: pa.RecordBatch, place: int, most: int = 2 << 20) -> Iterator[
 
 
 def encode_documents(docs: DataFrame, tokenizer_json: str, text_column: str = "text",
-                     decoded: bool = False) -> DataFrame:
+                     decoded: bool = False, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Add ``ids`` and, on request, ``decoded`` to every document.
 
+    A Python worker keeps about ``cache_bytes`` of encoded words from task to task.
+
     ``tokenizer_json`` is the content of a byte-level BPE file, which is bounded by its vocabulary.
     A NULL or empty text has no ids and decodes to an empty text. Rows and other columns stay;
     columns called ``ids`` or ``decoded`` are replaced.
@@ -226,7 +228,7 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, text_column: str = "t
         for batch in batches:
             for part in _pieces(batch, place):
                 texts = [t or "" for t in part.column(place).to_pylist()]
-                ids = tokenizer.encode(texts)
+                ids = tokenizer.encode(texts, cache_bytes)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 columns = [*part.columns[:len(kept)],
