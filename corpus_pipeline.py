@@ -18,6 +18,8 @@ from cairn.session import staged
 
 #: A text whose shortest code is longer than its own bytes is in none of the learned languages.
 MOST_BITS = 8.0
+#: Encoded words that a Python worker keeps: it lives on through stages that need their memory.
+TOKEN_CACHE = 32 << 20
 
 
 def _carried(docs: DataFrame) -> DataFrame:
@@ -76,7 +78,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add the token ids of every text as ``ids`` and their number as ``n_tokens``."""
     prepare(spark)
-    done = bpe.encode_documents(_carried(docs).drop("doc_id"), Path(VOCABULARY).read_text(encoding="utf-8"))
+    done = bpe.encode_documents(_carried(docs).drop("doc_id"), Path(VOCABULARY).read_text(encoding="utf-8"),
+                                cache_bytes=TOKEN_CACHE)
     own = [_own(c) for c in docs.columns if c not in ("ids", "n_tokens")]
     return done.select(*own, F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
