@@ -230,35 +230,55 @@ def median_point(ring: Column) -> Column:
     return run.asNondeterministic()(ring["x"], ring["y"])
 
 
-def _simplify(points: np.ndarray, tolerance: float) -> np.ndarray:
-    """Indexes kept by Douglas-Peucker, worked off a stack."""
-    if len(points) < 3:
-        return np.arange(len(points), dtype=np.int32)
-    keep = np.zeros(len(points), dtype=bool)
-    keep[[0, -1]] = True
-    stack = [(0, len(points) - 1)]
-    while stack:
-        first, last = stack.pop()
-        if last - first < 2:
-            continue
-        base, inner = points[first], points[first + 1:last]
-        d = points[last] - base
-        length = float(d @ d)
-        t = np.clip(((inner - base) @ d) / length, 0, 1) if length > 0 else np.zeros(len(inner))
-        away = np.hypot(*(inner - (base + t[:, None] * d)).T)
-        far = int(away.argmax())
-        if away[far] > tolerance:
-            keep[first + 1 + far] = True
-            stack += [(first, first + 1 + far), (first + 1 + far, last)]
-    return np.flatnonzero(keep).astype(np.int32)
+def _simplify_all(points: np.ndarray, ends: np.ndarray, tolerance: float) -> np.ndarray:
+    """Which points Douglas-Peucker keeps, of many lines behind one another; ``ends`` bounds the lines.
+
+    The open stretches of all lines are looked at together, round by round.
+    """
+    keep = np.zeros(len(points), bool)
+    first, last = ends[:-1], ends[1:] - 1
+    some = last >= first
+    first, last = first[some], last[some]
+    keep[first] = keep[last] = True
+    while True:
+        wide = last - first > 1
+        first, last = first[wide], last[wide]
+        if not len(first):
+            return keep
+        n = last - first - 1
+        begin = np.cumsum(n) - n
+        own = np.repeat(np.arange(len(n)), n)
+        inner = first[own] + 1 + np.arange(len(own)) - begin[own]
+        base, d = points[first], points[last] - points[first]
+        length = (d * d).sum(axis=1)
+        along = ((points[inner] - base[own]) * d[own]).sum(axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = np.where(length[own] > 0, np.clip(along / length[own], 0, 1), 0.0)
+        away = np.hypot(*(points[inner] - (base[own] + t[:, None] * d[own])).T)
+        most = np.maximum.reduceat(away, begin)
+        # The first point as far away as the farthest one.
+        far = np.minimum.reduceat(np.where((away == most[own]) | np.isnan(away), inner, len(points)), begin)
+        split = most > tolerance
+        far = far[split]
+        keep[far] = True
+        first, last = np.concatenate([first[split], far]), np.concatenate([far, last[split]])
 
 
 def simplify(line: Column, tolerance: float) -> Column:
     """Douglas-Peucker simplification of a line; ends stay."""
     @F.pandas_udf("array<int>")
     def kept(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else _simplify(_points(x, y), tolerance)
-                          for x, y in zip(xs, ys)], dtype=object)
+        out = np.full(len(xs), None, dtype=object)
+        sizes = np.array([0 if x is None else len(x) for x in xs], np.int64)
+        held = np.flatnonzero([x is not None for x in xs])
+        for start, stop in _portions(sizes[held]):
+            some = held[start:stop]
+            ends = np.concatenate([[0], np.cumsum(sizes[some])])
+            points = _points(*(np.concatenate([c.iloc[k] for k in some]) for c in (xs, ys)))
+            keep = _simplify_all(points, ends, tolerance)
+            for k, a, b in zip(some, ends[:-1], ends[1:]):
+                out[k] = np.flatnonzero(keep[a:b]).astype(np.int32)
+        return pd.Series(out, dtype=object)
 
     # Only positions come back; the points themselves stay where they are.
     return F.transform(kept.asNondeterministic()(line["x"], line["y"]), lambda i: F.get(line, i))

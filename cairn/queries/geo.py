@@ -9,6 +9,7 @@ from cairn.functions import shapes
 from cairn.operators import spatial
 from cairn.plans import gazetteer
 from cairn.queries import query
+from cairn.session import spread
 
 
 def point(x: Column, y: Column) -> Column:
@@ -237,7 +238,7 @@ def line_simplify_known(t):
         return F.struct(k.cast("double").alias("x"), (up * high + way).alias("y"))
 
     lines = t("customer").select("c_custkey", F.transform(F.sequence(F.lit(0), F.lit(40)), at).alias("line"))
-    kept = lines.select("c_custkey", shapes.simplify(F.col("line"), 2.0).alias("coarse"),
+    kept = spread(lines).select("c_custkey", shapes.simplify(F.col("line"), 2.0).alias("coarse"),
                         shapes.simplify(F.col("line"), 1e-9).alias("fine"))
     return kept.select("c_custkey", F.size("coarse").alias("kept"),
                        F.transform(F.col("coarse.x"), lambda x: x.cast("int")).alias("xs"), F.size("fine").alias("kept_fine"))
