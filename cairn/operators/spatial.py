@@ -23,6 +23,8 @@ _FINEST = -30
 MANY_SIDES = 256
 #: Cells of such a ring are so many powers of two smaller than those of its box.
 FINER = 4
+#: The same for rings that are carried whole.
+FINER_SMALL = 3
 
 
 def _level(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
@@ -76,8 +78,9 @@ def containing_regions(points: DataFrame, regions: DataFrame, key: str, x: str =
                        y: str = "y") -> DataFrame:
     """Every region a point lies strictly inside: ``key, region_id, ordinal``.
 
-    A pair of a point and a region's box carries the ring's sides, unless there are more than
-    ``MANY_SIDES``: then sides stay rows, and a pair meets only those at the point's height.
+    A ring's box is cut into cells. One that no side reaches answers for its points; a border cell carries
+    the ring's sides, unless there are more than ``MANY_SIDES``: then sides stay rows, and a pair meets
+    only those at the point's height.
     """
     boxes = (regions.where(F.size("ring") > 2)
              .select("region_id", "ordinal", shapes.bounds(F.col("ring")).alias("_b"),
@@ -85,9 +88,7 @@ def containing_regions(points: DataFrame, regions: DataFrame, key: str, x: str =
              .select("region_id", "ordinal", "_b.*", "_edges"))
     asked = points.select(F.col(key), F.col(x).alias("_x"), F.col(y).alias("_y")).dropna()
     large = F.size("_edges") > MANY_SIDES
-    found = (point_box_pairs(asked, boxes.where(~large), "_x", "_y")
-             .where(shapes.contains(F.col("_edges"), F.col("_x"), F.col("_y")))
-             .select(key, "region_id", "ordinal"))
+    found = _in_small_rings(asked, small_ring_cells(boxes.where(~large)), key)
     if boxes.where(large).isEmpty():
         return found
     rings = staged(boxes.where(large).withColumn("_ring", F.monotonically_increasing_id()), "rings")
@@ -95,6 +96,57 @@ def containing_regions(points: DataFrame, regions: DataFrame, key: str, x: str =
 
 
 def ring_sides(rings: DataFrame) -> DataFrame:
+def small_ring_cells(boxes: DataFrame) -> DataFrame:
+    """``region_id, ordinal, _level, _cx, _cy, _edges, _two``: the cells that a ring reaches.
+
+    Cells measure a 16th to an eighth of the box. Where no side reaches a cell, with some room for
+    rounding, all of it lies inside, and it carries no sides, or outside, and it is left out. Others
+    carry the sides at their heights that do not lie to their left; ``_two`` tells that these are two
+    at most.
+    """
+    level = F.greatest(_level(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax")) - FINER_SMALL, F.lit(_FINEST))
+    size = F.pow(F.lit(2.0), F.col("_level"))
+    x, y = (F.col("_cx") + 0.5) * size, (F.col("_cy") + 0.5) * size
+    high = size / 2 + (F.abs(y) + size) * 1e-9
+    half = size / 2 + (F.abs(x) + F.abs(y) + size) * 1e-9
+
+    # A side without its coordinates may be anywhere.
+    def maybe(test: Column) -> Column:
+        return F.coalesce(test, F.lit(True))
+
+    def level_with(e: Column) -> Column:
+        return maybe((F.least(e["y1"], e["y2"]) <= y + high) & (F.greatest(e["y1"], e["y2"]) >= y - high))
+
+    def near(e: Column) -> Column:
+        across, up = e["x2"] - e["x1"], e["y2"] - e["y1"]
+        return maybe((F.least(e["x1"], e["x2"]) <= x + half) & (F.greatest(e["x1"], e["x2"]) >= x - half)
+                     & (F.abs(across * (y - e["y1"]) - up * (x - e["x1"])) <= (F.abs(across) + F.abs(up)) * half))
+
+    # A few rings make many cells, which their size does not show.
+    rows = (spread(boxes).withColumn("_level", level)
+            .withColumn("_cy", F.explode(F.sequence(_cell(F.col("ymin"), F.col("_level")), _cell(F.col("ymax"), F.col("_level")))))
+            .withColumn("_edges", F.filter("_edges", level_with)))
+    cells = (rows.withColumn("_cx", F.explode(F.sequence(_cell(F.col("xmin"), F.col("_level")), _cell(F.col("xmax"), F.col("_level")))))
+             .withColumn("_border", F.exists("_edges", near))
+             .where(F.when(F.col("_border"), True).otherwise(shapes.contains(F.col("_edges"), x, y))))
+    right = F.filter("_edges", lambda e: maybe(F.greatest(e["x1"], e["x2"]) >= x - half))
+    known = F.forall("_edges", lambda e: (e["x1"] + e["y1"] + e["x2"] + e["y2"]).isNotNull())
+    return (cells.withColumn("_edges", F.when(F.col("_border"), right))
+            .select("region_id", "ordinal", "_level", "_cx", "_cy", "_edges", ((F.size("_edges") <= 2) & known).alias("_two")))
+
+
+def _in_small_rings(asked: DataFrame, cells: DataFrame, key: str) -> DataFrame:
+    """``containing_regions`` for rings that are carried whole."""
+    held = staged(cells, "cells")
+    placed = (asked.withColumn("_level", F.explode(distinct_ints(held, "_level")))
+              .withColumn("_cx", _cell(F.col("_x"), F.col("_level"))).withColumn("_cy", _cell(F.col("_y"), F.col("_level"))))
+    at = ["_level", "_cx", "_cy"]
+    test = (F.col("_edges"), F.col("_x"), F.col("_y"))
+    inside = F.when(F.col("_edges").isNull(), True).when(F.col("_two"), shapes.between_two(*test)).otherwise(shapes.contains(*test))
+    # A few bytes of points meet many regions, which their size does not show.
+    return spread(placed, *at).join(held, at).where(inside).select(key, "region_id", "ordinal")
+
+
     """``_ring, _tall, _strip, side``: the sides as rows, by height.
 
     A side goes to horizontal strips that are as high as the power of two next above its own height,
@@ -188,6 +240,11 @@ def _in_large_rings(asked: DataFrame, rings: DataFrame, key: str) -> DataFrame:
 
 
 def first_region(points: DataFrame, regions: DataFrame, key: str, x: str = "x", y: str = "y"
+def _ranked(regions: DataFrame, *order: Column) -> DataFrame:
+    """Add ``_rank``, a number that grows with the order; written, so that it stays."""
+    return staged(regions.orderBy(*order).withColumn("_rank", F.monotonically_increasing_id()), "ranked")
+
+
                  ) -> DataFrame:
     """``key, region_id`` of the first region, by ordinal, that contains each point."""
     return (containing_regions(points, regions, key, x, y).groupBy(key)
