@@ -372,3 +372,61 @@ def test_a_point_meets_few_sides_of_a_large_ring(spark):
     pairs = frame.selectExpr("id AS _pair", "0 AS _ring", "x AS _x", "y AS _y")
     met = [r["count"] for r in spatial.side_pairs(pairs, sides).groupBy("_pair").count().collect()]
     assert max(met) <= 16
+
+
+def test_small_rings_answer_by_whole_cells(spark):
+    rng = random.Random(3)
+    rings = {str(k): (diamond if k % 2 else CONCAVE) for k, diamond in enumerate(
+        [[(x - r, y), (x, y - r), (x + r, y), (x, y + r), (x - r, y)]
+         for x, y, r in [(rng.uniform(-3, 6), rng.uniform(-3, 6), rng.uniform(0.5, 5)) for _ in range(20)]])}
+    regions = spark.createDataFrame([(k, 0, v) for k, v in rings.items()], REGION)
+    points = [(i, rng.uniform(-5, 8), rng.uniform(-5, 8)) for i in range(1500)] + [(1500 + i, float(i % 5), float(i // 5)) for i in range(25)]
+    frame = spark.createDataFrame(points, "id LONG, x DOUBLE, y DOUBLE")
+    pairs = frame.crossJoin(regions).where(shapes.contains(shapes.edges(F.col("ring")), F.col("x"), F.col("y")))
+    expected = sorted((r.id, r.region_id) for r in pairs.collect())
+    found = spatial.containing_regions(frame, regions, "id")
+    assert sorted((r.id, r.region_id) for r in found.collect()) == expected
+    boxes = regions.select("region_id", "ordinal", shapes.bounds(F.col("ring")).alias("b"), shapes.edges(F.col("ring")).alias("_edges"))
+    cells = spatial.small_ring_cells(boxes.select("region_id", "ordinal", "b.*", "_edges"))
+    assert cells.where("_edges IS NULL").count() > 0.3 * cells.count()
+
+
+def test_first_region_and_parents_sort_no_pairs(spark):
+    regions = spark.createDataFrame([("b", 2, square(0.0, 0.0, 4.0)), ("a", 2, square(0.0, 0.0, 9.0)), ("c", None, square(1.0, 1.0, 20.0)),
+                                     ("d", 1, square(1.5, 1.5, 1.0))], REGION)
+    points = spark.createDataFrame([(1, 2.0, 2.0), (2, 0.5, 0.5), (3, 50.0, 1.0), (4, 3.0, 3.0)], "id INT, x DOUBLE, y DOUBLE")
+    first = spatial.first_region(points, regions, "id")
+    assert {r.id: r.region_id for r in first.collect()} == {1: "c", 2: "a", 4: "c"}
+    held = spatial.parents(regions)
+    assert {r.child_id: r.parent_id for r in held.collect()} == {"b": "a", "d": "b"}
+    for plan in (first, held):
+        text = plan._jdf.queryExecution().toString()
+        assert "SortAggregate" not in text and "ArrowEvalPython" not in text
+
+
+def test_clipped_areas_are_the_strips(spark):
+    rng = np.random.default_rng(5)
+
+    def hull(n):
+        at = np.sort(rng.uniform(0, 2 * math.pi, n))
+        ring = np.column_stack([np.cos(at), np.sin(at)]) * rng.uniform(0.5, 3) + rng.uniform(-1, 1, 2)
+        ring = ring if rng.random() < 0.5 else ring[::-1]
+        return [tuple(map(float, p)) for p in (*ring, ring[0])]
+
+    rings = [hull(int(rng.integers(3, 20))) for _ in range(300)] + [square(0.0, 0.0, 4.0), CONCAVE, square(4.0, 0.0, 4.0), square(0.0, 0.0, 4.0)]
+    pairs = [(k, rings[k], rings[(7 * k + 3) % len(rings)]) for k in range(len(rings))] + [(900 + k, r, r) for k, r in enumerate(rings[-4:])]
+    frame = spark.createDataFrame(pairs, "id INT, a ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>, b ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>")
+    got = {r.id: r.area for r in frame.select("id", shapes.shared_area(F.col("a"), F.col("b")).alias("area")).collect()}
+    for k, a, b in pairs:
+        assert got[k] == pytest.approx(shapes.overlap_area(np.array(a), np.array(b)), abs=1e-9)
+    one, two = (np.array([square(0.0, 0.0, 2.0)[:-1], [(0.0, 0.0), (2.0, 0.0), (0.0, 2.0), (0.0, 2.0)]]), np.array([square(1.0, 1.0, 4.0)[:-1]] * 2))
+    assert shapes.clipped_areas(one, two, np.array([4, 4]), np.ones(2)) == pytest.approx([1.0, 0.0])
+
+
+def test_lines_are_simplified_together():
+    rng = np.random.default_rng(2)
+    lines = [np.round(rng.uniform(0, 20, (n, 2)), 3) for n in (0, 1, 2, 3, 40, 0, 17)]
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in lines])])
+    keep = shapes._simplify_all(np.concatenate(lines), ends, 3.0)
+    for line, a, b in zip(lines, ends[:-1], ends[1:]):
+        assert [tuple(p) for p in line[keep[a:b]]] == (recursive_simplify([tuple(p) for p in line], 3.0) if len(line) > 1 else [tuple(p) for p in line])
