@@ -198,7 +198,11 @@ class Filter:
         return Filter(np.concatenate(held), starts, sizes, self.segments, self.total, self.distinct, first)
 
     def levels(self, h: np.ndarray) -> np.ndarray:
-        """The highest level under which each sequence is found, asking from 1 up; 0 for none."""
+        """The highest level under which each sequence is found, asking from 1 up; 0 for none.
+
+        A sequence that occurs often has many levels, so each is asked for once.
+        """
+        h, back = np.unique(h, return_inverse=True)
         out = np.zeros(len(h), np.int64)
         asked, level = np.arange(len(h)), 0
         place = _segment(h, self.segments) - self.first
@@ -211,7 +215,7 @@ class Filter:
             out[asked] = level
             if level == 63:
                 break
-        return out
+        return out[back]
 
     def counts(self, h: np.ndarray) -> np.ndarray:
         """The count that each level stands for: 1 for the first, then the middle of 2**q."""

@@ -337,3 +337,12 @@ def test_scores_do_not_depend_on_where_the_filter_is(spark, monkeypatch):
 def test_empty_scores(odd, none):
     assert lm.score_documents(none, lm.learn(none)).count() == 0
     assert lm.score_documents(odd, lm.learn(none)).count() == odd.count()
+
+
+def test_a_frequent_sequence_is_asked_once(monkeypatch):
+    asked, plain = [], lm._bits_of
+    monkeypatch.setattr(lm, "_bits_of", lambda h, level, size: asked.append(len(h)) or plain(h, level, size))
+    found = lm.Filter(None, None, None, 1, 1, 1).holding([(0, b"\xff" * 8)], 0, 1)
+    assert found.levels(np.repeat(np.arange(3, dtype=np.uint64), 1000)).tolist() == [63] * 3000
+    assert max(asked) == 3
+    assert found.levels(np.zeros(0, np.uint64)).tolist() == []
