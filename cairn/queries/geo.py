@@ -237,8 +237,8 @@ def line_simplify_known(t):
         way = F.when(part == 0, 0.0).when(k % 2 == 0, off).otherwise(-off)
         return F.struct(k.cast("double").alias("x"), (up * high + way).alias("y"))
 
-    lines = t("customer").select("c_custkey", F.transform(F.sequence(F.lit(0), F.lit(40)), at).alias("line"))
-    kept = spread(lines).select("c_custkey", shapes.simplify(F.col("line"), 2.0).alias("coarse"),
+    lines = spread(t("customer").select("c_custkey", "c_acctbal", "c_nationkey")).select("c_custkey", F.transform(F.sequence(F.lit(0), F.lit(40)), at).alias("line"))
+    kept = lines.select("c_custkey", shapes.simplify(F.col("line"), 2.0).alias("coarse"),
                         shapes.simplify(F.col("line"), 1e-9).alias("fine"))
     return kept.select("c_custkey", F.size("coarse").alias("kept"),
                        F.transform(F.col("coarse.x"), lambda x: x.cast("int")).alias("xs"), F.size("fine").alias("kept_fine"))
