@@ -24,9 +24,9 @@ def dsv_roundtrip(t):
 @query("dsv_ranges", """
     SELECT doc_id::VARCHAR AS doc_id, text, n_chars::VARCHAR AS n_chars FROM documents""")
 def dsv_ranges(t):
-    # One file with line breaks in its fields, cut in byte ranges.
+    # Files with line breaks in their fields, one for each task that writes, cut in byte ranges.
     docs = t("documents")
-    path, _ = delimited.write_delimited(docs.coalesce(1), scratch_folder(docs.sparkSession, "one-file"))
+    path, _ = delimited.write_delimited(docs, scratch_folder(docs.sparkSession, "range-files"))
     return delimited.read_ranges(docs.sparkSession, path, columns=["doc_id", "text", "n_chars"])
 
 

@@ -7,9 +7,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cairn.queries import QUERIES, load_all
 from cairn.session import scratch_folder
 from cairn.sources import delimited, records
 
+load_all()
+
 
 @pytest.fixture
 def small_ranges(spark):
@@ -117,6 +120,14 @@ def test_one_large_file_is_many_tasks(spark, small_ranges):
     assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
 
 
+def test_no_task_writes_all_documents(spark, tmp_path, small_ranges):
+    docs = spark.createDataFrame([(k, f"a|{k}\n" * 40, 80) for k in range(400)], "doc_id INT, text STRING, n_chars INT")
+    docs.repartition(8).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["dsv_ranges"](spark, str(tmp_path))
+    assert len(got.inputFiles()) >= 8
+    assert sorted(map(tuple, got.collect())) == sorted((str(k), f"a|{k}\n" * 40, "80") for k in range(400))
+
+
 @pytest.mark.parametrize("line, start, end", [
     ("a|b", False, False), ('a|"b', False, True), ('a|"b""', False, True), ('a|"b"', False, False), ('c""d', True, True),
     ('c"', True, False), ('c"|"d', True, True), ('5" x', False, False), ('a"|b', True, False), ('"', False, True),
