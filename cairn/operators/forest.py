@@ -20,6 +20,9 @@ from cairn.functions.values import hash_bucket, percent
 from cairn.operators.bagging import DEEPEST
 from cairn.session import scratch_folder, spread, staged
 
+# Counts of rows in trees that one task of a fit should keep, four bytes each.
+COUNTS_PER_TASK = 40_000_000
+
 
 def is_holdout(keys: list[Column]) -> Column:
     """A fifth of the rows, fixed by their keys."""
@@ -48,6 +51,18 @@ def _forest(label: str, trees: int, depth: int | None, seed: int, bins: int = 32
         featureSubsetStrategy="sqrt", bootstrap=True, seed=seed, maxBins=bins)
 
 
+def dealt(rows: DataFrame, trees: int) -> DataFrame:
+    """Rows in as many partitions as their bags ask for.
+
+    While a forest is fitted, Spark keeps each row with a count for every tree, many times what the row takes
+    in its file. A few rows stay as they are, so their bags stay the same.
+    """
+    needed = -(-rows.count() * trees // COUNTS_PER_TASK)
+    if needed <= 1:
+        return rows
+    return rows.repartition(max(needed, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def _stages(features: list[str], label: str, trees: int, depth: int | None, seed: int,
             invalid: str, bins: int = 32) -> Pipeline:
     return Pipeline(stages=[
@@ -67,7 +82,7 @@ def train(matrix: DataFrame, features: list[str], label: str = "label",
     it the session, into every scoring task.
     """
     fitted = _stages(features, label, trees, depth, seed, invalid, bins).fit(
-        matrix.select(*features, label))
+        dealt(matrix.select(*features, label), trees))
     return load_model(save_model(fitted, path or scratch_folder(matrix.sparkSession, "forest")))
 
 
@@ -170,7 +185,8 @@ def grid_search(matrix: DataFrame, features: list[str], fold_column: str, label:
     deep = [DEEPEST if d is None else d for d in depths]
 
     def search(number: int) -> dict[tuple[int, int], float]:
-        grown = _forest(label, max(trees), max(deep), seed).fit(rows.where(F.col(fold_column) != number))
+        grown = _forest(label, max(trees), max(deep), seed).fit(
+            dealt(rows.where(F.col(fold_column) != number), max(trees)))
         return setting_accuracy(grown, rows.where(F.col(fold_column) == number), trees, deep, label)
 
     with ThreadPool(parallelism) as pool:

@@ -270,3 +270,23 @@ def test_stream_answers_all_requests_once_after_crashes(spark, attempts, monkeyp
     assert sorted(map(tuple, scoring.answered(spark, out, "scores").collect())) == sorted(map(tuple, batch.collect()))
     rejects = scoring.rejected(scoring.parse_requests(asked), "key")
     assert sorted(map(tuple, scoring.answered(spark, out, "rejects").collect())) == sorted(map(tuple, rejects.collect()))
+
+
+def test_rows_of_a_forest_are_dealt_by_what_their_bags_take(spark, monkeypatch):
+    seen, stages = [], forest._stages
+
+    class Watched:
+        def __init__(self, pipeline):
+            self.pipeline = pipeline
+
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return self.pipeline.fit(rows)
+
+    monkeypatch.setattr(forest, "_stages", lambda *a: Watched(stages(*a)))
+    matrix = spark.range(400, numPartitions=1).select(F.col("id").cast("double").alias("x"),
+                                                      (F.col("id") % 2).cast("double").alias("label"))
+    forest.train(matrix, ["x"], trees=50, depth=2)
+    monkeypatch.setattr(forest, "COUNTS_PER_TASK", 1000, raising=False)
+    forest.train(matrix, ["x"], trees=50, depth=2)
+    assert seen == [1, 20]
