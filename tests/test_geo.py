@@ -374,6 +374,33 @@ def test_a_point_meets_few_sides_of_a_large_ring(spark):
     assert max(met) <= 16
 
 
+def test_cells_tell_the_sides_of_a_border(spark):
+    rnd = random.Random(8)
+    rings = []
+    for x, y, r in [(3.0, -2.0, 6.0), (0.3, 0.1, 0.05), (-4.0, 5.0, 2.5)]:
+        corners = [(x - r, y), (x, y - r), (x + r, y), (x, y + r), (x - r, y)]
+        rings.append([(a + (c - a) * k / 100, b + (d - b) * k / 100)
+                      for (a, b), (c, d) in zip(corners, corners[1:], strict=False) for k in range(100)] + corners[:1])
+    rings.append([(x, None if k == 7 else y) for k, (x, y) in enumerate(rings[0])])
+    regions = spark.createDataFrame([(f"r{k}", k, ring) for k, ring in enumerate(rings)],
+                                    "region_id string, ordinal int, ring array<struct<x: double, y: double>>")
+    points = [(k, rnd.uniform(-7, 10), rnd.uniform(-9, 9)) for k in range(700)]
+    points += [(700 + k, *(c + rnd.choice([0, 1e-7, -1e-7, 1e-3]) for c in p)) for k, p in enumerate(rings[0] + rings[1])]
+    frame = spark.createDataFrame(points, "id int, x double, y double")
+    found = spatial.containing_regions(frame, regions, "id")
+    want = frame.crossJoin(regions).where(shapes.contains(shapes.edges(F.col("ring")), F.col("x"), F.col("y")))
+    expected = sorted((r.id, r.region_id) for r in want.collect())
+    assert len(expected) > 300 and sorted((r.id, r.region_id) for r in found.collect()) == expected
+
+    measured = spatial.measures(regions.where("ordinal < 3")).withColumnRenamed("edges", "_edges").withColumn("_ring", F.col("ordinal"))
+    cells = spatial.large_ring_cells(measured).toPandas()
+    known = cells[cells["_d"] < float("inf")]
+    size = 2.0 ** cells["_level"]
+    # What has to ask the sides is a small part of the plane that the cells cover.
+    asks = (size * size * (2 * cells["_d"] / size).clip(0, 1)).groupby(cells["_ring"]).sum() / (size * size).groupby(cells["_ring"]).sum()
+    assert asks.max() < 0.01 and set(known["_ring"]) == {0, 1, 2} and len(cells) < 3 * 400
+
+
 def test_small_rings_answer_by_whole_cells(spark):
     rng = random.Random(3)
     rings = {str(k): (diamond if k % 2 else CONCAVE) for k, diamond in enumerate(
