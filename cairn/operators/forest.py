@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+import re
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -23,6 +27,9 @@ from cairn.session import scratch_folder, spread, staged
 # Counts of rows in trees that one task of a fit should keep, four bytes each.
 COUNTS_PER_TASK = 40_000_000
 
+# Cells between a model's thresholds whose answers are put in a table.
+MOST_CELLS = 100_000
+
 
 def is_holdout(keys: list[Column]) -> Column:
     """A fifth of the rows, fixed by their keys."""
@@ -86,13 +93,70 @@ def train(matrix: DataFrame, features: list[str], label: str = "label",
     return load_model(save_model(fitted, path or scratch_folder(matrix.sparkSession, "forest")))
 
 
-def score(model: PipelineModel, matrix: DataFrame) -> DataFrame:
-    """Add ``prediction`` and ``percent``, the positive class's probability of each row."""
+def score(model: PipelineModel, matrix: DataFrame, many: bool = False) -> DataFrame:
+    """Add ``prediction`` and ``percent``, the positive class's probability of each row.
+
+    For ``many`` rows the model is asked once for each cell that its thresholds cut out, where these are few.
+    """
+    if many:
+        found = _score_by_cell(model, matrix)
+        if found is not None:
+            return found
     drop = ["features", "rawPrediction", "probability"]
     return (model.transform(matrix)
             .withColumn("percent", percent(vector_to_array("probability")[1])).drop(*drop))
 
 
+def _thresholds(model: RandomForestClassificationModel) -> list[list[float]] | None:
+    """Sorted distinct thresholds of each feature; None where a split is no threshold."""
+    text = model.toDebugString
+    if " in {" in text:
+        return None
+    found = set(re.findall(r"\(feature (\d+) <= ([^)]+)\)", text))
+    return [sorted({float(t) for k, t in found if int(k) == feature}) for feature in range(model.numFeatures)]
+
+
+def _score_by_cell(model: PipelineModel, matrix: DataFrame) -> DataFrame | None:
+    """``score`` by a table of the model's own answers; None where that would be too large.
+
+    Trees only ask on which side of a threshold a value lies, so all rows between the same thresholds
+    have one answer.
+    """
+    assembler, trees = model.stages[0], model.stages[-1]
+    columns, invalid = assembler.getInputCols(), assembler.getOrDefault("handleInvalid")
+    if invalid not in ("error", "skip") or trees.numFeatures != len(columns):
+        return None
+    cuts = _thresholds(trees)
+    if cuts is None or math.prod(len(c) + 1 for c in cuts) > MOST_CELLS:
+        return None
+    cells, steps, shown = 1, [], []
+    for name, own in zip(columns, cuts, strict=True):
+        # The last value stands for all beyond the last threshold.
+        values = [*own, math.nextafter(own[-1], math.inf)] if own else [0.0]
+        shown.append(F.get(F.expr(f"array({', '.join(f'double({v!r})' for v in values)})"),
+                           (F.floor(F.col("_cell") / cells) % len(values)).cast("int")).alias(name))
+        steps.append((np.array(own), cells))
+        cells *= len(values)
+    table = score(model, matrix.sparkSession.range(cells).select(F.col("id").alias("_cell")).select("_cell", *shown))
+    table = staged(table.select(F.col("_cell").cast("int").alias("_cell"), "prediction", "percent"), "answers")
+
+    @F.arrow_udf("int")
+    def cell(*values: pa.Array) -> pa.Array:
+        code = np.zeros(len(values[0]), np.int32)
+        for own, (cuts, times) in zip(values, steps, strict=True):
+            numbers = own.to_numpy(zero_copy_only=False)
+            if np.isnan(numbers).any():
+                raise ValueError("a feature has no value")
+            code += times * np.searchsorted(cuts, numbers).astype(np.int32)
+        return pa.array(code)
+
+    rows = matrix
+    if invalid == "skip":
+        rows = matrix.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in columns]))
+    rows = rows.withColumn("_cell", cell.asNondeterministic()(*[F.col(c).cast("double") for c in columns]))
+    return rows.join(table, "_cell").select(*matrix.columns, "prediction", "percent")
+
+
 def accuracy(predicted: DataFrame, prediction: str = "prediction", label: str = "label"
              ) -> DataFrame:
     """One row: the share of rows predicted right, and how many rows there were."""

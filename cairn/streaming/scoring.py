@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cairn import fixed
 from cairn.operators.features import feature_matrix, filled_rows
 from cairn.operators.forest import score
+from cairn.session import spread
 from cairn.sources.versions import read_all, write_version
 
 
@@ -78,7 +79,7 @@ def score_requests(requests: DataFrame, entities: DataFrame, model: PipelineMode
     """
     grid = request_grid(parse_requests(requests, body, defaults), entities, key)
     matrix = feature_matrix(grid, schema, keys=[key, entity_key])
-    return (score(model, filled_rows(matrix, schema))
+    return (score(model, filled_rows(matrix, schema), many=True)
             .select(key, entity_key, F.when(F.col("_complete"), F.col("percent")).alias("percent")))
 
 
@@ -95,7 +96,8 @@ def score_stream(requests: DataFrame, out_path: str, checkpoint: str, entities:
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def answer(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        # Few bytes of requests ask for many rows.
+        batch = spread(batch).persist()
         try:
             write_version(out_path, {
                 "scores": score_requests(batch, entities, model, key, entity_key, defaults=defaults, body=body, **options),

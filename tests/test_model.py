@@ -63,6 +63,24 @@ def test_train_evaluate_persist(spark, attempts):
     assert folds == set(range(8))
 
 
+def test_many_rows_are_scored_by_the_models_own_answers(spark, monkeypatch):
+    rows = [(k, float(k * 7919 % 1000), k % 2, float(k % 13), float((k * 7919 % 1000 > 400) != (k % 7 == 0))) for k in range(800)]
+    matrix = spark.createDataFrame(rows, "id INT, a DOUBLE, b INT, c DOUBLE, label DOUBLE")
+    model = forest.train(matrix, ["a", "b", "c"], trees=20)
+    cuts = forest._thresholds(model.stages[-1])
+    edges = [(1000 + k, v, k % 2, float(k % 13), 0.0) for k, cut in enumerate(cuts[0])
+             for v in (cut, math.nextafter(cut, math.inf), math.nextafter(cut, -math.inf), math.inf, -math.inf)]
+    asked = matrix.union(spark.createDataFrame(edges, matrix.schema)).drop("label")
+    by_cell, by_row = forest.score(model, asked, many=True), forest.score(model, asked)
+    assert by_cell.columns == by_row.columns and sorted(by_cell.collect()) == sorted(by_row.collect())
+    # The trees are walked for the table alone, not for the rows.
+    assert "UDF(features" not in by_cell._jdf.queryExecution().analyzed().toString()
+    with pytest.raises(Exception, match="no value"):
+        forest.score(model, spark.createDataFrame([(1, None, 0, 0.0, 0.0)], matrix.schema), many=True).collect()
+    monkeypatch.setattr(forest, "MOST_CELLS", 10)
+    assert sorted(forest.score(model, asked, many=True).collect()) == sorted(by_row.collect())
+
+
 def test_nulls_are_an_error_or_skipped(spark, attempts):
     holed = attempts.withColumn("age", F.when(F.col("age") != 25, F.col("age")))
     matrix = training.model_matrix(holed, ["expedition_id", "member_id"], "successful_summit")
